@@ -1,0 +1,6 @@
+"""Ready-made queries over the test tables."""
+
+from vicinity.plans import vectors  # noqa: F401
+from vicinity.plans.registry import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]
