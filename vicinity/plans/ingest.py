@@ -37,6 +37,7 @@ from vicinity.operators.changes import (
 from vicinity.operators.checks import fingerprint
 from vicinity.operators.fresh import clear_vectors
 from vicinity.operators.meta import load_meta, merge_meta, prefixed, resolve_alias, update_meta
+from vicinity.operators.numbering import number_rows
 from vicinity.plans.common import CATALOG, as_of, catalog
 from vicinity.plans.registry import query
 from vicinity.session import scratch, table
@@ -93,7 +94,7 @@ def _catalog_file(spark, sf_dir) -> str:
   row_number() OVER (ORDER BY file_row) AS line FROM feed""")
 def scan_catalog_file(spark, sf_dir):
     rows = read_catalog(spark, _catalog_file(spark, sf_dir))
-    order = assign_ids(rows, empty_catalog(spark), "file_row", "line")
+    order = number_rows(rows, "file_row", "line")
     return order.select(
         "Name", "Brand", "Categories", "Country", "ABV", "IBU", "Price",
         text_hash(F.col("Description")).alias("description_hash"), "line",
@@ -118,8 +119,7 @@ SELECT file_row AS line, name AS beer_name, brand AS brewery, categories AS styl
   NULL::INT AS hoppy, sha256({_INFO}) AS text_hash FROM usable""")
 def map_catalog_rows(spark, sf_dir):
     rows = read_catalog(spark, _catalog_file(spark, sf_dir))
-    mapped = to_catalog(rows.filter(is_usable(rows)).withColumn("file_row", F.col("``").cast("long"))) \
-        if "" in rows.columns else to_catalog(rows.filter(is_usable(rows)))
+    mapped = to_catalog(rows.filter(is_usable(rows)).withColumn("file_row", F.col("_c0").cast("long")))
     return mapped.select(
         F.col("file_row").alias("line"), "beer_name", "brewery", "style", F.col("abv").cast("double").alias("abv"),
         "min_ibu", "max_ibu", F.col("review_overall").cast("double").alias("review_overall"),

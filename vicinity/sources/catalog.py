@@ -100,7 +100,7 @@ def read_catalog(spark: SparkSession, path: str) -> DataFrame:
     check_file(spark, path)
     reader = spark.read.option("header", True).option("quote", '"').option("escape", '"')
     raw = reader.option("multiLine", True).option("encoding", "UTF-8").csv(path)
-    headers = [c.lstrip("\ufeff").strip() for c in raw.columns]
+    headers = [c.lstrip("\ufeff").strip() or f"_c{i}" for i, c in enumerate(raw.columns)]
     missing = sorted(set(REQUIRED_COLUMNS) - set(headers))
     if missing:
         raise CatalogError(f"missing required columns: {missing}, load aborted")
@@ -110,7 +110,7 @@ def read_catalog(spark: SparkSession, path: str) -> DataFrame:
     )
     placed = raw.select(
         *[clean(F.col(f"`{c}`")).alias(h) for c, h in zip(raw.columns, headers)],
-        F.col("_metadata.file_path").alias("_path"),
+        F.input_file_name().alias("_path"),
         (F.monotonically_increasing_id() % ROWS_PER_FILE).alias("_row"),
     ).join(F.broadcast(files), "_path")
     return placed.select(*[f"`{h}`" for h in headers], (F.col("_file") * ROWS_PER_FILE + F.col("_row")).alias("file_row"))
