@@ -15,13 +15,14 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import BucketedRandomProjectionLSH
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vicinity.functions.vectors import normalize, row_distances, to_matrix
-from vicinity.operators.many import SEND_LIMIT, nearest_many, pair_distances
+from vicinity.operators.many import nearest_many, pair_distances
 from vicinity.operators.topk import MAX_SCAN, nearest
 
+MAX_CELLS = 32_768  # centroids go to every task; at 384 dimensions 100 MB
 TRAIN_ROWS_PER_CELL = 256  # rows KMeans sees per cell; all rows are assigned
 
 
@@ -52,10 +53,9 @@ def train_centroids(
 
 def _centroid_matrix(centroids: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Cell numbers and centroids on the driver, in cell order, size-checked."""
-    size = centroids.agg(F.sum(F.size("centroid"))).first()[0] or 0
-    if size * 8 > SEND_LIMIT:
-        raise ValueError("too many centroids to send to every task; use fewer cells")
-    rows = centroids.select("cell", "centroid").collect()
+    rows = centroids.select("cell", "centroid").limit(MAX_CELLS + 1).collect()
+    if len(rows) > MAX_CELLS:
+        raise ValueError(f"more than {MAX_CELLS} cells; train fewer")
     rows.sort(key=lambda r: r[0])
     cells = np.array([r[0] for r in rows], "int64")
     return cells, np.array([r[1] for r in rows], "float64")
@@ -195,8 +195,3 @@ def recall_at_k(found: DataFrame, exact: DataFrame, k: int) -> DataFrame:
     """Share of the exact top ``k`` that was found, per query (qid, id columns)."""
     both = exact.join(found.select("qid", "id", F.lit(1).alias("_hit")), ["qid", "id"], "left")
     return both.groupBy("qid").agg((F.count("_hit") / F.lit(k)).alias("recall"))
-
-
-def top_per_query(df: DataFrame, n: int, query_col: str = "qid", id_col: str = "id") -> DataFrame:
-    order = Window.partitionBy(query_col).orderBy("distance", id_col)
-    return df.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= n)

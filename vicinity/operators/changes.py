@@ -14,22 +14,33 @@ from pyspark.sql import functions as F
 
 from vicinity.functions.text import text_hash
 from vicinity.operators.numbering import number_rows
+from vicinity.session import materialize
 
+SEND_ROWS = 100_000  # repeated keys that may be sent to every task
 
-def first_wins(df: DataFrame, keys: Sequence[str], order: Sequence[str], copies: str | None = None) -> DataFrame:
-    """One row per key, the first in ``order``; NULL keys count as equal.
 
-    An aggregation, not a window: every task reduces its rows to one per key
-    before the shuffle, so a key that holds most of the table moves one row per
-    task. ``copies`` names an optional column with the size of each group.
+def first_wins(
+    df: DataFrame, keys: Sequence[str], order_col: str, copies: str | None = None, send_rows: int = SEND_ROWS
+) -> DataFrame:
+    """One row per key, the first by the unique ``order_col``; NULL keys are equal.
+
+    The first pass reads keys and order only, counts each key where its rows are
+    and keeps the keys that occur twice or more, so a key that fills most of the
+    table moves one row per task. The second pass drops the later copies. While
+    the repeated keys are few they travel to the rows and the table is not
+    shuffled at all; otherwise the two meet in a shuffle join, where adaptive
+    execution splits an oversized key. ``copies`` names an optional column with
+    the number of rows of each key.
     """
-    rest = [c for c in df.columns if c not in keys]
-    position = F.struct(*order)
-    grouped = df.groupBy(*keys).agg(
-        F.min_by(F.struct(*rest), position).alias("_first"), F.count("*").alias("_copies")
+    counted = df.groupBy(*keys).agg(F.min(order_col).alias("_first"), F.count("*").alias("_copies"))
+    repeated = materialize(counted.filter(F.col("_copies") > 1), "repeated-keys")
+    few = repeated.count() <= send_rows
+    joined = df.alias("t").join(
+        (F.broadcast(repeated) if few else repeated).alias("s"), _same_key(keys), "left"
     )
-    kept = grouped.select(*keys, "_first.*", *([F.col("_copies").alias(copies)] if copies else []))
-    return kept.select(*df.columns, *([copies] if copies else []))
+    kept = joined.filter(F.col("s._first").isNull() | (F.col(f"t.{order_col}") == F.col("s._first")))
+    count = [F.coalesce("s._copies", F.lit(1)).alias(copies)] if copies else []
+    return kept.select(*[F.col(f"t.{c}").alias(c) for c in df.columns], *count)
 
 
 def _same_key(keys: Sequence[str], left: str = "t", right: str = "s") -> Column:
@@ -84,6 +95,7 @@ def upsert(
         F.when(hit, "update").otherwise("keep").alias("_change"),
     )
     missing = source.alias("s").join(target.select(*keys).alias("t"), _same_key(keys), "left_anti")
+    missing = materialize(missing, "new-rows")  # numbering reads them three times
     fresh = assign_ids(missing, target, order_col, id_col).withColumn("_change", F.lit("insert"))
     if "updated_at" in target.columns:
         fresh = fresh.withColumn("updated_at", as_of)
@@ -93,22 +105,23 @@ def upsert(
     return merged.withColumnRenamed("_change", change_col) if change_col else merged.drop("_change")
 
 
-def load_report(read: DataFrame, usable: DataFrame, merged: DataFrame, change_col: str) -> DataFrame:
+def load_report(read: DataFrame, usable: Column, merged: DataFrame, change_col: str) -> DataFrame:
     """Counts of a load, one row: read, skipped, duplicates, total, inserted, updated."""
-    tagged = merged.agg(
-        F.count_if(F.col(change_col) != "keep").alias("total"),
+    source = read.agg(F.count("*").alias("read"), F.count_if(~usable).alias("skipped"))
+    changes = merged.agg(
         F.count_if(F.col(change_col) == "insert").alias("inserted"),
         F.count_if(F.col(change_col) == "update").alias("updated"),
     )
-    before = read.agg(F.count("*").alias("n")).scalar()
-    unique = usable.agg(F.count("*").alias("n")).scalar()
-    return tagged.select(
-        before.alias("read"),
-        (before - unique).alias("skipped"),
-        (unique - F.col("total")).alias("duplicates"),
-        "total",
-        "inserted",
-        "updated",
+    inserted = changes.select("inserted").scalar()
+    updated = changes.select("updated").scalar()
+    total = inserted + updated
+    return source.select(
+        "read",
+        "skipped",
+        (F.col("read") - F.col("skipped") - total).alias("duplicates"),
+        total.alias("total"),
+        inserted.alias("inserted"),
+        updated.alias("updated"),
     )
 
 

@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vicinity.functions.vectors import METRICS, to_matrix
@@ -22,6 +22,7 @@ SEND_LIMIT = 64 * 1024 * 1024  # bytes of query vectors sent to every task
 BLOCK_ROWS = 1024  # vectors per packed block
 PAIRS_AT_ONCE = 4_000_000  # distances held at one time inside a task
 OUT = "qid long, id long, distance double"
+NO_SKIP = np.iinfo("int64").min
 
 
 def pair_distances(rows: np.ndarray, queries: np.ndarray, metric: str) -> np.ndarray:
@@ -62,9 +63,9 @@ def best_of(owner: np.ndarray, ids: np.ndarray, dist: np.ndarray, n: int):
 class _Best:
     """Running best ``n`` rows per query inside one task."""
 
-    def __init__(self, queries: np.ndarray, qids: np.ndarray, n: int, metric: str, skip_self: bool):
+    def __init__(self, queries: np.ndarray, qids: np.ndarray, skip: np.ndarray, n: int, metric: str):
         self.queries, self.qids, self.n, self.metric = queries, qids, n, metric
-        self.skip_self = skip_self
+        self.skip = skip  # id to leave out per query, NO_SKIP for none
         self.limit = np.full(len(qids), np.inf)  # distance of the n-th best so far
         self.found = (np.empty(0, "int64"), np.empty(0, "int64"), np.empty(0))
 
@@ -78,8 +79,8 @@ class _Best:
             dist = pair_distances(rows, self.queries[part], self.metric)
             # NaN (no direction) compares false, so such pairs drop out here.
             close = dist <= self.limit[part][:, None]
-            if self.skip_self:
-                close &= self.qids[part][:, None] != ids[None, :]
+            if (self.skip[part] != NO_SKIP).any():
+                close &= self.skip[part][:, None] != ids[None, :]
             if len(ids) > self.n:
                 nth = np.partition(np.where(close, dist, np.inf), self.n - 1, axis=1)[:, self.n - 1]
                 close &= dist <= nth[:, None]
@@ -108,24 +109,25 @@ def _merge(partial: DataFrame, n: int) -> DataFrame:
     return ranked.filter(F.col("rank") <= n).select("qid", "id", "distance", "rank")
 
 
-def _send(queries: DataFrame, corpus: DataFrame, n: int, metric: str, skip_self: bool) -> DataFrame:
+def _send(queries: pa.Table, corpus: DataFrame, n: int, metric: str) -> DataFrame:
     """Queries as a broadcast matrix; the caller has checked their size."""
-    collected = queries.toArrow().combine_chunks()
-    qids = collected["qid"].to_numpy()
-    lists = collected["vector"].combine_chunks()
+    lists = queries["vector"].combine_chunks()
     width = len(lists[0])
     matrix, _ = to_matrix(lists, width)
     by_cell: dict[int, np.ndarray] | None = None
-    if "cells" in collected.column_names:
-        cells = collected["cells"].combine_chunks()
+    if "cells" in queries.column_names:
+        cells = queries["cells"].combine_chunks()
         owner = np.asarray(cells.value_parent_indices())
         flat = cells.flatten().to_numpy()
         by_cell = {int(c): owner[flat == c] for c in np.unique(flat)}
-    sent = queries.sparkSession.sparkContext.broadcast((qids, matrix, by_cell))
+    spark = corpus.sparkSession
+    sent = spark.sparkContext.broadcast(
+        (queries["qid"].to_numpy(), queries["skip"].to_numpy(), matrix, by_cell)
+    )
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        qids, matrix, by_cell = sent.value
-        best = _Best(matrix, qids, n, metric, skip_self)
+        qids, skip, matrix, by_cell = sent.value
+        best = _Best(matrix, qids, skip, n, metric)
         for batch in batches:
             rows, _ = to_matrix(batch.column("vector"), width)
             ids = batch.column("id").to_numpy()
@@ -139,57 +141,47 @@ def _send(queries: DataFrame, corpus: DataFrame, n: int, metric: str, skip_self:
                     best.add(ids[cell == c], rows[cell == c], wanted)
         yield best.batch()
 
+    if by_cell is not None:
+        corpus = corpus.filter(F.col("cell").isin(sorted(by_cell)))  # prunes stored cells
     return _merge(corpus.mapInArrow(search, OUT), n)
 
 
-def _blocks(df: DataFrame, block: Column, keys: list[str], id_col: str) -> DataFrame:
-    """Pack rows into blocks of ids and vectors; block sizes follow the hash."""
-    packed = F.collect_list(F.struct(F.col(id_col).alias("id"), "vector"))
-    return df.groupBy(*keys, block.alias("block")).agg(packed.alias("rows"))
+def _blocks(df: DataFrame, block: str, id_col: str, *more: str) -> DataFrame:
+    """Pack the rows of a cell into blocks; the hash keeps them of one size."""
+    packed = F.collect_list(F.struct(F.col(id_col).alias("id"), "vector", *more))
+    return df.groupBy("cell", block).agg(packed.alias("rows"))
 
 
-def _block_join(queries: DataFrame, corpus: DataFrame, n: int, metric: str, skip_self: bool, block_rows: int) -> DataFrame:
+def _block_join(queries: DataFrame, corpus: DataFrame, n: int, metric: str, block_rows: int) -> DataFrame:
     """Query blocks meet corpus blocks on (cell, block); each pair gives top ``n``.
 
     A big cell is split into as many blocks as it needs, so no join key holds
     more than one corpus block, however unevenly the cells are filled.
     """
-    sizes = (
-        corpus.groupBy("cell")
-        .count()
-        .select("cell", F.ceil(F.col("count") / block_rows).cast("int").alias("blocks"))
-    )
-
-    def spread(df: DataFrame, key: str) -> DataFrame:
-        return df.withColumn("_b", F.pmod(F.xxhash64(key), F.col("blocks")))
 
-    right = spread(corpus.join(F.broadcast(sizes), "cell"), "id")
-    right = _blocks(right, F.col("_b"), ["cell"], "id").withColumnRenamed("rows", "corpus_rows")
-    probes = queries.select("qid", "vector", F.explode("cells").alias("cell"))
-    per_cell = (
-        probes.groupBy("cell").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("groups"))
-    )
-    left = probes.join(F.broadcast(per_cell), "cell").withColumn(
-        "_g", F.pmod(F.xxhash64("qid"), F.col("groups"))
-    )
-    left = _blocks(left, F.col("_g"), ["cell"], "qid").drop("block")
-    left = left.withColumnRenamed("rows", "query_rows").join(F.broadcast(sizes), "cell")
-    numbers = F.sequence(F.lit(0).cast("long"), F.col("blocks").cast("long") - 1)
-    left = left.select("cell", F.explode(numbers).alias("block"), "query_rows")
+    def split(df: DataFrame, key: str, block: str) -> tuple[DataFrame, DataFrame]:
+        needed = F.ceil(F.count("*") / block_rows).cast("long").alias("blocks")
+        sizes = df.groupBy("cell").agg(needed)  # one row per cell
+        placed = df.join(F.broadcast(sizes), "cell")
+        return placed.withColumn(block, F.pmod(F.xxhash64(key), F.col("blocks"))), sizes
+
+    placed, sizes = split(corpus, "id", "block")
+    right = _blocks(placed, "block", "id").withColumnRenamed("rows", "corpus_rows")
+    probes, _ = split(queries.withColumn("cell", F.explode("cells")), "qid", "group")
+    left = _blocks(probes, "group", "qid", "skip").withColumnRenamed("rows", "query_rows")
+    numbers = F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
+    left = left.join(F.broadcast(sizes), "cell").select("cell", F.explode(numbers).alias("block"), "query_rows")
     pairs = left.join(right, ["cell", "block"]).select("query_rows", "corpus_rows")
 
-    def unpack(column: pa.Array, i: int):
-        rows = column[i].values
-        ids, vectors = rows.field("id").to_numpy(), rows.field("vector")
-        return ids, to_matrix(vectors, len(vectors[0]))[0]
-
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                qids, matrix = unpack(batch.column("query_rows"), i)
-                ids, rows = unpack(batch.column("corpus_rows"), i)
-                best = _Best(matrix, qids, n, metric, skip_self)
-                best.add(ids, rows)
+                asked, stored = batch.column("query_rows")[i].values, batch.column("corpus_rows")[i].values
+                width = len(asked.field("vector")[0])
+                matrix, _ = to_matrix(asked.field("vector"), width)
+                rows, _ = to_matrix(stored.field("vector"), width)
+                best = _Best(matrix, asked.field("id").to_numpy(), asked.field("skip").to_numpy(), n, metric)
+                best.add(stored.field("id").to_numpy(), rows)
                 yield best.batch()
 
     return _merge(pairs.mapInArrow(search, OUT), n)
@@ -208,19 +200,31 @@ def nearest_many(
     """The ``n`` nearest corpus rows of every query: qid, id, distance, rank.
 
     ``queries`` has ``qid`` and ``vector``, ``corpus`` has ``id`` and ``vector``.
-    With a ``cells`` array on the queries and a ``cell`` on the corpus, a query
-    looks only into its cells.
+    A ``skip`` column on the queries names a corpus id to leave out
+    (``exclude_self``: the query's own). With a ``cells`` array on the queries
+    and a ``cell`` on the corpus, a query looks only into its cells.
     """
     if metric not in METRICS:
         raise ValueError(f"unknown metric {metric!r}, use one of {METRICS}")
-    queries = queries.filter(F.col("vector").isNotNull()).withColumn("qid", F.col("qid").cast("long"))
-    corpus = corpus.filter(F.col("vector").isNotNull()).withColumn("id", F.col("id").cast("long"))
-    size = queries.agg(F.count("*"), F.coalesce(F.sum(F.size("vector")), F.lit(0))).first()
-    if size[0] == 0:
+    celled = "cells" in queries.columns
+    skip = F.col("qid") if exclude_self else F.col("skip") if "skip" in queries.columns else F.lit(None)
+    queries = queries.filter(F.col("vector").isNotNull()).select(
+        F.col("qid").cast("long").alias("qid"),
+        "vector",
+        F.coalesce(skip.cast("long"), F.lit(int(NO_SKIP))).alias("skip"),
+        *(["cells"] if celled else []),
+    )
+    corpus = corpus.filter(F.col("vector").isNotNull()).select(
+        F.col("id").cast("long").alias("id"), "vector", *(["cell"] if celled else [])
+    )
+    sample = queries.select(F.size("vector")).first()
+    if sample is None:
         return queries.sparkSession.createDataFrame([], OUT + ", rank int")
-    if size[1] * 8 <= send_limit:
-        return _send(queries, corpus, n, metric, exclude_self)
-    if "cells" not in queries.columns:
+    most = send_limit // (8 * max(sample[0], 1))
+    fetched = queries.limit(most + 1).toArrow() if most else None  # never more than the limit
+    if fetched is not None and fetched.num_rows <= most:
+        return _send(fetched, corpus, n, metric)
+    if not celled:
         queries = queries.withColumn("cells", F.array(F.lit(0)))
         corpus = corpus.withColumn("cell", F.lit(0))
-    return _block_join(queries, corpus, n, metric, exclude_self, block_rows)
+    return _block_join(queries, corpus, n, metric, block_rows)

@@ -47,7 +47,7 @@ def resolve_alias(
     """
     pairs = aliases.select(F.col(alias_col).alias("_alias"), F.col(match_col).alias("_match"))
     pairs = pairs.groupBy("_alias").agg(F.min("_match").alias("_match"))
-    if len(pairs.limit(small_rows + 1).take(small_rows + 1)) <= small_rows:
+    if pairs.limit(small_rows + 1).count() <= small_rows:
         pairs = F.broadcast(pairs)
     joined = df.join(pairs, name == F.col("_alias"), "left")
     return joined.withColumn(out, F.coalesce("_match", name)).drop("_alias", "_match")

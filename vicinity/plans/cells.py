@@ -21,7 +21,7 @@ from vicinity.operators.many import nearest_many
 from vicinity.operators.topk import row_vector
 from vicinity.plans.common import cosine
 from vicinity.plans.registry import query
-from vicinity.session import scratch, table
+from vicinity.session import materialize, scratch, table
 
 ROW = 3
 
@@ -45,7 +45,7 @@ def _rows(spark, sf_dir) -> DataFrame:
 
 
 def _centroids(rows: DataFrame) -> DataFrame:
-    return mean_vectors(rows, "label").withColumnRenamed("label", "cell")
+    return materialize(mean_vectors(rows, "label").withColumnRenamed("label", "cell"), "centroids")
 
 
 @query(f"WITH {_CELLS} SELECT id, cell::INT AS cell FROM assigned")
@@ -133,7 +133,7 @@ def recall_of_trained_cells(spark, sf_dir):
     write_cells(assign_cells(rows, centroids), path)
     corpus = spark.read.parquet(path).select("id", "cell", F.col("embedding").alias("vector"))
     queries = rows.select(F.col("id").alias("qid"), F.col("embedding").alias("vector"))
-    exact = nearest_many(queries, corpus.drop("cell"), 10)
+    exact = materialize(nearest_many(queries, corpus.drop("cell"), 10), "exact")
     out = None
     for probes in (1, 4, 16, 64):
         found = cell_search_many(queries, corpus, centroids, 10, probes)

@@ -31,7 +31,6 @@ from vicinity.operators.changes import (
     delete_rows,
     first_wins,
     insert_rows,
-    load_report,
     upsert,
 )
 from vicinity.operators.checks import fingerprint
@@ -41,7 +40,7 @@ from vicinity.operators.numbering import number_rows
 from vicinity.plans.common import CATALOG, as_of, catalog
 from vicinity.plans.registry import query
 from vicinity.session import scratch, table
-from vicinity.sources.catalog import clean_catalog, empty_catalog, is_usable, read_catalog, to_catalog
+from vicinity.sources.catalog import empty_catalog, is_usable, load_catalog, read_catalog, to_catalog
 
 _FEED = """feed AS (
   SELECT p_partkey AS file_row, p_name || CASE WHEN p_size = 50 THEN ' 1/6 Barrel' ELSE '' END AS name,
@@ -109,7 +108,7 @@ def count_usable_rows(spark, sf_dir):
     return rows.agg(
         F.count("*").alias("rows"),
         F.count_if(small).alias("small_lots"),
-        F.count_if(is_usable(rows)).alias("usable"),
+        F.count_if(is_usable()).alias("usable"),
     )
 
 
@@ -119,7 +118,7 @@ SELECT file_row AS line, name AS beer_name, brand AS brewery, categories AS styl
   NULL::INT AS hoppy, sha256({_INFO}) AS text_hash FROM usable""")
 def map_catalog_rows(spark, sf_dir):
     rows = read_catalog(spark, _catalog_file(spark, sf_dir))
-    mapped = to_catalog(rows.filter(is_usable(rows)).withColumn("file_row", F.col("_c0").cast("long")))
+    mapped = to_catalog(rows.filter(is_usable()).withColumn("file_row", F.col("_c0").cast("long")))
     return mapped.select(
         F.col("file_row").alias("line"), "beer_name", "brewery", "style", F.col("abv").cast("double").alias("abv"),
         "min_ibu", "max_ibu", F.col("review_overall").cast("double").alias("review_overall"),
@@ -131,8 +130,7 @@ def map_catalog_rows(spark, sf_dir):
 SELECT row_number() OVER (ORDER BY file_row) AS id, name AS beer_name, brand AS brewery, categories AS style,
        ibu::DOUBLE AS abv, sha256(info) AS text_hash, true AS stamped, true AS unembedded FROM firsts""")
 def load_into_empty_catalog(spark, sf_dir):
-    source = clean_catalog(read_catalog(spark, _catalog_file(spark, sf_dir)))
-    merged = upsert(empty_catalog(spark), source, ["beer_name", "brewery", "style"], as_of(), "file_row")
+    merged, _ = load_catalog(spark, _catalog_file(spark, sf_dir), empty_catalog(spark), as_of())
     return merged.select(
         "id", "beer_name", "brewery", "style", F.col("abv").cast("double").alias("abv"), "text_hash",
         (F.col("updated_at") == as_of()).alias("stamped"), F.col("embedding").isNull().alias("unembedded"),
@@ -143,12 +141,7 @@ def load_into_empty_catalog(spark, sf_dir):
 SELECT (SELECT count(*) FROM feed) AS read, (SELECT count(*) FROM feed) - (SELECT count(*) FROM usable) AS skipped,
   (SELECT count(*) FROM usable) - n AS duplicates, n AS total, n AS inserted, 0::BIGINT AS updated FROM second""")
 def report_first_load(spark, sf_dir):
-    read = read_catalog(spark, _catalog_file(spark, sf_dir))
-    usable = read.filter(is_usable(read))
-    merged = upsert(
-        empty_catalog(spark), clean_catalog(read), ["beer_name", "brewery", "style"], as_of(), "file_row", change_col="change"
-    )
-    return load_report(read, usable, merged, "change")
+    return load_catalog(spark, _catalog_file(spark, sf_dir), empty_catalog(spark), as_of())[1]
 
 
 _KEYS = ["beer_name", "brewery", "style"]
@@ -170,14 +163,14 @@ def _parts(spark, sf_dir) -> DataFrame:
   SELECT *, p_partkey AS file_row, row_number() OVER (PARTITION BY p_name, p_brand, p_type ORDER BY p_partkey) AS rn,
          count(*) OVER (PARTITION BY p_name, p_brand, p_type) AS copies FROM part) WHERE rn = 1""")
 def first_row_per_key(spark, sf_dir):
-    kept = first_wins(_parts(spark, sf_dir), _KEYS, ["file_row"], copies="copies")
+    kept = first_wins(_parts(spark, sf_dir), _KEYS, "file_row", copies="copies")
     return kept.select(*_KEYS, "price", "file_row", "copies")
 
 
 def _two_feeds(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     """A table made of the smaller parts, and a feed of the larger ones."""
     parts = _parts(spark, sf_dir)
-    old = first_wins(parts.filter(F.col("size") <= 30), _KEYS, ["file_row"])
+    old = first_wins(parts.filter(F.col("size") <= 30), _KEYS, "file_row")
     target = old.select(
         (F.col("file_row") + 1).alias("id"), *_KEYS, "price", "info",
         text_hash(F.col("info")).alias("text_hash"),
@@ -185,7 +178,7 @@ def _two_feeds(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
         as_of("2024-01-01 00:00:00").alias("embedded_at"),
         as_of("2024-01-01 00:00:00").alias("updated_at"),
     )
-    source = first_wins(parts.filter(F.col("size") >= 20), _KEYS, ["file_row"])
+    source = first_wins(parts.filter(F.col("size") >= 20), _KEYS, "file_row")
     source = source.withColumn("text_hash", text_hash(F.col("info")))
     return target, source
 

@@ -125,7 +125,7 @@ def embed_rows_on_write(spark, sf_dir):
 
 @query("""WITH c AS (SELECT user_id AS id, event_type || ' ' || props AS info, ts,
     row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events)
-SELECT id, sha256(info) AS text_hash, 64 AS dims, epoch_us(ts) AS changed FROM c WHERE rn = 1""")
+SELECT id, sha256(info) AS text_hash, 64 AS dims, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS changed FROM c WHERE rn = 1""")
 def keep_vectors_fresh_from_feed(spark, sf_dir):
     """A change feed, last write per row, swept into the vector log."""
     schema = table(spark, sf_dir, "events").schema
@@ -142,7 +142,7 @@ def keep_vectors_fresh_from_feed(spark, sf_dir):
     job.awaitTermination()
     now = current_vectors(spark, path)
     return now.select(
-        "id", "text_hash", dims(F.col("embedding")).alias("dims"), F.unix_micros("embedded_at").alias("changed")
+        "id", "text_hash", dims(F.col("embedding")).alias("dims"), F.date_format("embedded_at", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("changed")
     )
 
 

@@ -26,3 +26,15 @@ def scratch(spark: SparkSession, label: str) -> str:
         base = tempfile.mkdtemp(prefix="run-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    """Write a table to the shared folder and read it back.
+
+    For results that several later steps use: they read columns of a file, not
+    the whole lineage again, and a lost executor costs no recomputation.
+    """
+    spark = df.sparkSession
+    path = scratch(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

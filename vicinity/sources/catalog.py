@@ -16,6 +16,8 @@ from vicinity.functions.text import (
     to_number,
     to_whole,
 )
+from vicinity.operators.changes import first_wins, load_report, upsert
+from vicinity.session import materialize
 
 # ---------------------------------------------------------------------------
 # The file format and the table schema.
@@ -116,7 +118,7 @@ def read_catalog(spark: SparkSession, path: str) -> DataFrame:
     return placed.select(*[f"`{h}`" for h in headers], (F.col("_file") * ROWS_PER_FILE + F.col("_row")).alias("file_row"))
 
 
-def is_usable(rows: DataFrame) -> Column:
+def is_usable() -> Column:
     """Has a name and is not a repeat of an item in another package size."""
     return (F.col("Name") != "") & ~is_small_lot(F.col("Name"), F.col("Description"))
 
@@ -154,9 +156,20 @@ def to_catalog(rows: DataFrame) -> DataFrame:
 
 def clean_catalog(rows: DataFrame) -> DataFrame:
     """Usable rows in table form, first per natural key in file order."""
-    from vicinity.operators.changes import first_wins
+    return first_wins(to_catalog(rows.filter(is_usable())), NATURAL_KEY, "file_row")
 
-    return first_wins(to_catalog(rows.filter(is_usable(rows))), NATURAL_KEY, ["file_row"])
+
+def load_catalog(spark: SparkSession, path: str, target: DataFrame, as_of: Column) -> tuple[DataFrame, DataFrame]:
+    """Read, clean and upsert a file: the next snapshot and the load's counts.
+
+    The text file is parsed once and kept as columns; counting, deduplication
+    and the two sides of the upsert read those. The snapshot has a ``change``
+    column (insert, update, keep).
+    """
+    rows = materialize(read_catalog(spark, path), "catalog-rows")
+    source = materialize(clean_catalog(rows), "catalog-source")
+    merged = upsert(target, source, NATURAL_KEY, as_of, "file_row", change_col="change")
+    return merged, load_report(rows, is_usable(), merged, "change")
 
 
 def empty_catalog(spark: SparkSession) -> DataFrame:

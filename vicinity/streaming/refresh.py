@@ -46,6 +46,13 @@ def current_vectors(spark: SparkSession, path: str) -> DataFrame:
     return log.groupBy("id").agg(F.max_by(entry, "epoch").alias("_e")).select("id", "_e.*")
 
 
+def compact_log(spark: SparkSession, path: str, new_path: str) -> None:
+    """Copy the current vectors to a new log under the last epoch's number, for a
+    stopped stream to go on with."""
+    last = spark.read.parquet(path).agg(F.max("epoch")).first()[0]
+    current_vectors(spark, path).write.mode("overwrite").parquet(f"{new_path}/epoch={last}")
+
+
 def last_write(changes: DataFrame, order: Sequence[str], id_col: str = "id", text_col: str = "info", time_col: str = "changed_at") -> DataFrame:
     """The last change per row."""
     last = F.max_by(F.struct(text_col, time_col), F.struct(*order)).alias("_c")
