@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 from typing import Any
 
 import numpy as np
@@ -32,9 +31,22 @@ def _unit(rows: np.ndarray) -> np.ndarray:
     return (rows / np.maximum(lengths, MIN_NORM)[:, None]).astype("float32")
 
 
-@lru_cache(maxsize=1_000_000)
-def _slot(word: str, width: int) -> int:
-    return int(hashlib.md5(word.encode()).hexdigest()[:8], 16) % width
+class _Slots(dict):
+    """Slot of each word seen so far by this worker process."""
+
+    most = 1_000_000
+
+    def __init__(self, width: int):
+        super().__init__({"": -1})
+        self.width = width
+
+    def __missing__(self, word: str) -> int:
+        if len(self) > self.most:
+            self.clear()
+            self[""] = -1
+        slot = int.from_bytes(hashlib.md5(word.encode()).digest()[:4]) % self.width
+        self[word] = slot
+        return slot
 
 
 class HashedWords:
@@ -55,12 +67,9 @@ class HashedWords:
         words = pc.split_pattern_regex(pc.utf8_lower(texts), r"[^\p{L}\p{N}]+")
         owner = pc.list_parent_indices(words).to_numpy()
         coded = pc.list_flatten(words).dictionary_encode()
-        slots = np.array(
-            [_slot(w, self.width) if w else -1 for w in coded.dictionary.to_pylist()],
-            dtype="int64",
-        )
-        if slots.size == 0:
-            return np.zeros((len(texts), self.width), "float32")
+        known = loaded(("slots", self.width), lambda: _Slots(self.width))
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False)
+        slots = np.fromiter(map(known.__getitem__, distinct), "int64", len(distinct))
         slot = slots[coded.indices.to_numpy()]
         cell = (owner * self.width + slot)[slot >= 0]
         counts = np.bincount(cell, minlength=len(texts) * self.width)

@@ -34,6 +34,12 @@ LIKE_USAGE = "Usage: :like <beer id>"
 TOP_USAGE = "Usage: :top <n>  (1-50)"
 TOP_RANGE = "N must be between 1 and 50."
 UNKNOWN_REQUEST = "Unknown command %s.  Type :help for help."
+SIMPLE_COMMANDS = {
+    "explain": [":explain"],
+    "help": [":help"],
+    "clear": [":cls", ":clear"],
+    "quit": [":quit", ":exit", ":q"],
+}
 # ---------------------------------------------------------------------------
 
 _EDGES = r"(?U)^\s+|\s+$"
@@ -139,50 +145,40 @@ def result_line(rank: Column, name: Column, style: Column, dist: Column, row_id:
     )
 
 
-def classify_request(line: Column) -> Column:
-    """What a request line asks for: one struct, one of its fields set.
+def _request(kind: str, **given: str) -> str:
+    fields = {"prompt": "STRING", "like_id": "BIGINT", "top": "INT", "error": "STRING"}
+    rest = [f"CAST({given.get(name, 'NULL')} AS {kind_}) AS {name}" for name, kind_ in fields.items()]
+    return f"struct('{kind}' AS kind, {', '.join(rest)})"
+
+
+def _refusal(message: str, *values: str) -> str:
+    return _request("error", error=f"format_string({', '.join([repr(message), *values])})")
+
+
+def classify_request(column: str) -> Column:
+    """What the request line in a column asks for, as a struct with one field set.
 
     ``kind`` is search, like, top, explain, help, clear, quit or error; ids have
-    one to nine digits.
+    one to nine digits. One-element ``transform`` calls name the trimmed text and
+    the command, so both are worked out once, however many rules and later
+    filters look at them.
     """
-    request = F.regexp_replace(F.coalesce(line, F.lit("")), _EDGES, "")
-    words = F.split(request, r"(?U)\s+")
-    command = F.lower(words[0])
-    argument = F.when(F.size(words) == 2, F.element_at(words, 2))
-    length = F.char_length(request)
-    like_id = F.when(argument.rlike(r"^\d{1,9}$"), argument.try_cast("long"))
-    top = F.when(argument.rlike(r"^-?\d{1,9}$"), argument.try_cast("int"))
-
-    is_command = request.startswith(":")
-    is_like, is_top = command == ":like", command == ":top"
-    top_fits = top.between(TOP_MIN, TOP_MAX)
-    simple = {
-        "explain": [":explain"],
-        "help": [":help"],
-        "clear": [":cls", ":clear"],
-        "quit": [":quit", ":exit", ":q"],
-    }
-
-    error = (
-        F.when(request == "", F.lit(BLANK_REQUEST))
-        .when(~is_command & (length > PROMPT_LIMIT), F.format_string(LONG_REQUEST, length))
-        .when(~is_command, F.lit(None))
-        .when(is_like & like_id.isNull(), F.lit(LIKE_USAGE))
-        .when(is_top & top.isNull(), F.lit(TOP_USAGE))
-        .when(is_top & ~top_fits, F.lit(TOP_RANGE))
-        .when(is_like | is_top, F.lit(None))
-        .when(command.isin([c for names in simple.values() for c in names]), F.lit(None))
-        .otherwise(F.format_string(UNKNOWN_REQUEST, command))
-    )
-    kind = F.when(error.isNotNull(), "error").when(~is_command, "search")
-    kind = kind.when(is_like, "like").when(is_top, "top")
-    for name, spellings in simple.items():
-        kind = kind.when(command.isin(spellings), name)
-    good = error.isNull()
-    return F.struct(
-        kind.alias("kind"),
-        F.when(good & ~is_command, request).alias("prompt"),
-        F.when(good & is_like, like_id).alias("like_id"),
-        F.when(good & is_top, top).alias("top"),
-        error.alias("error"),
+    simple = "\n".join(
+        f"WHEN c.name IN ({', '.join(map(repr, names))}) THEN {_request(kind)}"
+        for kind, names in SIMPLE_COMMANDS.items()
     )
+    rules = f"""CASE
+      WHEN c.name = ':like' AND c.arg RLIKE '^[0-9]{{1,9}}$' THEN {_request("like", like_id="c.arg")}
+      WHEN c.name = ':like' THEN {_refusal(LIKE_USAGE)}
+      WHEN c.name = ':top' AND c.arg RLIKE '^-?[0-9]{{1,9}}$' THEN
+        IF(CAST(c.arg AS INT) BETWEEN {TOP_MIN} AND {TOP_MAX}, {_request("top", top="c.arg")}, {_refusal(TOP_RANGE)})
+      WHEN c.name = ':top' THEN {_refusal(TOP_USAGE)}
+      {simple}
+      ELSE {_refusal(UNKNOWN_REQUEST, "c.name")} END"""
+    command = rf"""transform(transform(array(split(t, r'(?U)\s+')),
+      w -> struct(lower(w[0]) AS name, IF(size(w) = 2, w[1], NULL) AS arg)), c -> {rules})[0]"""
+    return F.expr(f"""transform(array(regexp_replace(coalesce({column}, ''), r'{_EDGES}', '')), t -> CASE
+      WHEN startswith(t, ':') THEN {command}
+      WHEN t = '' THEN {_refusal(BLANK_REQUEST)}
+      WHEN char_length(t) > {PROMPT_LIMIT} THEN {_refusal(LONG_REQUEST, "char_length(t)")}
+      ELSE {_request("search", prompt="t")} END)[0]""")

@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 
 from vicinity.functions.vectors import METRICS, to_matrix
 
-SEND_LIMIT = 64 * 1024 * 1024  # bytes of query vectors sent to every task
+SEND_LIMIT = 64 * 1024 * 1024  # bytes of query vectors that may be sent to every task
+SEND_ROWS = 16_384  # queries that may be sent to every task
 BLOCK_ROWS = 1024  # vectors per packed block
 PAIRS_AT_ONCE = 4_000_000  # distances held at one time inside a task
 OUT = "qid long, id long, distance double"
@@ -217,12 +218,11 @@ def nearest_many(
     corpus = corpus.filter(F.col("vector").isNotNull()).select(
         F.col("id").cast("long").alias("id"), "vector", *(["cell"] if celled else [])
     )
-    sample = queries.select(F.size("vector")).first()
-    if sample is None:
+    fetched = queries.limit(SEND_ROWS + 1).toArrow()  # at most SEND_ROWS + 1 rows
+    if fetched.num_rows == 0:
         return queries.sparkSession.createDataFrame([], OUT + ", rank int")
-    most = send_limit // (8 * max(sample[0], 1))
-    fetched = queries.limit(most + 1).toArrow() if most else None  # never more than the limit
-    if fetched is not None and fetched.num_rows <= most:
+    width = len(fetched["vector"][0])
+    if fetched.num_rows <= SEND_ROWS and fetched.num_rows * width * 8 <= send_limit:
         return _send(fetched, corpus, n, metric)
     if not celled:
         queries = queries.withColumn("cells", F.array(F.lit(0)))

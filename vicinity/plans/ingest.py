@@ -408,7 +408,7 @@ def classify_requests(spark, sf_dir):
     lines = events.select(F.col("event_id").alias("qid"), line.alias("line")).unionByName(
         talks.select((-1 - F.col("conv_id") * 1000 - F.col("turn")).alias("qid"), F.col("text").alias("line"))
     )
-    asked = lines.select("qid", classify_request(F.col("line")).alias("r"))
+    asked = lines.select("qid", classify_request("line").alias("r"))
     return asked.select(
         "qid", "r.kind", text_hash(F.col("r.prompt")).alias("prompt_hash"), "r.like_id", "r.top", "r.error"
     )

@@ -2,12 +2,30 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Make this package importable in the session's Python workers.
+
+    The same as submitting it with ``--py-files``; once per application.
+    """
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        package = Path(__file__).resolve().parent
+        name = f"{tempfile.mkdtemp(prefix='run-')}/{package.name}"
+        context.addPyFile(shutil.make_archive(name, "zip", package.parent, package.name))
+        _SHIPPED.add(context.applicationId)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
