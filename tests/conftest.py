@@ -1,10 +1,14 @@
+import os
 import sys
 from pathlib import Path
 
 import pytest
 from pyspark.sql import SparkSession
 
-sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+ROOT = Path(__file__).resolve().parents[1]
+sys.path.insert(0, str(ROOT))
+# Workers import the package and the encoders defined in test modules.
+os.environ["PYTHONPATH"] = os.pathsep.join([str(ROOT), str(ROOT / "tests"), os.environ.get("PYTHONPATH", "")])
 
 
 @pytest.fixture(scope="session")

@@ -51,7 +51,7 @@ def test_unequal_sizes_raise(spark):
         df.select(distance_to(F.col("v"), [1.0, 2.0, 3.0])).collect()
 
 
-def test_unknown_metric_is_refused():
+def test_unknown_metric_is_refused(spark):
     with pytest.raises(ValueError):
         distance(F.lit(None), F.lit(None), "hamming")
     with pytest.raises(ValueError):
