@@ -66,6 +66,14 @@ def test_rows_without_a_vector_are_never_hits(shelf):
     assert 6 not in ids(nearest(shelf, axis((0, 1.0)), 50))
 
 
+def test_a_zero_vector_ranks_behind_all_others_and_before_nothing(spark, shelf):
+    more = shelf.unionByName(spark.createDataFrame([(0, "flat", [0.0] * WIDTH), (7, "none", None)], shelf.schema))
+    for options in ({}, {"where": F.lit(True), "mode": "iterative"}, {"where": F.lit(True), "mode": "postfilter"}):
+        hits = nearest(more, axis((0, 1.0)), 50, **options).collect()
+        assert [h.id for h in hits] == [1, 2, 3, 4, 5, 0]
+        assert hits[-1].distance is None
+
+
 def test_limit_and_exclusion(shelf):
     assert ids(nearest(shelf, axis((0, 1.0)), 2)) == [1, 2]
     assert ids(nearest(shelf, axis((0, 1.0)), 2, where=F.col("id") != 1)) == [2, 3]

@@ -8,7 +8,7 @@ Arrow batches, so there is no shuffle and one model object per worker process.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from typing import Any
 
 import numpy as np
@@ -170,19 +170,18 @@ def encode(text: Column, encoder=None, prefix: str = "") -> Column:
     rows_per_call = getattr(model, "chunk", DEFAULT_BATCH)
 
     @F.arrow_udf("array<float>")
-    def kernel(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
-            missing = batch.is_null().to_numpy(zero_copy_only=False)
-            texts = batch.drop_null()
-            if prefix:
-                texts = pc.binary_join_element_wise(pa.scalar(prefix), texts, "")
-            parts = [
-                np.asarray(model.encode(texts.slice(i, rows_per_call)), dtype="float32")
-                for i in range(0, len(texts), rows_per_call)
-            ]
-            flat = np.concatenate(parts).ravel() if parts else np.empty(0, "float32")
-            ends = np.concatenate([[0], np.cumsum(~missing) * model.width]).astype("int32")
-            yield pa.ListArray.from_arrays(pa.array(ends), pa.array(flat), mask=pa.array(missing))
+    def kernel(batch: pa.Array) -> pa.Array:
+        missing = batch.is_null().to_numpy(zero_copy_only=False)
+        texts = batch.drop_null()
+        if prefix:
+            texts = pc.binary_join_element_wise(pa.scalar(prefix), texts, "")
+        parts = [
+            np.asarray(model.encode(texts.slice(i, rows_per_call)), dtype="float32")
+            for i in range(0, len(texts), rows_per_call)
+        ]
+        flat = np.concatenate(parts).ravel() if parts else np.empty(0, "float32")
+        ends = np.concatenate([[0], np.cumsum(~missing) * model.width]).astype("int32")
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat), mask=pa.array(missing))
 
     return kernel(text)
 

@@ -26,6 +26,10 @@ SCORE_WORDS = {  # score column -> word, in the order the phrase lists them
 PROMPT_LIMIT = 4000
 TOP_MIN, TOP_MAX, TOP_DEFAULT = 1, 50, 5
 TRUNCATE_WIDTH = 60
+WHITE_SPACE = (  # all characters Unicode counts as white space, and the separators U+001C..1F
+    "\t\n\v\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 SMALL_LOT_NAME = r"(?i)(?:\d\s*/\s*\d|[½¼⅙])\s*(?:barrel|keg)"
 SMALL_LOT_TEXT = "Kegs are intended for Kegerator use"
 BLANK_REQUEST = "Please enter a prompt or command (:help for help)."
@@ -42,13 +46,13 @@ SIMPLE_COMMANDS = {
 }
 # ---------------------------------------------------------------------------
 
-_EDGES = r"(?U)^\s+|\s+$"
+def strip(text: Column) -> Column:
+    return F.btrim(text, F.lit(WHITE_SPACE))
 
 
 def clean(text: Column) -> Column:
     """NULL to '', byte-order marks off the front, white space off both ends."""
-    no_mark = F.regexp_replace(F.coalesce(text, F.lit("")), "^﻿+", "")
-    return F.regexp_replace(no_mark, _EDGES, "")
+    return strip(F.ltrim(F.coalesce(text, F.lit("")), F.lit("\ufeff")))
 
 
 def blank_to_null(text: Column) -> Column:
@@ -82,8 +86,7 @@ def is_small_lot(name: Column, description: Column) -> Column:
 
 
 def _part(text: Column, before: str = "", after: str = "") -> Column:
-    value = F.regexp_replace(text, _EDGES, "")
-    return F.when(value != "", F.concat(F.lit(before), value, F.lit(after)))
+    return F.concat(F.lit(before), F.nullif(strip(text), F.lit("")), F.lit(after))
 
 
 def fold_description(description, notes, pairing, country) -> Column:
@@ -99,18 +102,15 @@ def fold_description(description, notes, pairing, country) -> Column:
 
 def score_phrase(scores: Mapping[str, Column]) -> Column:
     """Words of all scores at or above the threshold; NULL if there are none."""
-    words = F.array_compact(
-        F.array(
-            *[
-                F.when(scores[key] >= SCORE_THRESHOLD, F.lit(word))
-                for key, word in SCORE_WORDS.items()
-                if key in scores
-            ]
-        )
-    )
-    return F.when(
-        F.size(words) > 0, F.concat(F.lit("Taste: "), F.array_join(words, ", "), F.lit("."))
+    words = F.concat_ws(
+        ", ",
+        *[
+            F.when(scores[key] >= SCORE_THRESHOLD, F.lit(word))
+            for key, word in SCORE_WORDS.items()
+            if key in scores
+        ],
     )
+    return F.concat(F.lit("Taste: "), F.nullif(words, F.lit("")), F.lit("."))
 
 
 def compose_info(name, style, description, scores: Mapping[str, Column] | None = None) -> Column:
@@ -177,7 +177,7 @@ def classify_request(column: str) -> Column:
       ELSE {_refusal(UNKNOWN_REQUEST, "c.name")} END"""
     command = rf"""transform(transform(array(split(t, r'(?U)\s+')),
       w -> struct(lower(w[0]) AS name, IF(size(w) = 2, w[1], NULL) AS arg)), c -> {rules})[0]"""
-    return F.expr(f"""transform(array(regexp_replace(coalesce({column}, ''), r'{_EDGES}', '')), t -> CASE
+    return F.expr(f"""transform(array(btrim(coalesce({column}, ''), '{WHITE_SPACE}')), t -> CASE
       WHEN startswith(t, ':') THEN {command}
       WHEN t = '' THEN {_refusal(BLANK_REQUEST)}
       WHEN char_length(t) > {PROMPT_LIMIT} THEN {_refusal(LONG_REQUEST, "char_length(t)")}

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -103,29 +104,53 @@ def to_matrix(vectors: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
     return flat.astype("float64").reshape(rows, width), valid
 
 
-def row_distances(rows: np.ndarray, query: np.ndarray, metric: str) -> np.ndarray:
-    """Distance of each row to one query; NaN where cosine has no direction.
+def row_distances(rows: np.ndarray, others: np.ndarray, metric: str) -> np.ndarray:
+    """Distance of each row to one vector or to its counterpart; NaN where cosine
+    has no direction.
 
     ``einsum`` treats every row alike, so equal rows get equal bits wherever
     they stand in a batch and ties stay ties.
     """
+    sums = "ij,j->i" if others.ndim == 1 else "ij,ij->i"
     if metric == "cosine":
-        lengths = np.sqrt(np.einsum("ij,ij->i", rows, rows)) * np.sqrt(query @ query)
+        other_sq = others @ others if others.ndim == 1 else np.einsum("ij,ij->i", others, others)
+        lengths = np.sqrt(np.einsum("ij,ij->i", rows, rows)) * np.sqrt(other_sq)
         with np.errstate(divide="ignore", invalid="ignore"):
-            similarity = np.einsum("ij,j->i", rows, query) / lengths
+            similarity = np.einsum(sums, rows, others) / lengths
         return np.where(lengths > 0, np.clip(1.0 - similarity, 0.0, 2.0), np.nan)
+    if metric == "ip":
+        return -np.einsum(sums, rows, others)
+    gap = rows - others
     if metric == "l2":
-        gap = rows - query
         return np.sqrt(np.einsum("ij,ij->i", gap, gap))
-    if metric == "ip":
-        return -np.einsum("ij,j->i", rows, query)
-    if metric == "l1":
-        return np.einsum("ij->i", np.abs(rows - query))
-    raise ValueError(f"unknown metric {metric!r}, use one of {METRICS}")
+    return np.einsum("ij->i", np.abs(gap))
+
+
+def distance_between(a: Column, b: Column, metric: str = "cosine") -> Column:
+    """``distance`` of two vector columns by Arrow batches, for many rows."""
+    if metric not in METRICS:
+        raise ValueError(f"unknown metric {metric!r}, use one of {METRICS}")
+
+    @F.arrow_udf("double")
+    def kernel(left: pa.Array, right: pa.Array) -> pa.Array:
+        both = pc.and_(left.is_valid(), right.is_valid())
+        valid = both.to_numpy(zero_copy_only=False)
+        out = np.full(len(valid), np.nan)
+        if valid.any():
+            left, right = left.filter(both), right.filter(both)
+            width = len(left[0])
+            out[valid] = row_distances(to_matrix(left, width)[0], to_matrix(right, width)[0], metric)
+        return pa.array(out, mask=np.isnan(out))
+
+    return kernel(a, b)
 
 
 def distance_to(v: Column, query: Sequence[float], metric: str = "cosine") -> Column:
-    """Distance of a vector column to one known vector, by Arrow batches."""
+    """Distance of a vector column to one known vector, by Arrow batches.
+
+    NULL without a vector, NaN (which sorts behind every number) where a zero
+    vector has no cosine distance.
+    """
     if metric not in METRICS:
         raise ValueError(f"unknown metric {metric!r}, use one of {METRICS}")
     target = np.asarray(query, dtype="float64")
@@ -135,6 +160,6 @@ def distance_to(v: Column, query: Sequence[float], metric: str = "cosine") -> Co
         rows, valid = to_matrix(vectors, target.size)
         out = np.full(len(valid), np.nan)
         out[valid] = row_distances(rows, target, metric)
-        return pa.array(out, mask=np.isnan(out))
+        return pa.array(out, mask=~valid)
 
     return kernel(v)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vicinity.functions.encode import encode
-from vicinity.functions.vectors import distance
+from vicinity.functions.vectors import distance_between
 from vicinity.operators.fresh import is_stale
 
 
@@ -64,8 +64,8 @@ def triplets(
     vectors = df
     for c in (anchor, related, unrelated):
         vectors = vectors.withColumn(f"_{c}", encode(F.col(c), encoder))
-    near = distance(F.col(f"_{anchor}"), F.col(f"_{related}"))
-    far = distance(F.col(f"_{anchor}"), F.col(f"_{unrelated}"))
+    near = distance_between(F.col(f"_{anchor}"), F.col(f"_{related}"))
+    far = distance_between(F.col(f"_{anchor}"), F.col(f"_{unrelated}"))
     measured = vectors.withColumn("d_related", near).withColumn("d_unrelated", far)
     return measured.withColumn("ok", F.col("d_related") < F.col("d_unrelated")).drop(
         f"_{anchor}", f"_{related}", f"_{unrelated}"

@@ -72,6 +72,8 @@ class _Best:
 
     def add(self, ids: np.ndarray, rows: np.ndarray, wanted: np.ndarray | None = None) -> None:
         """Look at some corpus rows for all queries, or for the wanted ones."""
+        if not len(ids):
+            return
         pick = np.arange(len(self.qids)) if wanted is None else wanted
         step = max(1, PAIRS_AT_ONCE // max(1, len(ids)))
         new = [self.found]
@@ -130,12 +132,12 @@ def _send(queries: pa.Table, corpus: DataFrame, n: int, metric: str) -> DataFram
         qids, skip, matrix, by_cell = sent.value
         best = _Best(matrix, qids, skip, n, metric)
         for batch in batches:
-            rows, _ = to_matrix(batch.column("vector"), width)
-            ids = batch.column("id").to_numpy()
+            rows, valid = to_matrix(batch.column("vector"), width)
+            ids = batch.column("id").to_numpy()[valid]
             if by_cell is None:
                 best.add(ids, rows)
                 continue
-            cell = batch.column("cell").to_numpy()
+            cell = batch.column("cell").to_numpy(zero_copy_only=False)[valid]
             for c in np.unique(cell):
                 wanted = by_cell.get(int(c))
                 if wanted is not None:
@@ -209,21 +211,25 @@ def nearest_many(
         raise ValueError(f"unknown metric {metric!r}, use one of {METRICS}")
     celled = "cells" in queries.columns
     skip = F.col("qid") if exclude_self else F.col("skip") if "skip" in queries.columns else F.lit(None)
-    queries = queries.filter(F.col("vector").isNotNull()).select(
+    queries = queries.select(
         F.col("qid").cast("long").alias("qid"),
         "vector",
         F.coalesce(skip.cast("long"), F.lit(int(NO_SKIP))).alias("skip"),
         *(["cells"] if celled else []),
     )
-    corpus = corpus.filter(F.col("vector").isNotNull()).select(
+    corpus = corpus.select(
         F.col("id").cast("long").alias("id"), "vector", *(["cell"] if celled else [])
     )
     fetched = queries.limit(SEND_ROWS + 1).toArrow()  # at most SEND_ROWS + 1 rows
-    if fetched.num_rows == 0:
-        return queries.sparkSession.createDataFrame([], OUT + ", rank int")
-    width = len(fetched["vector"][0])
-    if fetched.num_rows <= SEND_ROWS and fetched.num_rows * width * 8 <= send_limit:
-        return _send(fetched, corpus, n, metric)
+    if fetched.num_rows <= SEND_ROWS:
+        # Rows without a vector are dropped here: as a filter in the plan, the
+        # test would have a computed vector computed twice.
+        fetched = fetched.filter(fetched["vector"].is_valid())
+        if fetched.num_rows == 0:
+            return queries.sparkSession.createDataFrame([], OUT + ", rank int")
+        if fetched.num_rows * len(fetched["vector"][0]) * 8 <= send_limit:
+            return _send(fetched, corpus, n, metric)
+    queries, corpus = (df.filter(F.col("vector").isNotNull()) for df in (queries, corpus))
     if not celled:
         queries = queries.withColumn("cells", F.array(F.lit(0)))
         corpus = corpus.withColumn("cell", F.lit(0))

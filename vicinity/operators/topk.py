@@ -7,12 +7,13 @@ per partition and one small merge: no full sort, no shuffle of the corpus.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vicinity.functions.vectors import distance_to
+from vicinity.functions.vectors import distance_between, distance_to
 
 # Candidate width and scan limit of the approximate modes.
 DEFAULT_EF = 40
@@ -53,13 +54,19 @@ def row_vectors(df: DataFrame, requested: DataFrame, id_col: str = "id", vec_col
 def with_distance(
     df: DataFrame, query: Sequence[float], metric: str = "cosine", vec_col: str = "embedding"
 ) -> DataFrame:
-    """Rows that have a vector, with their distance to the query."""
-    present = df.filter(F.col(vec_col).isNotNull())
-    return present.withColumn("distance", distance_to(F.col(vec_col), query, metric))
+    """The vector's distance to the query in its place: NULL without a vector, NaN
+    without a direction."""
+    return df.withColumn("distance", distance_to(F.col(vec_col), query, metric)).drop(vec_col)
 
 
 def _first(df: DataFrame, n: int, id_col: str) -> DataFrame:
-    return df.orderBy(F.asc_nulls_last("distance"), id_col).limit(n)
+    """Top ``n``. Rows without a vector sort behind all others and drop out after
+    the limit: a filter before it would have a computed vector computed twice."""
+    return df.orderBy(F.asc_nulls_last("distance"), id_col).limit(n).filter(F.col("distance").isNotNull())
+
+
+def _number_or_null(hits: DataFrame) -> DataFrame:
+    return hits.withColumn("distance", F.nanvl("distance", F.lit(None).cast("double")))
 
 
 def nearest(
@@ -85,21 +92,20 @@ def nearest(
     keep = F.lit(True) if where is None else where
     if mode == "exact":
         df = df if where is None else df.filter(where)
-        slim = df.select(id_col, *columns, vec_col)
-        ranked = with_distance(slim, query, metric, vec_col).drop(vec_col)
-        return _first(ranked, n, id_col)
+        ranked = with_distance(df.select(id_col, *columns, vec_col), query, metric, vec_col)
+        return _number_or_null(_first(ranked, n, id_col))
 
     slim = df.select(id_col, *columns, vec_col, keep.alias("_keep"))
-    ranked = with_distance(slim, query, metric, vec_col).drop(vec_col)
+    ranked = with_distance(slim, query, metric, vec_col)
     if mode == "postfilter":
         if not 1 <= ef <= MAX_EF:
             raise ValueError(f"ef must be between 1 and {MAX_EF}")
         candidates = _first(ranked, ef, id_col)
-        return _first(candidates.filter("_keep").drop("_keep"), n, id_col)
+        return _number_or_null(_first(candidates.filter("_keep").drop("_keep"), n, id_col))
     if mode == "iterative":
         survivors = _with_global_rank(ranked, n, id_col)
         reached = survivors.filter(F.col("global_rank") <= max_scan)
-        return _first(reached.drop("global_rank"), n, id_col)
+        return _number_or_null(_first(reached.drop("global_rank"), n, id_col))
     raise ValueError(f"unknown mode {mode!r}")
 
 
@@ -111,7 +117,8 @@ def _with_global_rank(ranked: DataFrame, n: int, id_col: str) -> DataFrame:
     ``max_scan`` rows per partition never arises. The hits are one small array,
     computed once as a scalar subquery and used on both sides.
     """
-    far = F.coalesce("distance", F.lit(float("inf")))  # NULL distances rank last
+    # Behind every number: first rows without a direction, then those without a vector.
+    far = F.coalesce(F.nanvl("distance", F.lit(sys.float_info.max)), F.lit(float("inf")))
     hits = _first(ranked.filter("_keep").drop("_keep"), n, id_col)
     entry = F.struct(far.alias("d"), F.col(id_col).alias("i"), F.struct("*").alias("row"))
     marks = hits.agg(F.array_sort(F.collect_list(entry)).alias("marks"))  # at most n entries
@@ -159,7 +166,7 @@ def candidate_sweep(
 ) -> DataFrame:
     """Rows a post-filtered search returns for each candidate width."""
     slim = df.select(id_col, vec_col, where.alias("_keep"))
-    ranked = with_distance(slim, query, metric, vec_col).drop(vec_col)
+    ranked = with_distance(slim, query, metric, vec_col)
     hits = _with_global_rank(ranked, n, id_col).select("global_rank")
     counts = [F.count_if(F.col("global_rank") <= w).alias(str(w)) for w in widths]
     by_width = F.array(
@@ -184,7 +191,6 @@ def compare_pairs(
     vec_col: str = "embedding",
 ) -> DataFrame:
     """Distance and attributes for each row of ``pairs`` (columns a, b, any more)."""
-    from vicinity.functions.vectors import distance
 
     def side(name: str) -> DataFrame:
         return df.select(
@@ -194,4 +200,4 @@ def compare_pairs(
         )
 
     both = pairs.join(side("a"), "a").join(side("b"), "b")
-    return both.withColumn("distance", distance(F.col("_a"), F.col("_b"), metric)).drop("_a", "_b")
+    return both.withColumn("distance", distance_between(F.col("_a"), F.col("_b"), metric)).drop("_a", "_b")

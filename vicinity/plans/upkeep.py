@@ -25,7 +25,7 @@ from vicinity.operators.fresh import (
 from vicinity.operators.topk import nearest, row_vector
 from vicinity.plans.common import AS_OF, CATALOG, EMBEDDED_AT, STALE, as_of, catalog, cosine
 from vicinity.plans.registry import query
-from vicinity.session import scratch, table
+from vicinity.session import scratch, spread, table
 from vicinity.streaming.refresh import ONCE, current_vectors, embed_on_write, keep_fresh, open_log
 
 WIDTH = 64  # the stored vectors' size, so that refreshed ones fit beside them
@@ -78,7 +78,7 @@ def batch_members_by_position(spark, sf_dir):
 @query(f"""WITH {CATALOG} SELECT id, {STALE} AS refreshed, 64 AS dims, CASE WHEN {STALE} OR embedding IS NOT NULL THEN sha256(info) END AS text_hash,
   CASE WHEN {STALE} THEN '{AS_OF}' ELSE '{EMBEDDED_AT}' END AS embedded_at FROM catalog""")
 def refresh_stale_rows(spark, sf_dir):
-    rows = refresh(catalog(spark, sf_dir), as_of(), _encoder())
+    rows = refresh(spread(catalog(spark, sf_dir)), as_of(), _encoder())
     moment = F.date_format("embedded_at", "yyyy-MM-dd HH:mm:ss")
     return rows.select(
         "id", (F.col("embedded_at") == as_of()).alias("refreshed"), dims(F.col("embedding")).alias("dims"),

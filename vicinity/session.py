@@ -8,6 +8,7 @@ import uuid
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 _SHIPPED: set[str] = set()
@@ -26,6 +27,24 @@ def ship(spark: SparkSession) -> None:
         _SHIPPED.add(context.applicationId)
 
 
+SPREAD_BYTES = 1 << 30
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal a small table out to all cores before costly work on its rows.
+
+    Only for input in fewer files than there are cores and of at most 1 GB; a
+    bigger table has enough pieces of its own and is left where it is.
+    """
+    spark, files = df.sparkSession, df.inputFiles()
+    cores = spark.sparkContext.defaultParallelism
+    if not files or len(files) >= cores:
+        return df
+    listed = spark.read.format("binaryFile").load(files)
+    small = (listed.agg(F.sum("length")).first()[0] or 0) <= SPREAD_BYTES
+    return df.repartition(cores) if small else df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
