@@ -157,7 +157,7 @@ def test_no_row_passes(cloud):
 
 
 @pytest.mark.parametrize("metric", ["cosine", "l2", "ip", "l1"])
-@pytest.mark.parametrize("options", [{}, {"send_limit": 0, "block_rows": 64}])
+@pytest.mark.parametrize("options", [{}, {"send_limit": 0, "block_rows": 64, "query_block_rows": 48}])
 def test_many_queries_match_brute_force(cloud, metric, options):
     df, points = cloud
     corpus = df.select("id", F.col("embedding").alias("vector"))
@@ -218,7 +218,7 @@ def test_recall_grows_with_probes_in_both_ways(cloud):
     before = 0.0
     for probes in (1, 3, 8):
         one = cell_search_many(queries, corpus, centroids, 5, probes)
-        other = cell_search_many(queries, corpus, centroids, 5, probes, send_limit=0, block_rows=16)
+        other = cell_search_many(queries, corpus, centroids, 5, probes, send_limit=0, block_rows=16, query_block_rows=8)
         key = lambda d: sorted((r.qid, r["rank"], r.id) for r in d.collect())
         assert key(one) == key(other)
         recall = recall_at_k(one, exact, 5).agg(F.avg("recall")).first()[0]

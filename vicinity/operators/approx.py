@@ -43,7 +43,7 @@ def train_centroids(
     """Centroids by cosine KMeans: cell, centroid. Default cells: sqrt(rows)."""
     present = df.filter(F.col(vec_col).isNotNull()).select(array_to_vector(vec_col).alias("features"))
     rows = present.count()
-    cells = cells or max(2, round(rows**0.5))
+    cells = cells or min(MAX_CELLS, max(2, round(rows**0.5)))
     share = min(1.0, cells * TRAIN_ROWS_PER_CELL / max(rows, 1))
     sample = present if share == 1.0 else present.sample(share, seed=seed)
     model = KMeans(k=cells, seed=seed, maxIter=max_iter, distanceMeasure="cosine").fit(sample)

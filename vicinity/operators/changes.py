@@ -20,25 +20,33 @@ SEND_ROWS = 100_000  # repeated keys that may be sent to every task
 
 
 def first_wins(
-    df: DataFrame, keys: Sequence[str], order_col: str, copies: str | None = None, send_rows: int = SEND_ROWS
+    df: DataFrame,
+    keys: Sequence[str],
+    order_col: str,
+    copies: str | None = None,
+    last: bool = False,
+    send_rows: int = SEND_ROWS,
 ) -> DataFrame:
-    """One row per key, the first by the unique ``order_col``; NULL keys are equal.
+    """One row per key, the first (or last) by ``order_col``; NULL keys are equal.
+
+    ``order_col`` must differ between the rows of a key.
 
     The first pass reads keys and order only, counts each key where its rows are
     and keeps the keys that occur twice or more, so a key that fills most of the
-    table moves one row per task. The second pass drops the later copies. While
+    table moves one row per task. The second pass drops the other copies. While
     the repeated keys are few they travel to the rows and the table is not
     shuffled at all; otherwise the two meet in a shuffle join, where adaptive
     execution splits an oversized key. ``copies`` names an optional column with
     the number of rows of each key.
     """
-    counted = df.groupBy(*keys).agg(F.min(order_col).alias("_first"), F.count("*").alias("_copies"))
+    winner = (F.max if last else F.min)(order_col).alias("_winner")
+    counted = df.groupBy(*keys).agg(winner, F.count("*").alias("_copies"))
     repeated = materialize(counted.filter(F.col("_copies") > 1), "repeated-keys")
     few = repeated.count() <= send_rows
     joined = df.alias("t").join(
         (F.broadcast(repeated) if few else repeated).alias("s"), _same_key(keys), "left"
     )
-    kept = joined.filter(F.col("s._first").isNull() | (F.col(f"t.{order_col}") == F.col("s._first")))
+    kept = joined.filter(F.col("s._winner").isNull() | (F.col(f"t.{order_col}") == F.col("s._winner")))
     count = [F.coalesce("s._copies", F.lit(1)).alias(copies)] if copies else []
     return kept.select(*[F.col(f"t.{c}").alias(c) for c in df.columns], *count)
 

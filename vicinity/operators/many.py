@@ -20,7 +20,10 @@ from vicinity.functions.vectors import METRICS, to_matrix
 
 SEND_LIMIT = 64 * 1024 * 1024  # bytes of query vectors that may be sent to every task
 SEND_ROWS = 16_384  # queries that may be sent to every task
-BLOCK_ROWS = 1024  # vectors per packed block
+# Vectors per packed block: the more in a corpus block, the fewer copies of the
+# queries; at 384 dimensions a pair of blocks is 18 MB.
+BLOCK_ROWS = 8192
+QUERY_BLOCK_ROWS = 4096
 PAIRS_AT_ONCE = 4_000_000  # distances held at one time inside a task
 OUT = "qid long, id long, distance double"
 NO_SKIP = np.iinfo("int64").min
@@ -155,22 +158,24 @@ def _blocks(df: DataFrame, block: str, id_col: str, *more: str) -> DataFrame:
     return df.groupBy("cell", block).agg(packed.alias("rows"))
 
 
-def _block_join(queries: DataFrame, corpus: DataFrame, n: int, metric: str, block_rows: int) -> DataFrame:
+def _block_join(
+    queries: DataFrame, corpus: DataFrame, n: int, metric: str, block_rows: int, query_block_rows: int
+) -> DataFrame:
     """Query blocks meet corpus blocks on (cell, block); each pair gives top ``n``.
 
     A big cell is split into as many blocks as it needs, so no join key holds
     more than one corpus block, however unevenly the cells are filled.
     """
 
-    def split(df: DataFrame, key: str, block: str) -> tuple[DataFrame, DataFrame]:
-        needed = F.ceil(F.count("*") / block_rows).cast("long").alias("blocks")
+    def split(df: DataFrame, key: str, block: str, rows: int) -> tuple[DataFrame, DataFrame]:
+        needed = F.ceil(F.count("*") / rows).cast("long").alias("blocks")
         sizes = df.groupBy("cell").agg(needed)  # one row per cell
         placed = df.join(F.broadcast(sizes), "cell")
         return placed.withColumn(block, F.pmod(F.xxhash64(key), F.col("blocks"))), sizes
 
-    placed, sizes = split(corpus, "id", "block")
+    placed, sizes = split(corpus, "id", "block", block_rows)
     right = _blocks(placed, "block", "id").withColumnRenamed("rows", "corpus_rows")
-    probes, _ = split(queries.withColumn("cell", F.explode("cells")), "qid", "group")
+    probes, _ = split(queries.withColumn("cell", F.explode("cells")), "qid", "group", query_block_rows)
     left = _blocks(probes, "group", "qid", "skip").withColumnRenamed("rows", "query_rows")
     numbers = F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
     left = left.join(F.broadcast(sizes), "cell").select("cell", F.explode(numbers).alias("block"), "query_rows")
@@ -199,6 +204,7 @@ def nearest_many(
     exclude_self: bool = False,
     send_limit: int = SEND_LIMIT,
     block_rows: int = BLOCK_ROWS,
+    query_block_rows: int = QUERY_BLOCK_ROWS,
 ) -> DataFrame:
     """The ``n`` nearest corpus rows of every query: qid, id, distance, rank.
 
@@ -233,4 +239,4 @@ def nearest_many(
     if not celled:
         queries = queries.withColumn("cells", F.array(F.lit(0)))
         corpus = corpus.withColumn("cell", F.lit(0))
-    return _block_join(queries, corpus, n, metric, block_rows)
+    return _block_join(queries, corpus, n, metric, block_rows, query_block_rows)

@@ -16,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from vicinity.functions.encode import encode
 from vicinity.functions.text import text_hash
+from vicinity.operators.changes import first_wins
 
 EVERY_MINUTE = {"processingTime": "1 minute"}
 ONCE = {"availableNow": True}
@@ -40,10 +41,8 @@ def open_log(spark: SparkSession, path: str, id_type: str = "long") -> None:
 
 
 def current_vectors(spark: SparkSession, path: str) -> DataFrame:
-    """Latest entry per id; tasks reduce to one entry per id before the shuffle."""
-    log = spark.read.parquet(path)
-    entry = F.struct("text_hash", "embedding", "embedded_at")
-    return log.groupBy("id").agg(F.max_by(entry, "epoch").alias("_e")).select("id", "_e.*")
+    """The entry of the latest epoch for each id; an epoch has an id once."""
+    return first_wins(spark.read.parquet(path), ["id"], "epoch", last=True).drop("epoch")
 
 
 def compact_log(spark: SparkSession, path: str, new_path: str) -> None:
