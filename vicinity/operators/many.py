@@ -152,10 +152,17 @@ def _send(queries: pa.Table, corpus: DataFrame, n: int, metric: str) -> DataFram
     return _merge(corpus.mapInArrow(search, OUT), n)
 
 
-def _blocks(df: DataFrame, block: str, id_col: str, *more: str) -> DataFrame:
-    """Pack the rows of a cell into blocks; the hash keeps them of one size."""
+def _blocks(df: DataFrame, keys: list[str], id_col: str, *more: str) -> DataFrame:
+    """Pack the rows of each block; the hash keeps blocks of one size."""
     packed = F.collect_list(F.struct(F.col(id_col).alias("id"), "vector", *more))
-    return df.groupBy("cell", block).agg(packed.alias("rows"))
+    return df.groupBy(*keys).agg(packed.alias("rows"))
+
+
+def _with_sizes(df: DataFrame, sizes: DataFrame, keys: list[str]) -> DataFrame:
+    """Add the number of blocks: of the row's cell, or of the whole table."""
+    if keys:
+        return df.join(F.broadcast(sizes), keys)
+    return df.withColumn("blocks", sizes.scalar())
 
 
 def _block_join(
@@ -167,19 +174,22 @@ def _block_join(
     more than one corpus block, however unevenly the cells are filled.
     """
 
+    keys = ["cell"] if "cells" in queries.columns else []
+
     def split(df: DataFrame, key: str, block: str, rows: int) -> tuple[DataFrame, DataFrame]:
         needed = F.ceil(F.count("*") / rows).cast("long").alias("blocks")
-        sizes = df.groupBy("cell").agg(needed)  # one row per cell
-        placed = df.join(F.broadcast(sizes), "cell")
-        return placed.withColumn(block, F.pmod(F.xxhash64(key), F.col("blocks"))), sizes
+        sizes = df.groupBy(*keys).agg(needed)  # one row per cell
+        return _with_sizes(df, sizes, keys).withColumn(block, F.pmod(F.xxhash64(key), F.col("blocks"))), sizes
 
+    if keys:
+        queries = queries.withColumn("cell", F.explode("cells"))
     placed, sizes = split(corpus, "id", "block", block_rows)
-    right = _blocks(placed, "block", "id").withColumnRenamed("rows", "corpus_rows")
-    probes, _ = split(queries.withColumn("cell", F.explode("cells")), "qid", "group", query_block_rows)
-    left = _blocks(probes, "group", "qid", "skip").withColumnRenamed("rows", "query_rows")
+    right = _blocks(placed, [*keys, "block"], "id").withColumnRenamed("rows", "corpus_rows")
+    probes, _ = split(queries, "qid", "group", query_block_rows)
+    left = _blocks(probes, [*keys, "group"], "qid", "skip").withColumnRenamed("rows", "query_rows")
     numbers = F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
-    left = left.join(F.broadcast(sizes), "cell").select("cell", F.explode(numbers).alias("block"), "query_rows")
-    pairs = left.join(right, ["cell", "block"]).select("query_rows", "corpus_rows")
+    left = _with_sizes(left, sizes, keys).select(*keys, F.explode(numbers).alias("block"), "query_rows")
+    pairs = left.join(right, [*keys, "block"]).select("query_rows", "corpus_rows")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -236,7 +246,4 @@ def nearest_many(
         if fetched.num_rows * len(fetched["vector"][0]) * 8 <= send_limit:
             return _send(fetched, corpus, n, metric)
     queries, corpus = (df.filter(F.col("vector").isNotNull()) for df in (queries, corpus))
-    if not celled:
-        queries = queries.withColumn("cells", F.array(F.lit(0)))
-        corpus = corpus.withColumn("cell", F.lit(0))
     return _block_join(queries, corpus, n, metric, block_rows, query_block_rows)

@@ -134,23 +134,16 @@ def _with_global_rank(ranked: DataFrame, n: int, id_col: str) -> DataFrame:
         .groupBy("gap")
         .count()
     )
-    running = Window.orderBy("gap").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    before = gaps.withColumn("before", F.sum("count").over(running))  # at most n + 1 rows
-    # The hit at position k is preceded by all rows in gaps 0..k.
+    counts = gaps.agg(F.collect_list(F.struct("gap", "count")).alias("counts"))  # at most n + 1
     places = (
         ranked.sparkSession.range(1)
-        .select(F.explode(F.array(marks.scalar())).alias("marks"))
-        .select(F.posexplode("marks").alias("pos", "mark"))
-    )
-    return (
-        places.join(F.broadcast(before), before["gap"] <= places["pos"], "left")
-        .groupBy("pos")
-        .agg(
-            F.first("mark.row").alias("row"),
-            (F.coalesce(F.max("before"), F.lit(0)) + 1).alias("global_rank"),
-        )
-        .select("row.*", "global_rank")
+        .select(F.explode(F.array(marks.scalar())).alias("marks"), counts.scalar().alias("counts"))
+        .select(F.posexplode("marks").alias("pos", "mark"), "counts")
     )
+    # The hit at position k is preceded by all rows in gaps 0..k.
+    before = F.filter("counts", lambda gap: gap["gap"] <= F.col("pos"))
+    rank = F.aggregate(before, F.lit(1).cast("long"), lambda total, gap: total + gap["count"])
+    return places.select("mark.row.*", rank.alias("global_rank"))
 
 
 def candidate_sweep(

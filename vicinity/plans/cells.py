@@ -102,12 +102,12 @@ found AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY round(distance,
 exact AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY round(distance, 12), id) AS rank FROM d)"""
 
 
-@query(f"{_MANY} SELECT qid, id, round(distance, 6) + 0.0 AS distance, rank::INT AS rank FROM found WHERE rank <= 10")
+@query(f"{_MANY} SELECT qid, id, round(round(distance, 12), 6) + 0.0 AS distance, rank::INT AS rank FROM found WHERE rank <= 10")
 def nearest_in_cells_for_every_row(spark, sf_dir):
     return _everything(spark, sf_dir, 3)[1].withColumn("distance", rounded(F.col("distance"), 6))
 
 
-@query(f"{_MANY} SELECT qid, id, round(distance, 6) + 0.0 AS distance, rank::INT AS rank FROM found WHERE rank <= 10")
+@query(f"{_MANY} SELECT qid, id, round(round(distance, 12), 6) + 0.0 AS distance, rank::INT AS rank FROM found WHERE rank <= 10")
 def nearest_in_cells_for_every_row_by_blocks(spark, sf_dir):
     found = _everything(spark, sf_dir, 3, send_limit=0, block_rows=128, query_block_rows=64)[1]
     return found.withColumn("distance", rounded(F.col("distance"), 6))

@@ -189,7 +189,7 @@ def compare_row_pairs(spark, sf_dir):
 
 @query("""WITH n AS (SELECT vec_id AS id, embedding, sqrt(list_inner_product(embedding::DOUBLE[], embedding::DOUBLE[])) AS len
   FROM (SELECT vec_id, [x * (label + 1) for x in embedding::DOUBLE[]] AS embedding FROM embeddings))
-SELECT id, round(len, 5) + 0.0 AS raw_length, 1.0::DOUBLE AS unit_length, round(embedding[1] / len, 5) + 0.0 AS first FROM n""")
+SELECT id, round(len, 5) + 0.0 AS raw_length, 1.0::DOUBLE AS unit_length, round((embedding[1] / len)::FLOAT::DOUBLE, 5) + 0.0 AS first FROM n""")
 def unit_vectors(spark, sf_dir):
     rows = _vectors(spark, sf_dir)
     longer = F.transform("embedding", lambda x: x.cast("double") * (F.col("label") + 1))
@@ -237,7 +237,7 @@ _EVERY_ROW = f"""WITH d AS (
   SELECT q.vec_id AS qid, e.vec_id AS id, {cosine('e.embedding', 'q.embedding')} AS distance
   FROM embeddings q, embeddings e WHERE q.vec_id <> e.vec_id),
 r AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY round(distance, 12), id) AS rank FROM d)
-SELECT qid, id, round(distance, 6) + 0.0 AS distance, rank::INT AS rank FROM r WHERE rank <= 5"""
+SELECT qid, id, round(round(distance, 12), 6) + 0.0 AS distance, rank::INT AS rank FROM r WHERE rank <= 5"""
 
 
 def _every_row(spark, sf_dir, **options) -> DataFrame:
