@@ -78,4 +78,5 @@ def test_column_prefix_and_query_agree(spark, folder):
     assert rows[0].v == pytest.approx(expected(2, 3, 4), abs=1e-6) and rows[1].v is None
     assert all(r.v == pytest.approx(expected(2, 5), abs=1e-6) for r in rows[2:])
     assert encode_text("peel oak", model, "lemon ") == pytest.approx(rows[0].v)
-    assert dict(model.info())["dimensions"] == "4"
+    info = dict(model.info())
+    assert info["dimensions"] == "4" and info["model_file"] == "model.onnx" and int(info["model_bytes"]) > 100

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable
+from pathlib import Path
 from typing import Any
 
 import numpy as np
@@ -141,8 +142,11 @@ class OnnxModel:
         import onnxruntime
         import tokenizers
 
+        file = Path(self.folder) / "model.onnx"
         return [
-            ("model", self.folder.rstrip("/").rsplit("/", 1)[-1]),
+            ("model", Path(self.folder).name),
+            ("model_file", file.resolve().name),
+            ("model_bytes", str(file.stat().st_size)),
             ("dimensions", str(self.width)),
             ("max_seq_length", str(self.max_tokens)),
             ("onnxruntime", onnxruntime.__version__),

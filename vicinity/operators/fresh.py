@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from vicinity.functions.encode import DEFAULT_BATCH, encode
 from vicinity.functions.text import text_hash
 from vicinity.operators.numbering import with_batches
+from vicinity.session import materialize
 
 
 def is_stale() -> Column:
@@ -66,7 +67,9 @@ def clear_vectors(df: DataFrame) -> DataFrame:
 
 def stale_batches(df: DataFrame, batch_size: int = DEFAULT_BATCH, id_col: str = "id") -> DataFrame:
     """Stale rows in id order as arrays of ``batch_size``: batch_no, ids, infos."""
-    pending = with_batches(stale(df).select(id_col, "info"), id_col, batch_size)
+    # Numbering reads the rows three times; the hashes are worked out once.
+    waiting = materialize(stale(df).select(id_col, "info"), "stale-rows")
+    pending = with_batches(waiting, id_col, batch_size)
     rows = F.array_sort(F.collect_list(F.struct(id_col, "info")))  # at most batch_size entries
     return pending.groupBy("batch_no").agg(rows.alias("rows")).select(
         "batch_no", F.col(f"rows.{id_col}").alias("ids"), F.col("rows.info").alias("infos")
