@@ -39,7 +39,7 @@ from vicinity.operators.meta import load_meta, merge_meta, prefixed, resolve_ali
 from vicinity.operators.numbering import number_rows
 from vicinity.plans.common import CATALOG, as_of, catalog
 from vicinity.plans.registry import query
-from vicinity.session import scratch, table
+from vicinity.session import scratch, spread, table
 from vicinity.sources.catalog import empty_catalog, is_usable, load_catalog, read_catalog, to_catalog
 
 _FEED = """feed AS (
@@ -82,7 +82,10 @@ def _catalog_file(spark, sf_dir) -> str:
         F.coalesce("text", blank).alias("Description"),
     )
     path = scratch(spark, "catalog-csv")
-    writer = feed.orderBy(" ").write.option("header", True).option("escape", '"').option("quoteAll", True)
+    # Many files in row order, since one task reads a whole file.
+    cores = spark.sparkContext.defaultParallelism
+    ordered = feed.repartitionByRange(cores, " ").sortWithinPartitions(" ")
+    writer = ordered.write.option("maxRecordsPerFile", 100_000).option("header", True).option("escape", '"').option("quoteAll", True)
     writer = writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
     writer.csv(path)
     return path
@@ -344,7 +347,7 @@ _SCORE_SQL = ", ".join(
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, 'Line ' || l_orderkey || CASE WHEN l_returnflag = 'A' THEN '' ELSE ' Style: ' || l_returnflag || '.' END
   || CASE WHEN words = '' THEN '' ELSE ' Taste: ' || words || '.' END AS info FROM x""")
 def compose_scored_texts(spark, sf_dir):
-    lines = table(spark, sf_dir, "lineitem")
+    lines = spread(table(spark, sf_dir, "lineitem"))
     scores = {k: F.round(F.expr(e)).cast("int") for k, e in _SCORED.items()}
     style = F.when(F.col("l_returnflag") != "A", F.col("l_returnflag")).otherwise(" ")
     name = F.concat(F.lit("  Line "), F.col("l_orderkey"))

@@ -9,6 +9,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 _SHIPPED: set[str] = set()
@@ -45,8 +46,17 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if small else df
 
 
+_SCHEMAS: dict[tuple[str, str], StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A test table; its schema is read once per application, as a catalogue would
+    keep it, so that opening it again starts no job."""
+    path = f"{sf_dir}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _SCHEMAS:
+        _SCHEMAS[key] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[key]).parquet(path)
 
 
 def scratch(spark: SparkSession, label: str) -> str:
