@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vicinity.llm import bpe
-from vicinity.llm.common import read
+from vicinity.llm import bpe, codes, shards
+from vicinity.llm.common import read, shared_folder, written
 from vicinity.session import ship
 
 Plan = Callable[[SparkSession, str], DataFrame]
@@ -44,3 +44,33 @@ def op1_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query()
+def op3_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shards.shard_by_bytes(read(spark, sf_dir, "documents"), 16).select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+@query()
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = codes.write_codes(
+        read(spark, sf_dir, "documents"),
+        public_tokenizers.path("byte_bpe_50k.json"),
+        shared_folder(spark, "token-files"),
+        end_id=2,
+    )
+    back = codes.read_codes(written(manifest, "token-manifest"))
+    return back.select(
+        "doc_id",
+        "start",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.crc32("ids").alias("ids_crc32"),
+    )
