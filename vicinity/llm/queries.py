@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vicinity.llm import bpe, codes, shards
+from vicinity.llm import archives, balltree, bpe, codes, packing, shards
 from vicinity.llm.common import read, shared_folder, written
 from vicinity.session import ship
 
@@ -59,6 +59,57 @@ def op3_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    """
+    WITH d AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+    k AS (SELECT page_id, strlen(html) AS n, sha256(html) AS digest FROM d),
+    f AS (SELECT digest, min(page_id) AS first FROM k GROUP BY digest)
+    SELECT page_id, n AS payload_bytes, digest AS payload_digest,
+           CASE WHEN n >= 100 AND page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN n >= 100 AND page_id > first THEN first END AS refers_to
+    FROM k JOIN f USING (digest)
+    """
+)
+def op5_warc_packages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = archives.with_revisits(read(spark, sf_dir, "pages"))
+    manifest = written(archives.write_archives(pages, shared_folder(spark, "packages")), "package-manifest")
+    found = archives.read_archives(manifest)
+    whole = F.col("payload")
+    return found.select(
+        "page_id",
+        F.coalesce(F.octet_length(whole).cast("long"), "payload_bytes").alias("payload_bytes"),
+        F.coalesce(F.sha2(whole, 256), "payload_digest").alias("payload_digest"),
+        "record_type",
+        "refers_to",
+    )
+
+
+@query()
+def op6_genetic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, path = read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")
+    return packing.pack(written(packing.cut_pieces(docs, path, 2048, end_id=0), "pieces"), 2048)
+
+
+@query(
+    """
+    WITH v AS (
+        SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+        WHERE embedding IS NOT NULL AND len(embedding) > 0
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ),
+    s AS (
+        SELECT q.vec_id AS query_id, c.vec_id,
+               list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2]))::BIGINT AS score
+        FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
+    ),
+    r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s)
+    SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+    """
+)
+def op8_ball_tree_top5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return balltree.top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
+
+
 @query()
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = codes.write_codes(
