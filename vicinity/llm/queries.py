@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vicinity.llm import archives, balltree, bpe, codes, packing, shards
+from vicinity.llm import archives, balltree, bpe, codes, packing, quality, shards
 from vicinity.llm.common import read, shared_folder, written
 from vicinity.session import ship
 
@@ -59,6 +59,13 @@ def op3_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(quality.ORACLE)
+def op4_quality_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.apply(quality.ledger(read(spark, sf_dir, "documents")), quality.PROSE)
+    measures = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    return judged.select("doc_id", *measures, quality.rejected(quality.BASE).alias("base_failed"), "kept")
+
+
 @query(
     """
     WITH d AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
