@@ -1,5 +1,7 @@
 import hashlib
+import random
 
+import numpy as np
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
@@ -7,7 +9,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from vicinity.llm import bpe
-from vicinity.llm.encoding import LibraryEncoder
+from vicinity.llm.words import WordEncoder
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 LIBRARY = Tokenizer.from_file(PATH)
@@ -40,26 +42,46 @@ def test_any_text(text):
     assert ids_of(bpe.bpe(PATH).packed(text)) == LIBRARY.encode(text, add_special_tokens=False).ids
 
 
-def test_many_texts(library):
-    import random
+LETTERS = " \t\n\r  'stabTHE019éßÀİΣς世<|>***%%\U0001f600\u0301\xa0"
 
+
+def random_texts(n):
     rng = random.Random(5)
-    encoder, words = bpe.bpe(PATH), LibraryEncoder(PATH, "leading")
-    letters = " \t\n\r  'stabTHE019éß世<|>***%%\U0001f600"
-    for _ in range(3000):
-        text = "".join(rng.choices(letters, k=rng.randrange(60)))
-        want = library.encode(text, add_special_tokens=False).ids
-        assert ids_of(encoder.packed(text)) == want and ids_of(words.packed(text)) == want
-
-
-def test_forced_cuts_join_no_token(library):
-    encoder = bpe.bpe(PATH)
-    for text in ("ZQjxqz", "éÿÿ", "thing"):
-        data = text.encode()
-        parts = encoder.cut(data)
-        assert b"".join(parts) == data
-        for left, right in zip(parts, parts[1:]):
-            assert not any(left[-1:] + right[:1] in t for t in encoder.token_bytes)
+    return ["".join(rng.choices(LETTERS, k=rng.randrange(60))) for _ in range(n)] + [
+        "Wörter " * 30 + "x" * 500 + "<|endoftext|>a<|startoftext|>", "I'LL it'S 'd''t", "a\x85b\x1cc\u2003d  e",
+    ]
+
+
+def test_many_texts():
+    texts = random_texts(4000)
+    packed = bpe.ForcedBoundaryBPE(PATH).packed_all(texts)
+    for text, got in zip(texts, packed, strict=True):
+        assert ids_of(got) == LIBRARY.encode(text, add_special_tokens=False).ids, text
+
+
+def test_many_texts_in_words():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library, texts = Tokenizer.from_file(path), random_texts(4000)
+    for text, got in zip(texts, WordEncoder(path).packed_all(texts), strict=True):
+        assert ids_of(got) == library.encode(text, add_special_tokens=False).ids, text
+
+
+def test_forced_cuts_join_no_token():
+    encoder = bpe.bpe(PATH).table
+    for text in ("ZQjxqz", "éÿÿ", "thing", "x" * 100):
+        data = np.frombuffer(text.encode(), np.uint8)
+        starts = encoder.cut(data, np.array([len(data)]))
+        for at in starts[1:]:
+            assert not any(bytes(data[at - 1 : at + 1]) in t for t in encoder.token_bytes)
+        assert starts[0] == 0 and (len(starts) > 1) == (text in ("ZQjxqz", "éÿÿ"))
+
+
+def test_decoding_of_torn_characters(spark):
+    ids = [LIBRARY.encode(t, add_special_tokens=False).ids for t in ("é世", "\U0001f600", "")]
+    torn = [ids[0][:-1], ids[1][1:], ids[1][:1], [], ids[0]]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(torn)], "n long, ids array<int>")
+    got = {r.n: r.decoded for r in bpe.decode(frame, PATH).collect()}
+    assert got == {i: LIBRARY.decode(t, skip_special_tokens=False) for i, t in enumerate(torn)}
 
 
 def test_query_on_the_test_table(spark, sf, library):

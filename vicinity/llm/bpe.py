@@ -32,7 +32,7 @@ from vicinity.llm.encoding import Memo, split_leading
 PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 ID_BITS = 20
 NO_MERGE = 1 << 62
-SHORT = 48  # bytes up to which scanning all pairs beats a heap; both merge in the same order
+SHORT = 48  # bytes up to which fragments are merged side by side; longer ones use a heap
 
 
 def byte_letters() -> dict[str, int]:
@@ -43,89 +43,112 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(0x100 + i): b for i, b in enumerate(rest)}
 
 
-class ForcedBoundaryBPE(Memo):
-    def __init__(self, path: str) -> None:
-        super().__init__()
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
-        letters = byte_letters()
+class MergeTable:
+    """The merges of a BPE file, applied to many fragments side by side."""
+
+    def __init__(self, spec: dict, special: dict[str, int]) -> None:
         vocab = spec["model"]["vocab"]
-        self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        size = 1 + max([*vocab.values(), *self.special.values()])
-        if size > 1 << ID_BITS:
+        if 1 + max([*vocab.values(), *special.values()]) > 1 << ID_BITS:
             raise ValueError("the vocabulary has more ids than the merge table can hold")
-        self.token_bytes: list[bytes] = [b""] * size
+        end = spec["model"]["end_of_word_suffix"] or ""
+        letters = byte_letters()
+        self.token_bytes = [b""] * (1 + max([*vocab.values(), *special.values()]))
         for token, i in vocab.items():
-            if token not in self.special:
-                self.token_bytes[i] = bytes(letters[c] for c in token)
-        for token, i in self.special.items():
+            if token not in special:
+                self.token_bytes[i] = bytes(letters[c] for c in (token.removesuffix(end) if end else token))
+        for token, i in special.items():
             self.token_bytes[i] = token.encode()
-        self.byte_ids = [vocab[c] for c, _ in sorted(letters.items(), key=lambda x: x[1])]
+        in_order = [c for c, _ in sorted(letters.items(), key=lambda x: x[1])]
+        self.byte_ids = np.array([vocab[c] for c in in_order], np.int64)
+        self.last_ids = np.array([vocab[c + end] for c in in_order], np.int64)
         self.merges: dict[tuple[int, int], int] = {}
         for rank, merge in enumerate(spec["model"]["merges"]):
             left, right = merge if isinstance(merge, list) else merge.split(" ")
             self.merges.setdefault((vocab[left], vocab[right]), rank << ID_BITS | vocab[left + right])
-        joined = {a << 8 | b for t in self.token_bytes for a, b in zip(t, t[1:])}
+        pairs = sorted((a << ID_BITS | b, m) for (a, b), m in self.merges.items())
+        self.pair_keys = np.array([k for k, _ in pairs] + [NO_MERGE], np.int64)
+        self.pair_merges = np.array([m for _, m in pairs] + [NO_MERGE], np.int64)
+        joined = {a << 8 | b for i, t in enumerate(self.token_bytes) for a, b in zip(t, t[1:])}
         self.may_join = np.zeros(1 << 16, bool)
         self.may_join[list(joined)] = True
-        self.pre_tokens = regex.compile(PRE_TOKEN).findall
-        self.at_special = (
-            regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")").split
-            if self.special
-            else None
-        )
-        self.fragments: dict[bytes, tuple[int, ...]] = {}
 
-    def split(self, text: str) -> list[str]:
-        if self.at_special is None or not any(s in text for s in self.special):
-            return split_leading(text)
-        parts = self.at_special(text)
-        return [p for i, part in enumerate(parts) for p in ([part] if i % 2 else split_leading(part))]
+    def cut(self, data: np.ndarray, token_ends: np.ndarray) -> np.ndarray:
+        """Where fragments start: at each pre-token and at each forced boundary."""
+        opens = np.zeros(len(data), bool)
+        opens[:1] = True
+        opens[token_ends[token_ends < len(data)]] = True
+        pairs = data[:-1].astype(np.int32) << 8 | data[1:]
+        opens[1:] |= ~self.may_join[pairs]
+        return np.flatnonzero(opens)
 
-    def encode_new(self, parts):
-        if len(self.fragments) > 400_000:
-            self.fragments.clear()
-        for part in parts:
-            if part in self.special:
-                yield part, np.array([self.special[part]], "<u4").tobytes()
-                continue
-            ids: list[int] = []
-            for token in self.pre_tokens(part):
-                for fragment in self.cut(token.encode()):
-                    found = self.fragments.get(fragment)
-                    if found is None:
-                        found = self.fragments[fragment] = tuple(self.merge(fragment))
-                    ids += found
-            yield part, np.array(ids, "<u4").tobytes()
-
-    def cut(self, data: bytes) -> list[bytes]:
-        """Fragments between the forced boundaries of a pre-token."""
-        if len(data) < 2:
-            return [data] if data else []
-        if len(data) <= SHORT:
-            may = self.may_join
-            cuts = [i for i in range(1, len(data)) if not may[data[i - 1] << 8 | data[i]]]
-        else:
-            b = np.frombuffer(data, np.uint8).astype(np.int32)
-            cuts = (np.flatnonzero(~self.may_join[b[:-1] << 8 | b[1:]]) + 1).tolist()
-        if not cuts:
-            return [data]
-        return [data[a:b] for a, b in zip([0, *cuts], [*cuts, len(data)])]
-
-    def merge(self, fragment: bytes) -> list[int]:
+    def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank and result of joining two ids, or NO_MERGE; an id below 0 joins none."""
+        keys = left << ID_BITS | right
+        at = np.searchsorted(self.pair_keys, keys)
+        at[at == len(self.pair_keys)] = len(self.pair_keys) - 1
+        return np.where((self.pair_keys[at] == keys) & (left >= 0) & (right >= 0), self.pair_merges[at], NO_MERGE)
+
+    def merge(self, first: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all fragments in order, and how many stand up to each one's end.
+
+        ``first`` holds the id of each byte. Fragments of similar length are merged
+        side by side, one join each per step."""
+        sizes = np.diff(np.append(starts, len(first)))
+        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # fragments, ids, counts
+        lower = 0
+        for width in (1, 2, 4, 6, 8, 10, 12, 16, 24, SHORT):
+            chosen = np.flatnonzero((sizes > lower) & (sizes <= width))
+            lower = width
+            if len(chosen):
+                places = starts[chosen][:, None] + np.arange(width)
+                inside = np.arange(width) < sizes[chosen][:, None]
+                ids = np.where(inside, first[np.minimum(places, len(first) - 1)], -1)
+                found.append((chosen, *self._merge_short(ids, sizes[chosen].copy())))
+        for i in np.flatnonzero(sizes > SHORT):
+            ids = np.array([self._merge_long(first[starts[i] : starts[i] + sizes[i]].tolist())], np.int64)
+            found.append((np.array([i]), ids, np.array([ids.shape[1]])))
+        counts = np.zeros(len(starts), np.int64)
+        for chosen, _, n in found:
+            counts[chosen] = n
+        ends = np.cumsum(counts)
+        out = np.empty(int(counts.sum()), np.int64)
+        for chosen, ids, n in found:
+            places = (ends[chosen] - n)[:, None] + np.arange(ids.shape[1])
+            held = np.arange(ids.shape[1]) < n[:, None]
+            out[places[held]] = ids[held]
+        return out, ends
+
+    def _merge_short(self, ids: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Join the pair of lowest rank, the leftmost of equals, until none is left."""
-        ids = [self.byte_ids[b] for b in fragment]
-        if len(ids) > SHORT:
-            return self._merge_long(ids)
-        merges = self.merges
-        while len(ids) > 1:
-            ranks = [merges.get(pair, NO_MERGE) for pair in zip(ids, ids[1:])]
-            best = min(ranks)
-            if best == NO_MERGE:
+        width = ids.shape[1]
+        if width < 2:
+            return ids, counts
+        ranks = np.full(ids.shape, NO_MERGE)
+        ranks[:, :-1] = self.rank(ids[:, :-1].ravel(), ids[:, 1:].ravel()).reshape(len(ids), width - 1)
+        rows = np.arange(len(ids))
+        steps = np.arange(width)
+        while len(rows):
+            some = ranks[rows]
+            at = some.argmin(axis=1)
+            best = some[np.arange(len(rows)), at]
+            going = best != NO_MERGE
+            rows, at, best = rows[going], at[going], best[going]
+            if not len(rows):
                 break
-            i = ranks.index(best)
-            ids[i : i + 2] = [best & ((1 << ID_BITS) - 1)]
-        return ids
+            line = np.arange(len(rows))
+            after = np.minimum(steps + (steps > at[:, None]), width - 1)
+            mine = np.take_along_axis(ids[rows], after, 1)
+            mine[:, -1] = -1
+            mine[line, at] = best & ((1 << ID_BITS) - 1)
+            some = np.take_along_axis(ranks[rows], np.minimum(steps + (steps >= at[:, None]), width - 1), 1)
+            some[:, -1] = NO_MERGE
+            nearby = np.minimum(at + 1, width - 1)
+            some[line, at] = np.where(at < width - 1, self.rank(mine[line, at], mine[line, nearby]), NO_MERGE)
+            left = at > 0
+            some[line[left], at[left] - 1] = self.rank(mine[line[left], at[left] - 1], mine[line[left], at[left]])
+            ids[rows], ranks[rows] = mine, some
+            counts[rows] -= 1
+        return ids, counts
 
     def _merge_long(self, ids: list[int]) -> list[int]:
         n, merges = len(ids), self.merges
@@ -150,9 +173,71 @@ class ForcedBoundaryBPE(Memo):
                 heapq.heappush(heap, (m, h))
         return [i for i in ids if i >= 0]
 
-    def decode(self, ids: list[int]) -> str:
-        """Bytes that are no UTF-8 become replacement characters."""
-        return b"".join(map(self.token_bytes.__getitem__, ids)).decode("utf-8", "replace")
+
+class ForcedBoundaryBPE(Memo):
+    def __init__(self, path: str) -> None:
+        super().__init__()
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        self.table = MergeTable(spec, self.special)
+        self.tokens = pa.array(self.table.token_bytes, pa.large_binary())
+        self.pre_tokens = regex.compile(PRE_TOKEN).findall
+        escaped = map(regex.escape, sorted(self.special, key=len, reverse=True))
+        self.at_special = regex.compile(f"({'|'.join(escaped)})").split
+
+    def split(self, text: str) -> list[str]:
+        if not any(s in text for s in self.special):
+            return split_leading(text)
+        parts = self.at_special(text)
+        return [p for i, part in enumerate(parts) for p in ([part] if i % 2 else split_leading(part))]
+
+    def encode_new(self, parts):
+        ordinary = []
+        for part in parts:
+            if part in self.special:
+                yield part, np.array([self.special[part]], "<u4").tobytes()
+            else:
+                ordinary.append(part)
+        # a part from a blank to a non-blank may follow another: a pre-token starts there
+        chained = [p for p in ordinary if p[0] in " \t\r\n" and not p[-1].isspace()]
+        for start in range(0, len(chained), 1 << 15):
+            some = chained[start : start + (1 << 15)]
+            yield from self._encode(some, self.pre_tokens("".join(some)))
+        alone = set(ordinary).difference(chained)
+        if alone:
+            yield from self._encode(list(alone), [t for p in alone for t in self.pre_tokens(p)])
+
+    def _encode(self, parts: list[str], tokens: list[str]):
+        """``tokens`` are the pre-tokens of all parts, one after another."""
+        data = np.frombuffer("".join(parts).encode(), np.uint8)
+        # places of characters among the bytes turn lengths of texts into ends in bytes
+        places = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))
+        starts = self.table.cut(data, places[np.cumsum(np.fromiter(map(len, tokens), np.int64))])
+        ids, ends = self.table.merge(self.table.byte_ids[data], starts)
+        part_ends = places[np.cumsum(np.fromiter(map(len, parts), np.int64))]
+        packed, at = ids.astype("<u4").tobytes(), 0
+        for part, to in zip(parts, (4 * ends[np.searchsorted(starts, part_ends) - 1]).tolist(), strict=True):
+            yield part, packed[at:to]
+            at = to
+
+    def decode(self, ids: pa.ListArray) -> pa.Array:
+        """Texts of lists of ids; bytes that are no UTF-8 become replacement characters."""
+        starts = np.asarray(ids.offsets)
+        flat = self.tokens.take(ids.values.slice(starts[0], starts[-1] - starts[0]))
+        ends = np.frombuffer(flat.buffers()[1], np.int64)[flat.offset :][starts - starts[0]]
+        data = flat.buffers()[2]
+        whole = data.to_pybytes()[ends[0] : ends[-1]] if data is not None else b""
+        ends = ends - ends[0]
+        try:
+            whole.decode()
+            torn = any(0x80 <= whole[e] < 0xC0 for e in ends.tolist() if e < len(whole))
+        except UnicodeDecodeError:
+            torn = True
+        texts = [whole[a:b] for a, b in zip(ends, ends[1:])]
+        if torn:
+            texts = [t.decode("utf-8", "replace").encode() for t in texts]
+        return pa.array(texts, pa.binary()).cast(pa.string())
 
 
 @functools.lru_cache(maxsize=2)
@@ -168,7 +253,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = bpe(path)
         for batch in pieces(batches, "text"):
-            packed = [encoder.packed(t) for t in batch.column(1).to_pylist()]
+            packed = encoder.packed_all(batch.column(1).to_pylist())
             ends = np.cumsum([0, *(len(p) // 4 for p in packed)], dtype=np.int32)
             ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(packed), "<i4")))
             yield pa.RecordBatch.from_arrays([batch.column(0), ids], names=[id_col, "ids"])
@@ -186,9 +271,8 @@ def decode(tokens: DataFrame, path: str, ids_col: str = "ids", name: str = "deco
             place = batch.schema.get_field_index(ids_col)
             for start in range(0, batch.num_rows, 256):
                 some = batch.slice(start, 256)
-                texts = [decoder.decode(ids) if ids else "" for ids in some.column(place).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
-                    [*some.columns, pa.array(texts, pa.string())], names=[*some.schema.names, name]
+                    [*some.columns, decoder.decode(some.column(place))], names=[*some.schema.names, name]
                 )
 
     return tokens.mapInArrow(run, StructType([*tokens.schema.fields, StructField(name, StringType())]))

@@ -28,8 +28,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
+from vicinity.llm.bpe import bpe
 from vicinity.llm.common import file_system, pieces, write_file
-from vicinity.llm.encoding import library_encoder
 
 MARK = b"DACIDS01"
 BLOCK = 512  # bits per entry of a rank directory
@@ -145,7 +145,7 @@ def write_codes(
     tokens_per_file: int = 1 << 22,
     bits: int = 8,
 ) -> DataFrame:
-    """Encode whole texts with a tokenizers file and write files below ``folder``.
+    """Encode whole texts with a byte-level BPE file and write files below ``folder``.
 
     Returns the manifest, one row per file; ``part`` and ``seq`` give their order.
     Write it to a table before use: a recomputed task writes new files. A file is
@@ -153,7 +153,7 @@ def write_codes(
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = library_encoder(path, "leading")
+        encoder = bpe(path)
         end = np.array([end_id], "<u4").tobytes()
         part, seq = TaskContext.get().partitionId(), 0
         names: list[int | None] = []
@@ -171,9 +171,10 @@ def write_codes(
             )
 
         for batch in pieces(batches, "text"):
-            for name, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            ids = encoder.packed_all(batch.column(1).to_pylist())
+            for name, body in zip(batch.column(0).to_pylist(), ids, strict=True):
                 names.append(name)
-                packed.append(encoder.packed(text) + end)
+                packed.append(body + end)
                 held += len(packed[-1]) // 4
                 if held >= tokens_per_file:
                     yield close()

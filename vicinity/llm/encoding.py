@@ -1,13 +1,11 @@
 """Text to token ids with a memory of the words seen before.
 
-Both encoders cut a text where no token can cross, look each piece up, and encode
-only new pieces; a text is encoded by joining packed ids.
+Encoders cut a text where no token can cross, look each piece up, and encode only new
+pieces; a text is encoded by joining packed ids.
 """
 
 from __future__ import annotations
 
-import functools
-import os
 import re
 from collections.abc import Iterable
 
@@ -27,45 +25,19 @@ class Memo:
         raise NotImplementedError
 
     def packed(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        parts = self.split(text)
+        return self.packed_all([text])[0]
+
+    def packed_all(self, texts: list[str | None]) -> list[bytes]:
+        """Null and empty texts have no ids. All new pieces are encoded together."""
+        parts = [self.split(t) if t else [] for t in texts]
         known = self.known
-        new = set(parts).difference(known)
+        new = set().union(*parts).difference(known)
+        if len(known) + len(new) > MEMO_ENTRIES:
+            known.clear()
+            new = set().union(*parts)
         if new:
-            if len(known) + len(new) > MEMO_ENTRIES:
-                known.clear()
-                new = set(parts)
             known.update(self.encode_new(new))
-        return b"".join(map(known.__getitem__, parts))
-
-
-class LibraryEncoder(Memo):
-    """Ids as the tokenizers library gives them, without added special tokens.
-
-    ``whitespace`` says what the tokenizer does with it: ``dropped`` (pieces are
-    the runs between ASCII blanks) or ``leading`` (a blank may open the next
-    word's token, so pieces are blanks and the run that follows).
-    """
-
-    def __init__(self, path: str, whitespace: str) -> None:
-        super().__init__()
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.library = Tokenizer.from_file(path)
-        self.library.no_truncation()
-        self.library.no_padding()
-        self.split = split_dropped if whitespace == "dropped" else split_leading
-
-    def encode_new(self, parts):
-        import numpy as np
-
-        parts = list(parts)
-        for start in range(0, len(parts), 4096):
-            some = parts[start : start + 4096]
-            for part, found in zip(some, self.library.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                yield part, np.array(found.ids, "<u4").tobytes()
+        return [b"".join(map(known.__getitem__, p)) for p in parts]
 
 
 split_dropped = re.compile(r"[^ \t\r\n]+").findall
@@ -79,9 +51,3 @@ def split_leading(text: str) -> list[str]:
     With white space other than the four ASCII blanks a run may mix both kinds, and
     the text stays whole."""
     return [text] if _other_blank(text) else _blanks_and_run(text)
-
-
-@functools.lru_cache(maxsize=4)
-def library_encoder(path: str, whitespace: str) -> LibraryEncoder:
-    """One per worker process and file."""
-    return LibraryEncoder(path, whitespace)

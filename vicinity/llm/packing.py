@@ -31,7 +31,7 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, Str
 
 from vicinity.llm.common import pieces as cut_batches
 from vicinity.llm.common import written
-from vicinity.llm.encoding import library_encoder
+from vicinity.llm.words import word_encoder
 
 REGION = 4096  # pieces that are packed together
 FAN_IN = 64  # regions whose opened bins are packed together next
@@ -55,13 +55,14 @@ def cut_pieces(
     """Pieces of at most ``capacity`` ids of each whole text and its end id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = library_encoder(path, "dropped")
+        encoder = word_encoder(path)
         end = np.array([end_id], "<u4").tobytes()
         step = 4 * capacity
         for batch in cut_batches(batches, "text"):
             rows = []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                packed = encoder.packed(text) + end
+            ids = encoder.packed_all(batch.column(1).to_pylist())
+            for doc, body in zip(batch.column(0).to_pylist(), ids, strict=True):
+                packed = body + end
                 for k, at in enumerate(range(0, len(packed), step)):
                     part = packed[at : at + step]
                     rows.append((doc, k, at // 4, len(part) // 4, zlib.crc32(part)))
