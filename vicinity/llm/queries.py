@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vicinity.llm import archives, balltree, bpe, codes, packing, quality, shards
+from vicinity.llm import archives, balltree, bpe, codes, packing, pages, quality, shards
 from vicinity.llm.common import read, shared_folder, written
 from vicinity.session import ship
 
@@ -78,8 +78,8 @@ def op4_quality_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
 )
 def op5_warc_packages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = archives.with_revisits(read(spark, sf_dir, "pages"))
-    manifest = written(archives.write_archives(pages, shared_folder(spark, "packages")), "package-manifest")
+    marked = archives.with_revisits(read(spark, sf_dir, "pages"))
+    manifest = written(archives.write_archives(marked, shared_folder(spark, "packages")), "package-manifest")
     found = archives.read_archives(manifest)
     whole = F.col("payload")
     return found.select(
@@ -97,6 +97,12 @@ def op6_genetic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(written(packing.cut_pieces(docs, path, 2048, end_id=0), "pieces"), 2048)
 
 
+@query()
+def op7_page_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = pages.extract(read(spark, sf_dir, "pages"))
+    return texts.withColumn("n_chars", F.length("text").cast("long"))
+
+
 @query(
     """
     WITH v AS (
