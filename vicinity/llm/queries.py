@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vicinity.llm import archives, balltree, bpe, codes, packing, pages, quality, shards
+from vicinity.llm import archives, balltree, bpe, codes, jaccard, packing, pages, quality, shards
 from vicinity.llm.common import read, shared_folder, written
 from vicinity.session import ship
 
@@ -138,3 +138,27 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.crc32("ids").alias("ids_crc32"),
     )
+
+
+@query(
+    r"""
+    WITH RECURSIVE w AS (
+        SELECT doc_id, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x20\x09-\x0D]+') AS w
+        FROM documents
+    ),
+    s AS (
+        SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g
+        FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, least(len(w), 1) + 1))) AS i FROM w)
+    ),
+    n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+    o AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM s x JOIN s y USING (g) WHERE x.doc_id <> y.doc_id GROUP BY 1, 2),
+    e AS (SELECT a, b FROM o JOIN n p ON a = p.doc_id JOIN n q ON b = q.doc_id WHERE 100 * k >= 75 * (p.n + q.n - k)),
+    r AS (SELECT doc_id AS a, doc_id AS b FROM w UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a)
+    SELECT w.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, c AS component_id
+    FROM w LEFT JOIN n USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS c FROM r GROUP BY a) USING (doc_id)
+    """
+)
+def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.groups_of(read(spark, sf_dir, "documents"))
