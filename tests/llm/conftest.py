@@ -3,7 +3,7 @@ from pathlib import Path
 
 import pytest
 
-sys.path[:0] = [str(Path(__file__).resolve().parents[2]), str(Path(__file__).resolve().parents[1])]
+sys.path[:0] = [str(Path(__file__).resolve().parents[n]) for n in (2, 1, 0)]
 
 SF = "/root/testdata/sf0.001"
 

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vicinity.llm import archives, balltree, bpe, codes, jaccard, packing, pages, quality, shards
+from vicinity.llm import archives, balltree, bpe, codes, jaccard, packing, pages, quality, shards, suffixes
 from vicinity.llm.common import read, shared_folder, written
 from vicinity.session import ship
 
@@ -46,6 +46,12 @@ def op1_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op2_suffix_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = suffixes.remove_repeats(read(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query()
 def op3_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.shard_by_bytes(read(spark, sf_dir, "documents"), 16).select(
