@@ -116,6 +116,33 @@ def test_first_row_in_file_order_wins_across_files(spark, write, tmp_path):
     assert "second 7 " in kept["N7"] and "second 8 " in kept["N8"]
 
 
+def test_every_file_is_read_by_its_own_header(spark, write, tmp_path):
+    (tmp_path / "mixed").mkdir()
+    write([item(Name="A", Description="a")], "mixed/a.csv")
+    write([item(Name="B", Description="b")], "mixed/b.csv", "utf-8-sig", list(reversed(REQUIRED_COLUMNS)))
+    spaced = [f" {c} " for c in sorted(REQUIRED_COLUMNS)] + ["Type"]
+    write([{f" {k} ": v for k, v in item(Name="C", Description="c").items()} | {"Type": "t"}], "mixed/c c.csv", columns=spaced)
+    rows = {r.Name: r for r in read_catalog(spark, str(tmp_path / "mixed")).collect()}
+    assert {n: (r.Description, r.Country, r.Type) for n, r in rows.items()} == {
+        "A": ("a", "Poland", ""), "B": ("b", "Poland", ""), "C": ("c", "Poland", "t"),
+    }
+    assert rows["A"].file_row < rows["B"].file_row < rows["C"].file_row
+
+
+@pytest.mark.parametrize("last", ["pointer", "empty", "short"])
+def test_the_last_file_is_checked_too(spark, write, tmp_path, last):
+    (tmp_path / "bad").mkdir()
+    write([item()], "bad/a.csv")
+    write([item()], "bad/b.csv")
+    if last == "short":
+        write([item()], "bad/z.csv", columns=[c for c in REQUIRED_COLUMNS if c != "ABV"])
+    else:
+        head = "version https://git-lfs.github.com/spec/v1" if last == "pointer" else ""
+        (tmp_path / "bad" / "z.csv").write_text(head)
+    with pytest.raises(CatalogError, match={"pointer": "z.csv is a Git", "empty": "z.csv is empty", "short": "z.csv: missing"}[last]):
+        read_catalog(spark, str(tmp_path / "bad"))
+
+
 def test_columns_are_mapped(spark, write):
     row = clean_catalog(read_catalog(spark, write([item(ABV="8.5%", Brand="", IBU="", Rating="4.75")]))).first()
     assert float(row.abv) == 8.5 and row.brewery is None and row.min_ibu is None
@@ -167,11 +194,19 @@ def test_rows_missing_from_the_source_stay(spark):
     assert {(r.id, r.k, r["info"], r.c) for r in got.collect()} == {(1, "a", "x", "keep"), (2, "b", "z", "update")}
 
 
-@pytest.mark.parametrize("send_rows", [100_000, 0])
-def test_first_wins_with_a_hot_key_and_null_keys(spark, send_rows):
+def test_first_wins_without_order_values(spark):
+    rows = [("a", None, 1), ("a", None, 2), ("b", 5, 3), ("b", None, 4), ("c", None, 5), (None, 2, 6), (None, 1, 7)]
+    df = spark.createDataFrame(rows, "k string, row long, v int")
+    first = {r.k: r.v for r in first_wins(df, ["k"], "row").collect()}
+    last = {r.k: r.v for r in first_wins(df, ["k"], "row", last=True).collect()}
+    assert first.pop("a") in (1, 2) and last.pop("a") in (1, 2)
+    assert first == {"b": 3, "c": 5, None: 7} and last == {"b": 3, "c": 5, None: 6}
+
+
+def test_first_wins_with_a_hot_key_and_null_keys(spark):
     rows = [(i, "hot" if i % 3 == 0 else None if i % 3 == 1 else f"k{i}", i * 10) for i in range(3000)]
     df = spark.createDataFrame(rows, "row long, k string, v long").repartition(11)
-    got = {r.k: r for r in first_wins(df, ["k"], "row", copies="n", send_rows=send_rows).collect()}
+    got = {r.k: r for r in first_wins(df, ["k"], "row", copies="n").collect()}
     assert len(got) == 1002
     assert (got["hot"].row, got["hot"].v, got["hot"].n) == (0, 0, 1000)
     assert (got[None].row, got[None].n) == (1, 1000) and got["k2"].n == 1

@@ -12,7 +12,7 @@ from vicinity.functions.text import (
     compose_info,
     default_if_blank,
     fold_description,
-    is_small_lot,
+    is_keg,
     result_line,
     search_link,
     text_hash,
@@ -57,7 +57,7 @@ def test_whole_numbers(spark, text, number):
     ],
 )
 def test_small_lots(spark, name, description, expected):
-    assert apply(spark, is_small_lot, name, description) is expected
+    assert apply(spark, is_keg, name, description) is expected
 
 
 def test_fold_description(spark):

@@ -205,6 +205,32 @@ def test_a_replayed_batch_replaces_itself(spark, tmp_path):
     assert spark.read.parquet(log).count() == 1
 
 
+def test_a_new_checkpoint_a_late_change_and_the_latest_one(spark, tmp_path):
+    source, log, model = str(tmp_path / "in"), scratch(spark, "log"), Counting(tmp_path / "calls")
+    open_log(spark, log)
+    feed(spark, source, "a", [(1, "one", 10), (2, "two", 20), (3, "three", 30)])
+    run(spark, source, log, scratch(spark, "progress"), model)
+    other = str(tmp_path / "more")
+    feed(spark, other, "b", [(1, "one, late", 5), (3, "three, newer", 40), (4, "four", 41)])
+    run(spark, other, log, scratch(spark, "progress"), model)
+    now = {r.id: r.text_hash for r in current_vectors(spark, log).collect()}
+    assert now == {1: sha("one"), 2: sha("two"), 3: sha("three, newer"), 4: sha("four")}
+    run(spark, source, log, scratch(spark, "progress"), model)  # the first feed again, from its start
+    assert {r.id: r.text_hash for r in current_vectors(spark, log).collect()} == now
+
+
+def test_an_epoch_reads_touched_divisions_only(spark, tmp_path):
+    from vicinity.streaming.refresh import append_epoch, read_log
+
+    log = scratch(spark, "log")
+    open_log(spark, log)
+    rows = [(i, f"text {i}", 1) for i in range(50)]
+    batch = spark.createDataFrame(rows, "id long, info string, n long").withColumn("changed_at", F.timestamp_seconds("n"))
+    append_epoch(batch, 0, log, ["n"], Counting(tmp_path / "c"))
+    plan = read_log(spark, log).filter(F.col("bucket").isin(3))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in plan and read_log(spark, log).select("bucket").distinct().count() > 8
+
+
 def test_embed_on_write_in_a_batch(spark, tmp_path):
     df = spark.createDataFrame([(1, "oak")], "id long, info string").withColumn("changed_at", now())
     row = embed_on_write(df, Counting(tmp_path / "c")).first()

@@ -30,8 +30,8 @@ WHITE_SPACE = (  # all characters Unicode counts as white space, and the separat
     "\t\n\v\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
     "\u2028\u2029\u202f\u205f\u3000"
 )
-SMALL_LOT_NAME = r"(?i)(?:\d\s*/\s*\d|[½¼⅙])\s*(?:barrel|keg)"
-SMALL_LOT_TEXT = "Kegs are intended for Kegerator use"
+KEG_NAME = r"(?iU)(?:\d[\s\x1c-\x1f]*/[\s\x1c-\x1f]*\d|[½¼⅙])[\s\x1c-\x1f]*(?:barrel|keg)"
+KEG_TEXT = "Kegs are intended for Kegerator use"
 BLANK_REQUEST = "Please enter a prompt or command (:help for help)."
 LONG_REQUEST = "Prompt too long (%d chars, max 4000)."
 LIKE_USAGE = "Usage: :like <beer id>"
@@ -46,6 +46,10 @@ SIMPLE_COMMANDS = {
 }
 # ---------------------------------------------------------------------------
 
+# What a number may look like; a cast alone would take "8d" and "12f" as well.
+NUMBER = r"(?i)[+-]?(?:(?:\d+(?:_\d+)*)(?:\.(?:\d+(?:_\d+)*)?)?|\.\d+(?:_\d+)*)(?:e[+-]?\d+(?:_\d+)*)?|[+-]?(?:inf|infinity|nan)"
+
+
 def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(WHITE_SPACE))
 
@@ -67,22 +71,27 @@ def to_number(text: Column) -> Column:
     """``'8%'`` and ``'$1,234.5'`` to double; anything unreadable to NULL."""
     bare = F.regexp_replace(clean(text), r"%+$", "")
     bare = F.regexp_replace(F.regexp_replace(bare, r"^\$+", ""), ",", "")
-    return bare.try_cast("double")
+    return _number(bare)
 
 
 def to_whole(text: Column) -> Column:
     """Whole part of a number text, toward zero; anything unreadable to NULL."""
-    return clean(text).try_cast("double").try_cast("int")
+    return _number(clean(text)).try_cast("int")
+
+
+def _number(text: Column) -> Column:
+    bare = strip(text)
+    return F.when(bare.rlike(f"^(?:{NUMBER})$"), F.replace(bare, F.lit("_"), F.lit("")).try_cast("double"))
 
 
 def text_hash(text: Column) -> Column:
     return F.sha2(text, 256)
 
 
-def is_small_lot(name: Column, description: Column) -> Column:
-    """Shop articles that repeat an item in another package size."""
-    in_text = F.coalesce(description, F.lit("")).contains(SMALL_LOT_TEXT)
-    return F.coalesce(name, F.lit("")).rlike(SMALL_LOT_NAME) | in_text
+def is_keg(name: Column, description: Column) -> Column:
+    """Shop articles that repeat an item in a keg."""
+    in_text = F.coalesce(description, F.lit("")).contains(KEG_TEXT)
+    return F.coalesce(name, F.lit("")).rlike(KEG_NAME) | in_text
 
 
 def _part(text: Column, before: str = "", after: str = "") -> Column:

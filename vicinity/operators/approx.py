@@ -22,8 +22,7 @@ from vicinity.functions.vectors import normalize, row_distances, to_matrix
 from vicinity.operators.many import nearest_many, pair_distances
 from vicinity.operators.topk import MAX_SCAN, nearest
 
-MAX_CELLS = 32_768  # centroids go to every task; at 384 dimensions 100 MB
-TRAIN_ROWS_PER_CELL = 256  # rows KMeans sees per cell; all rows are assigned
+SENT_BYTES = 1 << 30  # of centroids that may go to every task; more is refused
 
 
 def mean_vectors(
@@ -40,22 +39,22 @@ def mean_vectors(
 def train_centroids(
     df: DataFrame, cells: int | None = None, vec_col: str = "embedding", seed: int = 1, max_iter: int = 10
 ) -> DataFrame:
-    """Centroids by cosine KMeans: cell, centroid. Default cells: sqrt(rows)."""
+    """Centroids by cosine KMeans over all rows of ``df``: cell, centroid.
+
+    Default cells: sqrt(rows). To train on a sample, pass the sample."""
     present = df.filter(F.col(vec_col).isNotNull()).select(array_to_vector(vec_col).alias("features"))
-    rows = present.count()
-    cells = cells or min(MAX_CELLS, max(2, round(rows**0.5)))
-    share = min(1.0, cells * TRAIN_ROWS_PER_CELL / max(rows, 1))
-    sample = present if share == 1.0 else present.sample(share, seed=seed)
-    model = KMeans(k=cells, seed=seed, maxIter=max_iter, distanceMeasure="cosine").fit(sample)
+    cells = cells or max(2, round(present.count() ** 0.5))
+    model = KMeans(k=cells, seed=seed, maxIter=max_iter, distanceMeasure="cosine").fit(present)
     found = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
     return df.sparkSession.createDataFrame(found, "cell int, centroid array<double>")
 
 
 def _centroid_matrix(centroids: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Cell numbers and centroids on the driver, in cell order, size-checked."""
-    rows = centroids.select("cell", "centroid").limit(MAX_CELLS + 1).collect()
-    if len(rows) > MAX_CELLS:
-        raise ValueError(f"more than {MAX_CELLS} cells; train fewer")
+    size = centroids.agg(F.sum(F.size("centroid").cast("long") * 8)).first()[0] or 0
+    if size > SENT_BYTES:
+        raise ValueError(f"{size} bytes of centroids are more than {SENT_BYTES}; train fewer cells")
+    rows = centroids.select("cell", "centroid").collect()
     rows.sort(key=lambda r: r[0])
     cells = np.array([r[0] for r in rows], "int64")
     return cells, np.array([r[1] for r in rows], "float64")

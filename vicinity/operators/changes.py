@@ -16,39 +16,25 @@ from vicinity.functions.text import text_hash
 from vicinity.operators.numbering import number_rows
 from vicinity.session import materialize
 
-SEND_ROWS = 100_000  # repeated keys that may be sent to every task
-
-
 def first_wins(
-    df: DataFrame,
-    keys: Sequence[str],
-    order_col: str,
-    copies: str | None = None,
-    last: bool = False,
-    send_rows: int = SEND_ROWS,
+    df: DataFrame, keys: Sequence[str], order_col: str, copies: str | None = None, last: bool = False
 ) -> DataFrame:
     """One row per key, the first (or last) by ``order_col``; NULL keys are equal.
 
-    ``order_col`` must differ between the rows of a key.
-
-    The first pass reads keys and order only, counts each key where its rows are
-    and keeps the keys that occur twice or more, so a key that fills most of the
-    table moves one row per task. The second pass drops the other copies. While
-    the repeated keys are few they travel to the rows and the table is not
-    shuffled at all; otherwise the two meet in a shuffle join, where adaptive
-    execution splits an oversized key. ``copies`` names an optional column with
-    the number of rows of each key.
+    A row without order counts after all others (before, for ``last``), so it stays
+    only where its key has no row with one. Of rows that tie any one stays. Every task
+    reduces its own rows first: a key that fills most of the table moves one row per
+    task. ``copies`` names an optional column with the number of rows of each key.
     """
-    winner = (F.max if last else F.min)(order_col).alias("_winner")
-    counted = df.groupBy(*keys).agg(winner, F.count("*").alias("_copies"))
-    repeated = materialize(counted.filter(F.col("_copies") > 1), "repeated-keys")
-    few = repeated.count() <= send_rows
-    joined = df.alias("t").join(
-        (F.broadcast(repeated) if few else repeated).alias("s"), _same_key(keys), "left"
-    )
-    kept = joined.filter(F.col("s._winner").isNull() | (F.col(f"t.{order_col}") == F.col("s._winner")))
-    count = [F.coalesce("s._copies", F.lit(1)).alias(copies)] if copies else []
-    return kept.select(*[F.col(f"t.{c}").alias(c) for c in df.columns], *count)
+    known = F.col(order_col).isNotNull()
+    rank = F.struct((known if last else ~known).alias("known"), F.col(order_col).alias("at"))
+    rest = [c for c in df.columns if c not in keys]
+    row = F.struct(*[F.col(f"`{c}`") for c in rest])
+    winner = (F.max_by if last else F.min_by)(row, rank).alias("_row")
+    reduced = df.groupBy(*keys).agg(winner, F.count("*").alias("_copies"))
+    count = [F.col("_copies").alias(copies)] if copies else []
+    columns = [F.col(f"`{c}`") if c in keys else F.col("_row").getField(c).alias(c) for c in df.columns]
+    return reduced.select(*columns, *count)
 
 
 def _same_key(keys: Sequence[str], left: str = "t", right: str = "s") -> Column:
@@ -84,7 +70,8 @@ def upsert(
     """
     payload = [c for c in source.columns if c not in keys and c in target.columns and c != id_col]
     kept = [c for c in target.columns if c not in payload and c not in keys]
-    t, s = target.alias("t"), source.withColumn("_hit", F.lit(True)).alias("s")
+    t = target.withColumn("_old", F.lit(True)).alias("t")
+    s = source.withColumn("_hit", F.lit(True)).alias("s")
     hit = F.col("s._hit").isNotNull()
     changed = hit & ~F.col(f"t.{text_col}").eqNullSafe(F.col(f"s.{text_col}"))
 
@@ -96,15 +83,19 @@ def upsert(
             return F.when(~changed, old)
         return old
 
-    old_rows = t.join(s, _same_key(keys), "left").select(
-        *[F.col(f"t.{k}").alias(k) for k in keys],
+    # target and source meet once; the rows are written, then the new ones numbered
+    old = F.col("t._old").isNotNull()
+    met = t.join(s, _same_key(keys), "full").select(
+        *[F.coalesce(F.col(f"t.{k}"), F.col(f"s.{k}")).alias(k) for k in keys],
         *[F.when(hit, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c) for c in payload],
         *[carried(c).alias(c) for c in kept],
-        F.when(hit, "update").otherwise("keep").alias("_change"),
+        *([F.col(f"s.{order_col}").alias("_source_order")]),
+        F.when(hit & old, "update").when(hit, "insert").otherwise("keep").alias("_change"),
     )
-    missing = source.alias("s").join(target.select(*keys).alias("t"), _same_key(keys), "left_anti")
-    missing = materialize(missing, "new-rows")  # numbering reads them three times
-    fresh = assign_ids(missing, target, order_col, id_col).withColumn("_change", F.lit("insert"))
+    met = materialize(met, "merged-rows")
+    old_rows = met.filter("_change != 'insert'")
+    missing = met.filter("_change = 'insert'")
+    fresh = assign_ids(missing.drop(id_col), target, "_source_order", id_col)
     if "updated_at" in target.columns:
         fresh = fresh.withColumn("updated_at", as_of)
     columns = [*target.columns, "_change"]

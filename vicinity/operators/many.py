@@ -1,10 +1,9 @@
 """Nearest rows for many queries at once.
 
-Small query sets travel to the corpus: each task keeps the best ``n`` per query
-while it streams through its rows, so a partition hands on at most ``n`` rows per
-query and the merge is small. A set that is too big to send is packed into
-blocks, and blocks meet blocks through an ordinary shuffle join. Both ways are
-exact over the cells a query looks into; without cells that is the whole corpus.
+Queries and corpus are packed into blocks, and blocks meet blocks through a join; a
+pair of blocks hands on at most ``n`` rows per query. The answer is exact over the
+cells a query looks into. Without cells that is the whole corpus: every query block
+meets every corpus block, which a caller chooses by giving no cells.
 """
 
 from __future__ import annotations
@@ -13,13 +12,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vicinity.functions.vectors import METRICS, to_matrix
 
-SEND_LIMIT = 64 * 1024 * 1024  # bytes of query vectors that may be sent to every task
-SEND_ROWS = 16_384  # queries that may be sent to every task
 # Vectors per packed block: the more in a corpus block, the fewer copies of the
 # queries; at 384 dimensions a pair of blocks is 18 MB.
 BLOCK_ROWS = 8192
@@ -115,43 +113,6 @@ def _merge(partial: DataFrame, n: int) -> DataFrame:
     return ranked.filter(F.col("rank") <= n).select("qid", "id", "distance", "rank")
 
 
-def _send(queries: pa.Table, corpus: DataFrame, n: int, metric: str) -> DataFrame:
-    """Queries as a broadcast matrix; the caller has checked their size."""
-    lists = queries["vector"].combine_chunks()
-    width = len(lists[0])
-    matrix, _ = to_matrix(lists, width)
-    by_cell: dict[int, np.ndarray] | None = None
-    if "cells" in queries.column_names:
-        cells = queries["cells"].combine_chunks()
-        owner = np.asarray(cells.value_parent_indices())
-        flat = cells.flatten().to_numpy()
-        by_cell = {int(c): owner[flat == c] for c in np.unique(flat)}
-    spark = corpus.sparkSession
-    sent = spark.sparkContext.broadcast(
-        (queries["qid"].to_numpy(), queries["skip"].to_numpy(), matrix, by_cell)
-    )
-
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        qids, skip, matrix, by_cell = sent.value
-        best = _Best(matrix, qids, skip, n, metric)
-        for batch in batches:
-            rows, valid = to_matrix(batch.column("vector"), width)
-            ids = batch.column("id").to_numpy()[valid]
-            if by_cell is None:
-                best.add(ids, rows)
-                continue
-            cell = batch.column("cell").to_numpy(zero_copy_only=False)[valid]
-            for c in np.unique(cell):
-                wanted = by_cell.get(int(c))
-                if wanted is not None:
-                    best.add(ids[cell == c], rows[cell == c], wanted)
-        yield best.batch()
-
-    if by_cell is not None:
-        corpus = corpus.filter(F.col("cell").isin(sorted(by_cell)))  # prunes stored cells
-    return _merge(corpus.mapInArrow(search, OUT), n)
-
-
 def _blocks(df: DataFrame, keys: list[str], id_col: str, *more: str) -> DataFrame:
     """Pack the rows of each block; the hash keeps blocks of one size."""
     packed = F.collect_list(F.struct(F.col(id_col).alias("id"), "vector", *more))
@@ -161,7 +122,7 @@ def _blocks(df: DataFrame, keys: list[str], id_col: str, *more: str) -> DataFram
 def _with_sizes(df: DataFrame, sizes: DataFrame, keys: list[str]) -> DataFrame:
     """Add the number of blocks: of the row's cell, or of the whole table."""
     if keys:
-        return df.join(F.broadcast(sizes), keys)
+        return df.join(sizes, keys)
     return df.withColumn("blocks", sizes.scalar())
 
 
@@ -195,11 +156,15 @@ def _block_join(
         for batch in batches:
             for i in range(batch.num_rows):
                 asked, stored = batch.column("query_rows")[i].values, batch.column("corpus_rows")[i].values
-                width = len(asked.field("vector")[0])
-                matrix, _ = to_matrix(asked.field("vector"), width)
-                rows, _ = to_matrix(stored.field("vector"), width)
-                best = _Best(matrix, asked.field("id").to_numpy(), asked.field("skip").to_numpy(), n, metric)
-                best.add(stored.field("id").to_numpy(), rows)
+                width = pc.max(pc.list_value_length(asked.field("vector"))).as_py()
+                if not width:
+                    continue
+                # rows without a vector are dropped here: as a filter in the plan, the
+                # test would have a computed vector computed twice
+                matrix, asks = to_matrix(asked.field("vector"), width)
+                rows, there = to_matrix(stored.field("vector"), width)
+                best = _Best(matrix, asked.field("id").to_numpy()[asks], asked.field("skip").to_numpy()[asks], n, metric)
+                best.add(stored.field("id").to_numpy()[there], rows)
                 yield best.batch()
 
     return _merge(pairs.mapInArrow(search, OUT), n)
@@ -212,7 +177,6 @@ def nearest_many(
     *,
     metric: str = "cosine",
     exclude_self: bool = False,
-    send_limit: int = SEND_LIMIT,
     block_rows: int = BLOCK_ROWS,
     query_block_rows: int = QUERY_BLOCK_ROWS,
 ) -> DataFrame:
@@ -236,14 +200,4 @@ def nearest_many(
     corpus = corpus.select(
         F.col("id").cast("long").alias("id"), "vector", *(["cell"] if celled else [])
     )
-    fetched = queries.limit(SEND_ROWS + 1).toArrow()  # at most SEND_ROWS + 1 rows
-    if fetched.num_rows <= SEND_ROWS:
-        # Rows without a vector are dropped here: as a filter in the plan, the
-        # test would have a computed vector computed twice.
-        fetched = fetched.filter(fetched["vector"].is_valid())
-        if fetched.num_rows == 0:
-            return queries.sparkSession.createDataFrame([], OUT + ", rank int")
-        if fetched.num_rows * len(fetched["vector"][0]) * 8 <= send_limit:
-            return _send(fetched, corpus, n, metric)
-    queries, corpus = (df.filter(F.col("vector").isNotNull()) for df in (queries, corpus))
     return _block_join(queries, corpus, n, metric, block_rows, query_block_rows)

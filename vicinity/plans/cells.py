@@ -109,7 +109,7 @@ def nearest_in_cells_for_every_row(spark, sf_dir):
 
 @query(f"{_MANY} SELECT qid, id, round(round(distance, 12), 6) + 0.0 AS distance, rank::INT AS rank FROM found WHERE rank <= 10")
 def nearest_in_cells_for_every_row_by_blocks(spark, sf_dir):
-    found = _everything(spark, sf_dir, 3, send_limit=0, block_rows=128, query_block_rows=64)[1]
+    found = _everything(spark, sf_dir, 3, block_rows=128, query_block_rows=64)[1]
     return found.withColumn("distance", rounded(F.col("distance"), 6))
 
 

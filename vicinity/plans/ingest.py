@@ -17,7 +17,7 @@ from vicinity.functions.text import (
     compose_info,
     default_if_blank,
     fold_description,
-    is_small_lot,
+    is_keg,
     search_link,
     text_hash,
     to_number,
@@ -43,13 +43,13 @@ from vicinity.session import scratch, spread, table
 from vicinity.sources.catalog import empty_catalog, is_usable, load_catalog, read_catalog, to_catalog
 
 _FEED = """feed AS (
-  SELECT p_partkey AS file_row, p_name || CASE WHEN p_size = 50 THEN ' 1/6 Barrel' ELSE '' END AS name,
+  SELECT p_partkey AS file_row, p_name || CASE p_size WHEN 50 THEN ' 1/6 Barrel' WHEN 49 THEN ' ½' || chr(160) || 'KEG' WHEN 48 THEN ' 1' || chr(8201) || '/6 barrel' ELSE '' END AS name,
          p_brand AS brand, p_type AS categories, CASE WHEN p_size % 2 = 0 THEN coalesce(lang, '') ELSE '' END AS country,
          CASE WHEN p_size > 25 THEN 'Oak, ' || p_brand ELSE '' END AS notes, p_size || '%' AS abv, p_size AS ibu,
          CASE WHEN p_size < 10 THEN p_type ELSE '' END AS pairing, p_retailprice,
          regexp_replace(regexp_replace(coalesce(text, ''), '^[\\s\\v\\p{Z}]+', ''), '[\\s\\v\\p{Z}]+$', '') AS description
   FROM part LEFT JOIN documents ON doc_id = p_partkey)"""
-_USABLE = "usable AS (SELECT * FROM feed WHERE name NOT LIKE '% Barrel')"
+_USABLE = "usable AS (SELECT * FROM feed WHERE ibu < 48)"
 _INFO = """name || ' Style: ' || categories || '.' || CASE WHEN description <> '' THEN ' ' || description ELSE '' END
   || CASE WHEN notes <> '' THEN ' Tasting notes: ' || notes || '.' ELSE '' END
   || CASE WHEN pairing <> '' THEN ' Pairs well with: ' || pairing || '.' ELSE '' END
@@ -59,7 +59,7 @@ _FIRST = f"""firsts AS (SELECT * FROM (
   WHERE rn = 1)"""
 
 
-def _catalog_file(spark, sf_dir) -> str:
+def _catalog_feed(spark, sf_dir) -> DataFrame:
     parts = table(spark, sf_dir, "part")
     documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     rows = parts.join(documents, F.col("doc_id") == F.col("p_partkey"), "left")
@@ -67,7 +67,10 @@ def _catalog_file(spark, sf_dir) -> str:
     blank = F.lit("")
     feed = rows.select(
         F.col("p_partkey").alias(" "),
-        F.concat("p_name", F.when(size == 50, " 1/6 Barrel").otherwise("")).alias("Name"),
+        F.concat(
+            "p_name",
+            F.when(size == 50, " 1/6 Barrel").when(size == 49, " ½\u00a0KEG").when(size == 48, " 1\u2009/6 barrel").otherwise(""),
+        ).alias("Name"),
         F.when(size % 2 == 0, F.coalesce("lang", blank)).otherwise("").alias("Country"),
         F.col("p_brand").alias(" Brand "),
         F.col("p_type").alias("Categories"),
@@ -81,13 +84,21 @@ def _catalog_file(spark, sf_dir) -> str:
         F.concat(F.lit("$"), F.format_number("p_retailprice", 2)).alias("Price"),
         F.coalesce("text", blank).alias("Description"),
     )
-    path = scratch(spark, "catalog-csv")
+    return feed
+
+
+def _write_csv(feed: DataFrame, path: str, line: str = " ") -> None:
     # Many files in row order, since one task reads a whole file.
-    cores = spark.sparkContext.defaultParallelism
-    ordered = feed.repartitionByRange(cores, " ").sortWithinPartitions(" ")
+    cores = feed.sparkSession.sparkContext.defaultParallelism
+    ordered = feed.repartitionByRange(cores, line).sortWithinPartitions(line)
     writer = ordered.write.option("maxRecordsPerFile", 100_000).option("header", True).option("escape", '"').option("quoteAll", True)
     writer = writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-    writer.csv(path)
+    writer.mode("append").csv(path)
+
+
+def _catalog_file(spark, sf_dir) -> str:
+    path = scratch(spark, "catalog-csv")
+    _write_csv(_catalog_feed(spark, sf_dir), path)
     return path
 
 
@@ -103,14 +114,34 @@ def scan_catalog_file(spark, sf_dir):
     )
 
 
-@query(f"""WITH {_FEED} SELECT count(*) AS rows, count(*) FILTER (name LIKE '% Barrel') AS small_lots,
-  count(*) FILTER (name NOT LIKE '% Barrel') AS usable FROM feed""")
+@query(f"""WITH {_FEED} SELECT file_row, name AS "Name", brand AS "Brand", categories AS "Categories", country AS "Country", abv AS "ABV",
+  ibu::VARCHAR AS "IBU", sha256(description) AS description_hash FROM feed""")
+def scan_files_by_their_headers(spark, sf_dir):
+    """Files in three column orders, one with a byte-order mark, one with spaced headers."""
+    feed, path = _catalog_feed(spark, sf_dir), scratch(spark, "catalog-csv")
+    feed = feed.withColumnRenamed(" ", "No")
+    part = F.col("No").cast("long") % 3
+    _write_csv(feed.filter(part == 0), path, "No")
+    names = [c for c in reversed(feed.columns) if c != "Name"]
+    marked = feed.filter(part == 1).select(F.col("Name").alias("\ufeffName"), *[F.col(f"`{c}`") for c in names])
+    _write_csv(marked, path, "No")
+    spaced = [F.col(f"`{c}`").alias(f"  {c.strip()} ") for c in sorted(feed.columns)]
+    _write_csv(feed.filter(part == 2).select(*spaced), path, "  No ")
+    rows = read_catalog(spark, path)
+    return rows.select(
+        F.col("No").cast("long").alias("file_row"), "Name", "Brand", "Categories", "Country", "ABV", "IBU",
+        text_hash(F.col("Description")).alias("description_hash"),
+    )
+
+
+@query(f"""WITH {_FEED} SELECT count(*) AS rows, count(*) FILTER (ibu >= 48) AS kegs,
+  count(*) FILTER (ibu < 48) AS usable FROM feed""")
 def count_usable_rows(spark, sf_dir):
     rows = read_catalog(spark, _catalog_file(spark, sf_dir))
-    small = is_small_lot(F.col("Name"), F.col("Description"))
+    keg = is_keg(F.col("Name"), F.col("Description"))
     return rows.agg(
         F.count("*").alias("rows"),
-        F.count_if(small).alias("small_lots"),
+        F.count_if(keg).alias("kegs"),
         F.count_if(is_usable()).alias("usable"),
     )
 
@@ -311,7 +342,8 @@ def resolve_names(spark, sf_dir):
 
 
 @query("""SELECT p_partkey AS id, round(p_retailprice, 2)::DOUBLE AS price, p_size::DOUBLE AS share, p_size::INT AS whole,
-  (p_retailprice::DECIMAL(18,2) - 0.005)::BIGINT::INT AS cut, NULL::DOUBLE AS unreadable, NULL::INT AS unreadable_whole, p_name AS name FROM part""".replace(
+  (p_retailprice::DECIMAL(18,2) - 0.005)::BIGINT::INT AS cut, NULL::DOUBLE AS unreadable, NULL::INT AS unreadable_whole, p_name AS name,
+  NULL::DOUBLE AS double_suffix, NULL::INT AS float_suffix, (p_size * 1000)::DOUBLE AS scaled, 'NaN'::DOUBLE AS no_number FROM part""".replace(
     "(p_retailprice::DECIMAL(18,2) - 0.005)::BIGINT::INT", "trunc(p_retailprice)::INT"))
 def read_decorated_numbers(spark, sf_dir):
     parts = table(spark, sf_dir, "part")
@@ -326,6 +358,10 @@ def read_decorated_numbers(spark, sf_dir):
         to_number(F.col("p_type")).alias("unreadable"),
         to_whole(F.concat(size, F.lit("%"))).alias("unreadable_whole"),
         clean(F.concat(F.lit("﻿  "), "p_name", F.lit("\r\n"))).alias("name"),
+        to_number(F.concat(size, F.lit("d"))).alias("double_suffix"),
+        to_whole(F.concat(size, F.lit("f"))).alias("float_suffix"),
+        to_number(F.concat(size, F.lit("e3"))).alias("scaled"),
+        to_number(F.concat(F.lit("NaN"), F.substring(size, 1, 0))).alias("no_number"),
     )
 
 

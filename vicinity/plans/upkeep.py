@@ -146,6 +146,29 @@ def keep_vectors_fresh_from_feed(spark, sf_dir):
     )
 
 
+@query("""WITH c AS (SELECT user_id AS id, event_type || ' ' || props AS info, ts,
+    row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events)
+SELECT id, sha256(info) AS text_hash, 64 AS dims, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS changed FROM c WHERE rn = 1""")
+def keep_vectors_fresh_over_epochs(spark, sf_dir):
+    """The same feed in several files, one per epoch, its changes out of order."""
+    events, source = table(spark, sf_dir, "events"), scratch(spark, "feed")
+    events.repartition(4, "event_id").write.parquet(source)
+    feed = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    changes = feed.select(
+        F.col("user_id").alias("id"), F.concat_ws(" ", "event_type", "props").alias("info"),
+        F.col("ts").cast("timestamp").alias("changed_at"), "event_id",
+    )
+    path = scratch(spark, "vector-log")
+    open_log(spark, path)
+    keep_fresh(
+        changes, path, scratch(spark, "progress"), ["changed_at", "event_id"], _encoder(), trigger=ONCE
+    ).awaitTermination()
+    now = current_vectors(spark, path)
+    return now.select(
+        "id", "text_hash", dims(F.col("embedding")).alias("dims"), F.date_format("embedded_at", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("changed")
+    )
+
+
 @query("""WITH jobs AS (SELECT event_type AS job, row_number() OVER (ORDER BY event_type) AS job_id FROM (SELECT DISTINCT event_type FROM events))
 SELECT event_id AS run_id, job, CASE WHEN value < 10 THEN 'failed' ELSE 'succeeded' END AS status
 FROM events JOIN jobs ON job = event_type ORDER BY ts DESC, event_id DESC LIMIT 3""")

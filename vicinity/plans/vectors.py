@@ -255,7 +255,7 @@ def nearest_for_every_row(spark, sf_dir):
 @query(_EVERY_ROW)
 def nearest_for_every_row_by_blocks(spark, sf_dir):
     """The way taken when the queries are too many to send to every task."""
-    return _every_row(spark, sf_dir, send_limit=0, block_rows=256, query_block_rows=128)
+    return _every_row(spark, sf_dir, block_rows=256, query_block_rows=128)
 
 
 @query(f"""WITH {CATALOG}, asked AS (SELECT p_partkey AS id FROM part)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,7 +14,7 @@ from vicinity.functions.text import (
     clean,
     compose_info,
     fold_description,
-    is_small_lot,
+    is_keg,
     text_hash,
     to_number,
     to_whole,
@@ -78,49 +81,77 @@ class CatalogError(ValueError):
     """The file cannot be loaded; nothing was written."""
 
 
-def check_file(spark: SparkSession, path: str) -> None:
-    """Refuse a missing file, an empty one, and a large-file pointer."""
+def file_heads(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """The files under a path by their first line. Refuses a missing path, and names a
+    file that is empty or a large-file pointer."""
     try:
-        head = spark.read.text(path).first()
+        lines = spark.read.text(path)
     except Exception as problem:
         if "PATH_NOT_FOUND" in str(problem):
             raise CatalogError(f"dataset not found at {path}") from problem
         raise
-    if head is None:
-        raise CatalogError(f"{path} is empty, load aborted")
-    if head[0].startswith(POINTER_HEAD):
-        raise CatalogError(f"{path} is a Git-LFS pointer, not data, load aborted")
+    files = lines.inputFiles()
+    # every task hands on one line per file; a header is where the file begins
+    begins = lines.select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line"),
+    ).filter("block = 0")
+    heads = begins.groupBy("file").agg(F.min_by("value", "line").alias("head"))
+    by_head = {r["head"]: sorted(r["files"]) for r in heads.groupBy("head").agg(F.collect_list("file").alias("files")).collect()}
+    found = {_plain(f) for group in by_head.values() for f in group}
+    empty = sorted({_plain(f) for f in files} - found)
+    if empty or not files:
+        raise CatalogError(f"{empty[0] if empty else path} is empty, load aborted")
+    for head, group in by_head.items():
+        if head.startswith(POINTER_HEAD):
+            raise CatalogError(f"{group[0]} is a Git-LFS pointer, not data, load aborted")
+    return by_head
+
+
+def _plain(uri: str) -> str:
+    return re.sub(r"^file:/+", "/", uri)
 
 
 def read_catalog(spark: SparkSession, path: str) -> DataFrame:
     """All columns as cleaned text under trimmed headers, plus ``file_row``.
 
-    ``file_row`` grows with the file name and the position in the file. Quoted
-    fields may hold line breaks, so one task reads a whole file: deliver a big
-    catalogue as many files.
+    Every file's own header says which column is which; a column that only some files
+    have is empty in the others. ``file_row`` grows with the file name and the position
+    in the file. Quoted fields may hold line breaks, so one task reads a whole file:
+    deliver a big catalogue as many files.
     """
-    check_file(spark, path)
-    reader = spark.read.option("header", True).option("quote", '"').option("escape", '"')
-    raw = reader.option("multiLine", True).option("encoding", "UTF-8").csv(path)
-    headers = [c.lstrip("\ufeff").strip() or f"_c{i}" for i, c in enumerate(raw.columns)]
-    missing = sorted(set(REQUIRED_COLUMNS) - set(headers))
-    if missing:
-        raise CatalogError(f"missing required columns: {missing}, load aborted")
-    # The scan's own file list, which the driver holds in any case.
-    files = spark.createDataFrame(
-        list(enumerate(sorted(raw.inputFiles()))), "_file long, _path string"
+    by_head = file_heads(spark, path)
+    numbers = {f: i for i, f in enumerate(sorted(f for group in by_head.values() for f in group))}
+    places = spark.createDataFrame(list(numbers.items()), "_path string, _file long")
+    out = None
+    for files in by_head.values():
+        reader = spark.read.option("header", True).option("quote", '"').option("escape", '"')
+        raw = reader.option("multiLine", True).option("encoding", "UTF-8").csv([unquote(f) for f in files])
+        headers = [c.lstrip("\ufeff").strip() or f"_c{i}" for i, c in enumerate(raw.columns)]
+        missing = sorted(set(REQUIRED_COLUMNS) - set(headers))
+        if missing:
+            raise CatalogError(f"{files[0]}: missing required columns: {missing}, load aborted")
+        rows = raw.select(
+            *[clean(F.col(f"`{c}`")).alias(h) for c, h in zip(raw.columns, headers)],
+            F.col("_metadata.file_path").alias("_path"),
+            (F.monotonically_increasing_id() % ROWS_PER_FILE).alias("_row"),
+        )
+        out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
+    columns = [c for c in out.columns if c not in ("_path", "_row")]
+    # monotonically_increasing_id counts inside a task, and a task may read several
+    # files; inside one file it still grows with the line
+    placed = out.join(places, "_path")
+    return placed.select(
+        *[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in columns],
+        (F.col("_file") * ROWS_PER_FILE + F.col("_row")).alias("file_row"),
     )
-    placed = raw.select(
-        *[clean(F.col(f"`{c}`")).alias(h) for c, h in zip(raw.columns, headers)],
-        F.input_file_name().alias("_path"),
-        (F.monotonically_increasing_id() % ROWS_PER_FILE).alias("_row"),
-    ).join(F.broadcast(files), "_path")
-    return placed.select(*[f"`{h}`" for h in headers], (F.col("_file") * ROWS_PER_FILE + F.col("_row")).alias("file_row"))
 
 
 def is_usable() -> Column:
     """Has a name and is not a repeat of an item in another package size."""
-    return (F.col("Name") != "") & ~is_small_lot(F.col("Name"), F.col("Description"))
+    return (F.col("Name") != "") & ~is_keg(F.col("Name"), F.col("Description"))
 
 
 def to_catalog(rows: DataFrame) -> DataFrame:

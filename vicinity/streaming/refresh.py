@@ -1,13 +1,14 @@
 """Vectors kept fresh from a stream of changed rows.
 
-The sink is a vector log: every micro-batch writes its rows to its own
-``epoch=N`` folder, so a replayed batch replaces itself and writing costs as much
-as the change, not as much as the table. The current vector of a row is the one
-from the latest epoch.
+The sink is a vector log: every micro-batch writes its rows to a folder of its own
+run (a checkpoint) and epoch, so a replayed batch replaces itself and nothing else.
+The current vector of a row is that of its latest change, in the order of changes,
+not of writing.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +21,7 @@ from vicinity.operators.changes import first_wins
 
 EVERY_MINUTE = {"processingTime": "1 minute"}
 ONCE = {"availableNow": True}
+BUCKETS = 16  # divisions of a log by id
 
 
 def embed_on_write(
@@ -35,51 +37,72 @@ def embed_on_write(
 
 
 def open_log(spark: SparkSession, path: str, id_type: str = "long") -> None:
-    """Start an empty log; epoch -1 carries the schema and no rows."""
+    """Start an empty log, with a file that carries the schema and no rows."""
     schema = f"id {id_type}, text_hash string, embedding array<float>, embedded_at timestamp"
-    spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{path}/epoch=-1")
+    spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{path}/run=r0/epoch=-1/bucket=-1")
+
+
+def read_log(spark: SparkSession, path: str) -> DataFrame:
+    """All entries; ``position`` is the change that an entry stands for."""
+    return spark.read.option("mergeSchema", True).option("basePath", path).parquet(path)
 
 
 def current_vectors(spark: SparkSession, path: str) -> DataFrame:
-    """The entry of the latest epoch for each id; an epoch has an id once."""
-    return first_wins(spark.read.parquet(path), ["id"], "epoch", last=True).drop("epoch")
+    """The entry of the latest change of each id, whenever it was written."""
+    log = read_log(spark, path)
+    if "position" in log.columns:
+        log = first_wins(log, ["id"], "position", last=True).drop("position")
+    return log.drop("run", "epoch", "bucket")
 
 
 def compact_log(spark: SparkSession, path: str, new_path: str) -> None:
-    """Copy the current vectors to a new log under the last epoch's number, for a
-    stopped stream to go on with."""
-    last = spark.read.parquet(path).agg(F.max("epoch")).first()[0]
-    current_vectors(spark, path).write.mode("overwrite").parquet(f"{new_path}/epoch={last}")
+    """Copy the current entries to a new log, for a stopped stream to go on with."""
+    log = read_log(spark, path)
+    if "position" in log.columns:
+        log = first_wins(log, ["id"], "position", last=True)
+    kept = log.drop("run", "epoch")
+    kept.write.mode("overwrite").partitionBy("bucket").parquet(f"{new_path}/run=r0/epoch=-1")
 
 
 def last_write(changes: DataFrame, order: Sequence[str], id_col: str = "id", text_col: str = "info", time_col: str = "changed_at") -> DataFrame:
-    """The last change per row."""
-    last = F.max_by(F.struct(text_col, time_col), F.struct(*order)).alias("_c")
+    """The last change per row, with its ``position`` in the order of changes."""
+    position = F.struct(*order)
+    last = F.max_by(F.struct(text_col, time_col, position.alias("position")), position).alias("_c")
     return changes.groupBy(id_col).agg(last).select(F.col(id_col).alias("id"), "_c.*")
 
 
 def append_epoch(
     changes: DataFrame, epoch: int, path: str, order: Sequence[str], encoder=None, prefix: str = "",
-    id_col: str = "id", text_col: str = "info", time_col: str = "changed_at",
+    id_col: str = "id", text_col: str = "info", time_col: str = "changed_at", run: str = "r1", buckets: int = BUCKETS,
 ) -> None:
-    """Embed what is new in a micro-batch and write it as this epoch.
+    """Embed what is new in a micro-batch and write it as this epoch of a run.
 
-    Rows whose text has the hash of their latest earlier epoch are left out;
-    epochs from this one on are ignored, so a replay sees what the first try saw.
+    A row is new if its change comes after the one in the log and its text has another
+    hash. Epochs of this run from this one on are ignored, so a replay sees what the
+    first try saw; other runs' folders are only read. The log is divided by a hash of
+    the id, and only the divisions that the batch touches are read.
     """
     spark = changes.sparkSession
     last = last_write(changes, order, id_col, text_col, time_col)
     last = last.filter(F.col(text_col) != "").withColumn("text_hash", text_hash(F.col(text_col)))
-    earlier = spark.read.parquet(path).filter(F.col("epoch") < epoch).select("id", "text_hash", "epoch")
-    touched = earlier.join(last.select("id"), "id", "left_semi")
-    known = touched.groupBy("id").agg(F.max_by("text_hash", "epoch").alias("text_hash"))
-    new = last.join(known, ["id", "text_hash"], "left_anti")
-    new.select(
+    last = last.withColumn("bucket", F.pmod(F.xxhash64("id"), F.lit(buckets)).cast("int"))
+    log = read_log(spark, path)
+    if "position" in log.columns:
+        touched = [r["bucket"] for r in last.select("bucket").distinct().collect()]  # at most ``buckets``
+        replayed = (F.col("run") == run) & (F.col("epoch") >= epoch)
+        earlier = log.filter(F.col("bucket").isin(touched) & ~replayed)
+        known = earlier.groupBy("id").agg(F.max_by(F.struct("position", "text_hash"), "position").alias("_known"))
+        joined = last.join(known, "id", "left")
+        newer = (F.col("position") > F.col("_known.position")) & (F.col("text_hash") != F.col("_known.text_hash"))
+        last = joined.filter(F.col("_known").isNull() | newer)
+    last.select(
         "id",
         "text_hash",
         encode(F.col(text_col), encoder, prefix).alias("embedding"),
         F.col(time_col).cast("timestamp").alias("embedded_at"),
-    ).write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
+        "position",
+        "bucket",
+    ).write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/run={run}/epoch={epoch}")
 
 
 def keep_fresh(
@@ -88,8 +111,10 @@ def keep_fresh(
 ) -> StreamingQuery:
     """Run ``append_epoch`` on a stream; the checkpoint resumes after a stop."""
 
+    run = "r" + hashlib.sha256(checkpoint.encode()).hexdigest()[:12]  # a checkpoint counts its own epochs
+
     def write(batch: DataFrame, epoch: int) -> None:
-        append_epoch(batch, epoch, path, order, encoder, prefix, **columns)
+        append_epoch(batch, epoch, path, order, encoder, prefix, run=run, **columns)
 
     return (
         changes.writeStream.foreachBatch(write)
