@@ -34,9 +34,10 @@ from vicinity.llm.common import pieces, text_bytes, written
 from vicinity.llm.components import components
 from vicinity.llm.hashing import mix, ragged, segment_sums, shingle_sets
 
-FRAGMENT = 1 << 21  # n-grams of a fragment, about
+FRAGMENT = 1 << 20  # n-grams of a fragment, about
+PIECE_BYTES = 1 << 20  # text that a task hashes at once
 PARTS = 4  # fragments in which a pair's overlap is counted
-CELL = 20_000  # pairs of a cell, about
+CELL = 4_000  # pairs of a cell, about
 
 
 def text_sets(batch: pa.RecordBatch, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -52,7 +53,7 @@ def sets_of(docs: DataFrame, length: int) -> DataFrame:
     """(doc_id, text) to doc_id, n_shingles, class; no class without n-grams."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "text"):
+        for batch in pieces(batches, "text", PIECE_BYTES):
             _, ends, classes = text_sets(batch, length)
             sizes = np.diff(ends, prepend=0)
             yield pa.RecordBatch.from_arrays(
@@ -96,7 +97,7 @@ def to_fragments(docs: DataFrame, length: int, fragments: int) -> DataFrame:
     """Each batch's distinct sets, cut at the fragments' borders: a row per fragment."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "text"):
+        for batch in pieces(batches, "text", PIECE_BYTES):
             tokens, ends, classes = text_sets(batch, length)
             sizes = np.diff(ends, prepend=0)
             _, first = np.unique(classes, return_index=True)
@@ -201,6 +202,7 @@ SETS = StructType(
     [
         StructField("class", LongType()),
         StructField("size", IntegerType()),
+        StructField("alone", IntegerType()),
         StructField("tokens", BinaryType()),
         StructField("prefix", ArrayType(LongType())),
     ]
@@ -208,8 +210,9 @@ SETS = StructType(
 
 
 def sets_to_join(shared: DataFrame, percent: int) -> DataFrame:
-    """Sets that share enough n-grams with all others together: size, shared n-grams
-    in order, and the prefix on which they are joined, rarest first."""
+    """Sets that share enough n-grams with all others together: size, number of n-grams
+    that no other set has, shared n-grams in order, and the prefix on which the sets are
+    joined, rarest first."""
 
     def run(table: pa.Table) -> pa.Table:
         classes, sizes = joined(table, "classes", "<i8"), joined(table, "sizes", "<i4")
@@ -233,6 +236,7 @@ def sets_to_join(shared: DataFrame, percent: int) -> DataFrame:
             [
                 pa.array(known[kept]),
                 pa.array(size[kept], pa.int32()),
+                pa.array((size - shared)[kept], pa.int32()),
                 pa.array([tokens[plain[b : b + n]].tobytes() for b, n in zip(begins[kept], shared[kept])], pa.binary()),
                 pa.ListArray.from_arrays(pa.array(prefix_ends), pa.array(tokens[first].view(np.int64))),
             ],
@@ -245,9 +249,11 @@ def sets_to_join(shared: DataFrame, percent: int) -> DataFrame:
 # --- pairs ------------------------------------------------------------------------
 
 
-def may_link(one: str, two: str, percent: int):
-    small, large = F.least(one, two), F.greatest(one, two)
-    return 100 * small.cast("long") >= percent * large.cast("long")
+def may_link(one: str, other: str, percent: int):
+    """Whether two sets can be similar enough that have an n-gram in common and nothing
+    before it in the order: the overlap is at most what is left of either set."""
+    sizes = F.col(f"size{one}").cast("long") + F.col(f"size{other}")
+    return (100 + percent) * F.least(f"rest{one}", f"rest{other}").cast("long") >= percent * sizes
 
 
 PAIR_PARTS = StructType([StructField("a", LongType()), StructField("b", LongType()), StructField("part", LongType())])
@@ -329,46 +335,60 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(overlap, ["a", "b"]).filter(enough).select("a", "b")
 
 
+def posting_lists(sets: DataFrame) -> DataFrame:
+    """token, class, size, and ``rest``: the set's n-grams from this one on."""
+    at = F.posexplode("prefix").alias("at", "token")
+    return sets.select(at, "class", "size", "alone").select(
+        "token", "class", "size", (F.col("size") - F.col("alone") - F.col("at")).alias("rest")
+    )
+
+
 def star_pairs(postings: DataFrame, percent: int) -> DataFrame:
-    """Each class with the smallest class of its posting lists."""
-    lists = postings.groupBy("token").agg(F.min(F.struct("class", "size")).alias("hub"), F.count("*").alias("n")).filter("n > 1")
-    pairs = postings.join(lists, "token").filter(F.col("class") != F.col("hub.class"))
-    sized = pairs.select(
-        F.col("hub.class").alias("a"), F.col("class").alias("b"), F.col("hub.size").alias("size_a"), F.col("size").alias("size_b")
+    """Each class with one class of its posting lists: the one with the fewest n-grams
+    of its own, which is most like an original."""
+    own = F.floor(1000 * F.col("rest") / F.col("size"))
+    hub = F.max(F.struct(own.alias("own"), "class", "size", "rest")).alias("hub")
+    lists = postings.groupBy("token").agg(hub, F.count("*").alias("n")).filter("n > 1")
+    pairs = postings.join(lists, "token").select(
+        "class", "size", "rest", *[F.col(f"hub.{c}").alias(f"{c}_hub") for c in ("class", "size", "rest")]
     )
-    return sized.filter(may_link("size_a", "size_b", percent)).distinct()
+    near = pairs.filter((F.col("class") != F.col("class_hub")) & may_link("", "_hub", percent))
+    return ordered(near, "", "_hub")
+
+
+def ordered(pairs: DataFrame, one: str, other: str) -> DataFrame:
+    """Distinct pairs (a, b, size_a, size_b), a below b."""
+    first = F.col(f"class{one}") < F.col(f"class{other}")
+    pick = lambda c, x, y: F.when(first, F.col(f"{c}{x}")).otherwise(F.col(f"{c}{y}"))
+    return pairs.select(
+        pick("class", one, other).alias("a"),
+        pick("class", other, one).alias("b"),
+        pick("size", one, other).alias("size_a"),
+        pick("size", other, one).alias("size_b"),
+    ).distinct()
 
 
 def cross_pairs(postings: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
-    """All pairs of a posting list across components, except those with its smallest
-    class. The classes outside a list's largest component meet all others; those
-    inside it don't meet each other."""
+    """All pairs of a posting list across components that may still link. The classes
+    outside a list's largest component meet all others; those inside it don't meet
+    each other."""
     labelled = postings.join(groups.withColumnRenamed("node", "class"), "class", "left").withColumn(
         "component", F.coalesce("component", "class")
     )
-    by_component = labelled.groupBy("token", "component").agg(F.count("*").alias("n"), F.min("class").alias("least"))
+    by_component = labelled.groupBy("token", "component").agg(F.count("*").alias("n"))
     lists = by_component.groupBy("token").agg(
-        F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("k"), F.min("least").alias("hub")
-    )
-    members = labelled.join(lists.filter("k > 1"), "token").filter(F.col("class") != F.col("hub"))
-    outside = members.filter(F.col("component") != F.col("main")).select(
-        "token", F.col("class").alias("x"), F.col("size").alias("size_x"), F.col("component").alias("cx")
-    )
-    everyone = members.select(
-        "token", F.col("class").alias("y"), F.col("size").alias("size_y"), F.col("component").alias("cy"), "main"
+        F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("k")
     )
+    members = labelled.join(lists.filter("k > 1"), "token")
+    names = ("class", "size", "rest", "component")
+    outside = members.filter("component != main").select("token", *[F.col(c).alias(f"{c}_x") for c in names])
+    everyone = members.select("token", "main", *[F.col(c).alias(f"{c}_y") for c in names])
     pairs = outside.join(everyone, "token").filter(
-        (F.col("cx") != F.col("cy"))
-        & ((F.col("cy") == F.col("main")) | (F.col("x") < F.col("y")))
-        & may_link("size_x", "size_y", percent)
+        (F.col("component_x") != F.col("component_y"))
+        & ((F.col("component_y") == F.col("main")) | (F.col("class_x") < F.col("class_y")))
+        & may_link("_x", "_y", percent)
     )
-    first = F.col("x") < F.col("y")
-    return pairs.select(
-        F.when(first, F.col("x")).otherwise(F.col("y")).alias("a"),
-        F.when(first, F.col("y")).otherwise(F.col("x")).alias("b"),
-        F.when(first, F.col("size_x")).otherwise(F.col("size_y")).alias("size_a"),
-        F.when(first, F.col("size_y")).otherwise(F.col("size_x")).alias("size_b"),
-    ).distinct()
+    return ordered(pairs, "_x", "_y")
 
 
 def groups_of(
@@ -381,11 +401,11 @@ def groups_of(
     fragments = min(MOST_FRAGMENTS, max(1, -(-total // FRAGMENT)))
     shared = shared_tokens(to_fragments(texts, length, fragments), fragments)
     sets = written(sets_to_join(shared, percent), "sets-to-join")
-    postings = written(sets.select(F.explode("prefix").alias("token"), "class", "size"), "postings")
+    postings = written(posting_lists(sets), "postings")
     stars = written(star_pairs(postings, percent), "star-pairs")
     links = written(linked(stars, sets, percent), "links")
     first = components(links)
-    rest = written(cross_pairs(postings, first, percent), "cross-pairs")
+    rest = written(cross_pairs(postings, first, percent).join(stars, ["a", "b"], "left_anti"), "cross-pairs")
     if rest.isEmpty():
         groups = first
     else:
