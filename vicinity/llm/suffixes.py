@@ -37,6 +37,7 @@ from vicinity.llm.hashing import Substrings, mix, ragged
 from vicinity.llm.jaccard import joined, pack, unpack
 
 BUCKET_BYTES = 32 << 20  # text behind the anchors of a bucket
+PIECE_BYTES = 1 << 19  # text that a task hashes at once
 RUN_SUFFIXES = 1 << 16  # suffixes that are merged together, about
 ONCE, SURE, OPEN, SAMPLE = range(4)  # what is known of an anchor
 
@@ -111,12 +112,14 @@ KNOWN = StructType([StructField("bucket", IntegerType()), *binary("texts", "ordi
 
 def send_anchors(texts: DataFrame, length: int, buckets: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "text"):
+        for batch in pieces(batches, "text", PIECE_BYTES):
             found = Anchors(*text_bytes(batch.column(1)), length)
             if not len(found.at):
                 continue
             keys = batch.column(0).to_numpy(zero_copy_only=False)
-            bucket = ((found.grams >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int32)
+            # anchors have small hashes; only their lower bits are spread evenly
+            low = found.grams & np.uint64(0xFFFFFFFF)
+            bucket = (low * np.uint64(buckets) >> np.uint64(32)).astype(np.int32)
             order = np.argsort(bucket, kind="stable")
             around, rows = found.around(), [[] for _ in SENT.names]
             starts = np.flatnonzero(np.diff(bucket[order], prepend=-1))
@@ -286,7 +289,7 @@ def send_runs(asking: DataFrame, length: int, buckets: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = None
-        for batch in pieces(batches, "text"):
+        for batch in pieces(batches, "text", PIECE_BYTES):
             keys = batch.column(0).to_pylist()
             # the join has sorted by key: copies of a text stand together, one will do
             some = [i for i, k in enumerate(keys) if k != (keys[i - 1] if i else last)]
@@ -491,7 +494,7 @@ def remove_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", t
     marked = written(marks_of(texts, marks, length, buckets), "marked-texts")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "text"):
+        for batch in pieces(batches, "text", PIECE_BYTES):
             data, offsets = text_bytes(batch.column(1))
             ordinals, masks = batch.column(2).to_pylist(), batch.column(3).to_pylist()
             if any(ordinals):
