@@ -120,35 +120,37 @@ class MergeTable:
 
     def _merge_short(self, ids: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Join the pair of lowest rank, the leftmost of equals, until none is left."""
-        width = ids.shape[1]
+        n, width = ids.shape
         if width < 2:
             return ids, counts
         ranks = np.full(ids.shape, NO_MERGE)
-        ranks[:, :-1] = self.rank(ids[:, :-1].ravel(), ids[:, 1:].ravel()).reshape(len(ids), width - 1)
-        rows = np.arange(len(ids))
-        steps = np.arange(width)
+        ranks[:, :-1] = self.rank(ids[:, :-1].ravel(), ids[:, 1:].ravel()).reshape(n, width - 1)
+        out = ids.copy()
+        rows, steps = np.arange(n), np.arange(width)
         while len(rows):
-            some = ranks[rows]
-            at = some.argmin(axis=1)
-            best = some[np.arange(len(rows)), at]
-            going = best != NO_MERGE
-            rows, at, best = rows[going], at[going], best[going]
-            if not len(rows):
-                break
             line = np.arange(len(rows))
-            after = np.minimum(steps + (steps > at[:, None]), width - 1)
-            mine = np.take_along_axis(ids[rows], after, 1)
-            mine[:, -1] = -1
-            mine[line, at] = best & ((1 << ID_BITS) - 1)
-            some = np.take_along_axis(ranks[rows], np.minimum(steps + (steps >= at[:, None]), width - 1), 1)
-            some[:, -1] = NO_MERGE
-            nearby = np.minimum(at + 1, width - 1)
-            some[line, at] = np.where(at < width - 1, self.rank(mine[line, at], mine[line, nearby]), NO_MERGE)
+            at = ranks.argmin(axis=1)
+            best = ranks[line, at]
+            going = best != NO_MERGE
+            if not going.all():  # set aside those that are done
+                out[rows[~going]] = ids[~going]
+                rows, ids, ranks, at, best = rows[going], ids[going], ranks[going], at[going], best[going]
+                line = np.arange(len(rows))
+                if not len(rows):
+                    break
+            # close the gap of the joined pair, then look at its new neighbours
+            beyond = steps[:-1] >= at[:, None]
+            ranks[:, :-1] = np.where(beyond, ranks[:, 1:], ranks[:, :-1])
+            beyond[line, at] = False
+            ids[:, :-1] = np.where(beyond, ids[:, 1:], ids[:, :-1])
+            ids[:, -1] = -1
+            new = best & ((1 << ID_BITS) - 1)
+            ids[line, at] = new
+            ranks[line, at] = self.rank(new, ids[line, np.minimum(at + 1, width - 1)])
             left = at > 0
-            some[line[left], at[left] - 1] = self.rank(mine[line[left], at[left] - 1], mine[line[left], at[left]])
-            ids[rows], ranks[rows] = mine, some
+            ranks[line[left], at[left] - 1] = self.rank(ids[line[left], at[left] - 1], new[left])
             counts[rows] -= 1
-        return ids, counts
+        return out, counts
 
     def _merge_long(self, ids: list[int]) -> list[int]:
         n, merges = len(ids), self.merges

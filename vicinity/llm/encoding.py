@@ -40,13 +40,17 @@ class Memo:
         return [b"".join(map(known.__getitem__, p)) for p in parts]
 
 
-split_dropped = re.compile(r"[^ \t\r\n]+").findall
-_blanks_and_run = re.compile(r"[ \t\r\n]*[^ \t\r\n]+|[ \t\r\n]+").findall
+# Letters before one of these marks always end a token there, so that a word is
+# remembered without what follows it.
+_WORD = r"[A-Za-zÀ-ÖØ-öø-ÿ]++(?=[.,*#$%&!?;:|])"
+split_dropped = re.compile(rf"{_WORD}|[^ \t\r\n]+").findall
+_blanks_and_run = re.compile(rf"[ \t\r\n]*+{_WORD}|[ \t\r\n]*+[^ \t\r\n]+|[ \t\r\n]+").findall
 _other_blank = re.compile(r"[^\S \t\r\n]").search
 
 
 def split_leading(text: str) -> list[str]:
-    """Cut before each blank that follows a non-blank: there a token always ends.
+    """Cut before each blank that follows a non-blank, and after words: there a token
+    always ends.
 
     With white space other than the four ASCII blanks a run may mix both kinds, and
     the text stays whole."""
