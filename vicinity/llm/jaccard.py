@@ -34,7 +34,7 @@ from vicinity.llm.common import pieces, text_bytes, written
 from vicinity.llm.components import components
 from vicinity.llm.hashing import mix, ragged, segment_sums, shingle_sets
 
-FRAGMENT = 1 << 20  # n-grams of a fragment, about
+FRAGMENT = 1 << 21  # n-grams of a fragment, about
 PIECE_BYTES = 1 << 20  # text that a task hashes at once
 PARTS = 4  # fragments in which a pair's overlap is counted
 CELL = 4_000  # pairs of a cell, about
@@ -82,6 +82,18 @@ def unpack(data: bytes) -> np.ndarray:
     return out.view(np.uint64).ravel()
 
 
+def pack_counts(counts: np.ndarray) -> bytes:
+    """Two bytes each where that is enough; ``counts_of`` tells by the length."""
+    return counts.astype("<u2" if counts.max() < 1 << 16 else "<u4").tobytes()
+
+
+def counts_of(table: pa.Table) -> np.ndarray:
+    parts = []
+    for counts, classes in zip(table.column("counts").to_pylist(), table.column("classes").to_pylist(), strict=True):
+        parts.append(np.frombuffer(counts, "<u2" if 4 * len(counts) == len(classes) else "<u4").astype(np.int64))
+    return np.concatenate(parts)
+
+
 FRAGMENTS = StructType(
     [
         StructField("fragment", IntegerType()),
@@ -94,7 +106,8 @@ FRAGMENTS = StructType(
 
 
 def to_fragments(docs: DataFrame, length: int, fragments: int) -> DataFrame:
-    """Each batch's distinct sets, cut at the fragments' borders: a row per fragment."""
+    """Each batch's distinct sets, cut at the fragments' borders: a row per fragment.
+    A set's whole size goes with its first fragment, 0 with the others."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text", PIECE_BYTES):
@@ -113,15 +126,18 @@ def to_fragments(docs: DataFrame, length: int, fragments: int) -> DataFrame:
             counts = np.diff(starts, append=len(cell))
             number, member = np.divmod(cell[starts], len(first))
             rows = np.flatnonzero(np.diff(number, prepend=-1))
-            sorted_tokens, known, wide = tokens[order], classes[first], sizes[first]
+            sorted_tokens, known = tokens[order], classes[first]
+            _, opening = np.unique(member, return_index=True)
+            wide = np.zeros(len(member), np.int32)
+            wide[opening] = sizes[first]
             columns: list[list] = [[], [], [], [], []]
             for a, b in zip(rows, np.append(rows[1:], len(number))):
                 stop = starts[b] if b < len(starts) else len(cell)
                 values = (
                     int(number[a]),
                     known[member[a:b]].tobytes(),
-                    wide[member[a:b]].astype(np.int32).tobytes(),
-                    counts[a:b].astype(np.int32).tobytes(),
+                    wide[a:b].tobytes(),
+                    pack_counts(counts[a:b]),
                     pack(sorted_tokens[starts[a] : stop]),
                 )
                 for column, value in zip(columns, values, strict=True):
@@ -155,7 +171,7 @@ def shared_tokens(rows: DataFrame, buckets: int) -> DataFrame:
     def run(table: pa.Table) -> pa.Table:
         fragment = table.column("fragment")[0].as_py()
         classes, sizes = joined(table, "classes", "<i8"), joined(table, "sizes", "<i4")
-        counts = joined(table, "counts", "<i4").astype(np.int64)
+        counts = counts_of(table)
         tokens = np.concatenate([unpack(t) for t in table.column("tokens").to_pylist()])
         # a set seen by several tasks counts once
         begins = np.cumsum(counts) - counts
@@ -175,7 +191,7 @@ def shared_tokens(rows: DataFrame, buckets: int) -> DataFrame:
         begins = np.cumsum(counts) - counts
         bucket = (classes.view(np.uint64) % np.uint64(buckets)).astype(np.int64)
         out: list[tuple] = []
-        have = np.flatnonzero(counts)
+        have = np.flatnonzero((counts > 0) | (sizes > 0))
         have = have[np.argsort(bucket[have], kind="stable")]
         edges = np.flatnonzero(np.diff(bucket[have], prepend=-1))
         for a, b in zip(edges, np.append(edges[1:], len(have))):
@@ -186,7 +202,7 @@ def shared_tokens(rows: DataFrame, buckets: int) -> DataFrame:
                     int(bucket[mine[0]]),
                     classes[mine].tobytes(),
                     sizes[mine].tobytes(),
-                    counts[mine].astype(np.int32).tobytes(),
+                    pack_counts(counts[mine]),
                     tokens[places].tobytes(),
                     code[places].tobytes(),
                 )
@@ -218,8 +234,8 @@ def sets_to_join(shared: DataFrame, percent: int) -> DataFrame:
         classes, sizes = joined(table, "classes", "<i8"), joined(table, "sizes", "<i4")
         known, number = np.unique(classes, return_inverse=True)
         size = np.zeros(len(known), np.int64)
-        size[number] = sizes
-        owner = np.repeat(number, joined(table, "counts", "<i4"))
+        np.maximum.at(size, number, sizes)
+        owner = np.repeat(number, counts_of(table))
         tokens, code = joined(table, "tokens", "<u8"), joined(table, "spread", "u1")
         shared = np.bincount(owner, minlength=len(known))
         # overlap >= percent of the larger set; the n-grams no other has lead the order
