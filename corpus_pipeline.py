@@ -33,10 +33,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     numbered = docs.withColumn("_row", F.monotonically_increasing_id())
     groups = jaccard.groups_of(numbered, id_col="_row")
     # the smallest row number of a group names it; ids decide which row stays
-    member = numbered.select("_row", "doc_id").join(groups.withColumnRenamed("doc_id", "_row"), "_row")
+    member = numbered.select("_row", "doc_id").join(groups.withColumnRenamed("doc_id", "_row").hint("merge"), "_row")
     rank = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("_row"))
     first = written(member.groupBy("component_id").agg(F.min(rank)["_row"].alias("_row")).select("_row"), "kept-rows")
-    return numbered.join(first, "_row", "left_semi").select(*[F.col(f"`{c}`") for c in columns])
+    return numbered.join(first.hint("merge"), "_row", "left_semi").select(*[F.col(f"`{c}`") for c in columns])
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -12,6 +12,8 @@ class of each posting list; after the components of these links are known, only
 across components are left to compare, all of them, so a large group of near copies
 never makes all its pairs.
 
+Joins are sorted ones at every size: what is small here is not small elsewhere.
+
 Two texts link when 100 * intersection >= 75 * union (``percent``) of their distinct
 n-grams, words in A-Z lower case. A text of fewer words has one n-gram, its whole
 sequence; null, empty and blank texts have none and stay alone. N-grams and sets are
@@ -332,7 +334,7 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             low = high
         return pa.table([pa.array(a), pa.array(b), pa.array(total)], names=PAIR_PARTS.names)
 
-    pieces_of = sets.join(needed, "class").select("cell", "class", "tokens").mapInArrow(
+    pieces_of = sets.join(needed.hint("merge"), "class").select("cell", "class", "tokens").mapInArrow(
         cut,
         StructType(
             [
@@ -365,7 +367,7 @@ def star_pairs(postings: DataFrame, percent: int) -> DataFrame:
     own = F.floor(1000 * F.col("rest") / F.col("size"))
     hub = F.max(F.struct(own.alias("own"), "class", "size", "rest")).alias("hub")
     lists = postings.groupBy("token").agg(hub, F.count("*").alias("n")).filter("n > 1")
-    pairs = postings.join(lists, "token").select(
+    pairs = postings.join(lists.hint("merge"), "token").select(
         "class", "size", "rest", *[F.col(f"hub.{c}").alias(f"{c}_hub") for c in ("class", "size", "rest")]
     )
     near = pairs.filter((F.col("class") != F.col("class_hub")) & may_link("", "_hub", percent))
@@ -388,14 +390,14 @@ def cross_pairs(postings: DataFrame, groups: DataFrame, percent: int) -> DataFra
     """All pairs of a posting list across components that may still link. The classes
     outside a list's largest component meet all others; those inside it don't meet
     each other."""
-    labelled = postings.join(groups.withColumnRenamed("node", "class"), "class", "left").withColumn(
+    labelled = postings.join(groups.withColumnRenamed("node", "class").hint("merge"), "class", "left").withColumn(
         "component", F.coalesce("component", "class")
     )
     by_component = labelled.groupBy("token", "component").agg(F.count("*").alias("n"))
     lists = by_component.groupBy("token").agg(
         F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("k")
     )
-    members = labelled.join(lists.filter("k > 1"), "token")
+    members = labelled.join(lists.filter("k > 1").hint("merge"), "token")
     names = ("class", "size", "rest", "component")
     outside = members.filter("component != main").select("token", *[F.col(c).alias(f"{c}_x") for c in names])
     everyone = members.select("token", "main", *[F.col(c).alias(f"{c}_y") for c in names])
@@ -426,12 +428,12 @@ def groups_of(
         groups = first
     else:
         groups = components(written(links.unionByName(linked(rest, sets, percent)), "links"))
-    labelled = rows.join(groups.withColumnRenamed("node", "class"), "class", "left").withColumn(
+    labelled = rows.join(groups.withColumnRenamed("node", "class").hint("merge"), "class", "left").withColumn(
         "_group", F.coalesce("component", "class")
     )
     labelled = written(labelled.select("doc_id", "n_shingles", "_group"), "groups")
     least = labelled.groupBy("_group").agg(F.min("doc_id").alias("component_id"))
-    together = labelled.filter("_group is not null").join(least.filter("_group is not null"), "_group")
+    together = labelled.filter("_group is not null").join(least.filter("_group is not null").hint("merge"), "_group")
     alone = labelled.filter("_group is null").withColumn("component_id", F.col("doc_id"))
     columns = ("doc_id", "n_shingles", "component_id")
     return together.select(*columns).unionByName(alone.select(*columns))

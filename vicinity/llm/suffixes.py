@@ -488,7 +488,7 @@ def remove_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", t
     asking = texts.filter("asks > 0")
     asked = asking.agg(F.sum("asks")).first()[0] or 0
     runs = send_runs(
-        keyed.join(asking, "key").select("key", "text", "ordinals", "states"), length, max(1, -(-asked // RUN_SUFFIXES))
+        keyed.join(asking.hint("merge"), "key").select("key", "text", "ordinals", "states"), length, max(1, -(-asked // RUN_SUFFIXES))
     )
     marks = written(merge_and_judge(runs, length, buckets), "window-marks")
     marked = written(marks_of(texts, marks, length, buckets), "marked-texts")
@@ -530,4 +530,4 @@ def remove_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", t
             StructField("kept", BinaryType()),
         ]
     )
-    return rows.join(marked, "key", "left").select("doc_id", "text", "ordinals", "masks").mapInArrow(cut, out)
+    return rows.join(marked.hint("merge"), "key", "left").select("doc_id", "text", "ordinals", "masks").mapInArrow(cut, out)
