@@ -66,6 +66,20 @@ def test_any_texts(spark, texts):
         assert result(spark, rows, 16) == brute(rows, 16)
 
 
+COLLIDING = ["dnbfinphquisaitykzebbuwg", "tlgxwfxqquisaityiiccoqre", "ntmufpmyquisaitywzgfevxj", "sxvfknhkquisaitymipygduz"]
+
+
+def test_surroundings_that_agree_in_their_upper_bits_only(spark):
+    # one anchor each, of one gram; hashes of the first and the last two agree in 32 bits
+    found = suffixes.Anchors(np.frombuffer("".join(COLLIDING).encode(), np.uint8), np.arange(0, 97, 24), 16)
+    upper = (found.around() >> np.uint64(32)).tolist()
+    assert found.at.tolist() == [8, 32, 56, 80] and len(set(found.grams.tolist())) == 1
+    assert upper[0] == upper[1] and upper[2] == upper[3] and len(set(found.around().tolist())) == 4
+    rows = list(enumerate(COLLIDING))
+    assert result(spark, rows, 16) == brute(rows, 16)
+    assert not any(r[2] for r in result(spark, rows, 16))
+
+
 def test_empty_table(spark):
     assert suffixes.remove_repeats(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 

@@ -17,7 +17,7 @@ cross texts.
 
 Null and empty texts and those shorter than ``length`` lose nothing; equal long texts
 lose all. Rows with equal or null ids are texts of their own. An empty table gives no
-rows. Texts are known by a 64-bit hash, grams by 48 to 64 bits and surroundings by 32
+rows. Texts are known by a 64-bit hash, grams by 48 to 64 bits and surroundings by 64
 bits more. Only the two named columns are read.
 """
 
@@ -132,7 +132,7 @@ def send_anchors(texts: DataFrame, length: int, buckets: int) -> DataFrame:
                     member.astype("<u4").tobytes(),
                     found.ordinal[some].astype("<u4").tobytes(),
                     pack(found.grams[some]),
-                    (around[some] >> np.uint64(32)).astype("<u4").tobytes(),
+                    around[some].astype("<u8").tobytes(),
                 )
                 for column, value in zip(rows, values, strict=True):
                     column.append(value)
@@ -154,7 +154,7 @@ def judge_anchors(sent: DataFrame, text_buckets: int) -> DataFrame:
             at += n
         key, ordinal = np.concatenate(keys), joined(table, "ordinals", "<u4")
         gram = np.concatenate([unpack(g) for g in table.column("grams").to_pylist()])
-        around = joined(table, "around", "<u4")
+        around = joined(table, "around", "<u8")
         order = np.lexsort((around, gram))
         gram, around = gram[order], around[order]
         new_gram = np.ones(len(order), bool)
