@@ -80,6 +80,21 @@ def test_surroundings_that_agree_in_their_upper_bits_only(spark):
     assert not any(r[2] for r in result(spark, rows, 16))
 
 
+def test_copies_of_one_text_are_reduced_before_the_shuffle(spark):
+    rng = random.Random(4)
+    text, other = ("".join(rng.choices("abcdefgh", k=300)) for _ in range(2))
+    rows = [(i, text) for i in range(400)] + [(400, other), (401, "short"), (402, "short")]
+    keyed = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("xxhash64(text) AS key", "text").repartition(3)
+    single = len(suffixes.Anchors(np.frombuffer(text.encode(), np.uint8), np.array([0, 300]), 24).at)
+    alone = len(suffixes.Anchors(np.frombuffer(other.encode(), np.uint8), np.array([0, 300]), 24).at)
+    sent = suffixes.send_anchors(keyed, 24, 2)
+    assert sum(len(r.members) // 4 for r in sent.collect()) <= 2 * 3 * single + alone
+    for parts in (1, 5):
+        frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+        got = sorted((*tuple(r)[:4], bytes(r.kept)) for r in suffixes.remove_repeats(frame, 24).collect())
+        assert got == sorted(brute(rows, 24))
+
+
 def test_empty_table(spark):
     assert suffixes.remove_repeats(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
 
-from vicinity.llm.common import pieces, text_bytes, written
+from vicinity.llm.common import pieces, text_bytes, text_sizes, written
 from vicinity.llm.hashing import Substrings, mix, ragged
 from vicinity.llm.jaccard import joined, pack, unpack
 
@@ -110,9 +110,30 @@ SENT = StructType([StructField("bucket", IntegerType()), *binary("texts", "membe
 KNOWN = StructType([StructField("bucket", IntegerType()), *binary("texts", "ordinals", "states")])
 
 
+def two_copies(keys: np.ndarray, sizes: np.ndarray, length: int, seen: dict[int, int]) -> np.ndarray:
+    """Rows that are the first or second copy of their text in this task; ``seen`` counts
+    on. Two are enough to make everything in a text repeated. Shorter texts than
+    ``length`` have no anchors and aren't counted."""
+    some = []
+    for i in np.flatnonzero(sizes >= length).tolist():
+        times = seen.get(key := int(keys[i]), 0)
+        if times < 2:
+            seen[key] = times + 1
+            some.append(i)
+    return np.array(some, np.int64)
+
+
 def send_anchors(texts: DataFrame, length: int, buckets: int) -> DataFrame:
+    """Anchors of at most two copies of a text per task, whatever their number, so that
+    no bucket grows with the copies of one text."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[int, int] = {}
         for batch in pieces(batches, "text", PIECE_BYTES):
+            some = two_copies(batch.column(0).to_numpy(zero_copy_only=False), text_sizes(batch.column(1)), length, seen)
+            if not len(some):
+                continue
+            batch = batch.take(pa.array(some))
             found = Anchors(*text_bytes(batch.column(1)), length)
             if not len(found.at):
                 continue
