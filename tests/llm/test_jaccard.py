@@ -1,6 +1,8 @@
 import random
 import re
+from collections import Counter
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -88,3 +90,25 @@ def test_components_of_a_path_and_a_star(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(7, 7), (200, 199), (200, 199)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {i: 0 for i in range(41)} | {100 + i: 100 for i in range(30)} | {199: 199, 200: 199}
+
+
+def test_partners_of_a_class_are_spread_whichever_side_it_is_on(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "CELL", 50)
+    stars = [(i, 10_000, 9, 9) for i in range(1000)] + [(-1, i, 9, 9) for i in range(1000)]
+    block = [(20_000 + i, 30_000 + j, 9, 9) for i in range(60) for j in range(60)]  # many partners on both sides
+    for rows in (stars, block):
+        pairs = spark.createDataFrame(rows, "a long, b long, size_a int, size_b int")
+        cells = -(-len(rows) // 50)
+        placed = jaccard.in_cells(pairs, cells).collect()
+        assert sorted((r.a, r.b, r.size_a, r.size_b) for r in placed) == sorted(rows)
+        held = Counter(r.cell for r in placed)
+        assert set(held) <= set(range(cells)) and max(held.values()) <= len(rows) // 4 and len(held) > cells // 2
+
+
+@pytest.mark.parametrize("fragments", [1, 3, 100, jaccard.MOST_FRAGMENTS])
+def test_overlap_is_counted_in_several_parts(fragments):
+    rng = np.random.default_rng(1)
+    low = rng.integers(0, 1 << 48, 4000, np.uint64)
+    tokens = np.sort(rng.integers(0, fragments, 4000).astype(np.uint64) << np.uint64(48) | low)
+    held = np.diff([0, *np.searchsorted(tokens, jaccard.borders_of(fragments)).tolist(), len(tokens)])
+    assert len(held) == jaccard.PARTS and held.min() > 500

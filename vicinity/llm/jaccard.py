@@ -12,7 +12,8 @@ class of each posting list; after the components of these links are known, only
 across components are left to compare, all of them, so a large group of near copies
 never makes all its pairs.
 
-Joins are sorted ones at every size: what is small here is not small elsewhere.
+Joins are sorted ones at every size: what is small here is not small elsewhere;
+only the list of classes with very many partners is broadcast, two per cell at most.
 
 Two texts link when 100 * intersection >= 75 * union (``percent``) of their distinct
 n-grams, words in A-Z lower case. A text of fewer words has one n-gram, its whole
@@ -277,17 +278,38 @@ def may_link(one: str, other: str, percent: int):
 PAIR_PARTS = StructType([StructField("a", LongType()), StructField("b", LongType()), StructField("part", LongType())])
 
 
-def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b, size_a, size_b; written) whose sets are similar enough.
-
-    Pairs go to cells by their second class, so that a class with many partners is
-    copied to cells at most, and its partners are spread over them."""
+def borders_of(fragments: int) -> np.ndarray:
+    """Where the tokens of ``shared_tokens`` (fragment, then 48 bits) are cut into parts."""
+    return np.array([(fragments << 48) * k // PARTS for k in range(1, PARTS)], np.uint64)
+
+
+def in_cells(pairs: DataFrame, cells: int) -> DataFrame:
+    """Pairs with their cell: by the class that has fewer partners, so that a class with
+    many is copied to cells at most and its partners are spread over them. Where both have
+    many, the partners of the lesser one are dealt over as many cells as they fill."""
+    both = pairs.select(F.explode(F.array("a", "b")).alias("class"))
+    # at most two classes per cell on average, so the table is small beside the pairs
+    heavy = both.groupBy("class").agg(F.count("*").alias("n")).filter(F.col("n") > CELL)
+    placed = pairs
+    for side in ("a", "b"):
+        partners = heavy.select(F.col("class").alias(side), F.col("n").alias(f"n_{side}"))
+        placed = placed.join(F.broadcast(partners), side, "left")
+    n_a, n_b = (F.coalesce(f"n_{side}", F.lit(0)) for side in ("a", "b"))
+    light, other = (F.when(n_b > n_a, F.col(x)).otherwise(F.col(y)) for x, y in (("a", "b"), ("b", "a")))
+    share = F.pmod(F.xxhash64(other), F.greatest(F.lit(1), F.ceil(F.least(n_a, n_b) / F.lit(CELL))))
+    cell = F.pmod(F.xxhash64(light, share), F.lit(cells)).cast("int")
+    return placed.select(*pairs.columns, cell.alias("cell"))
+
+
+def linked(pairs: DataFrame, sets: DataFrame, percent: int, fragments: int) -> DataFrame:
+    """The pairs (a, b, size_a, size_b; written) whose sets are similar enough. Their
+    overlap is counted cell by cell and, in each, for parts of the n-gram order."""
     cells = max(1, -(-pairs.count() // CELL))
-    placed = pairs.withColumn("cell", F.pmod(F.xxhash64("b"), F.lit(cells)).cast("int"))
+    placed = in_cells(pairs, cells)
     needed = placed.select(F.col("a").alias("class"), "cell").union(placed.select("b", "cell")).distinct()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        borders = np.array([(k << 64) // PARTS for k in range(1, PARTS)], np.uint64)
+        borders = borders_of(fragments)
         for batch in batches:
             rows: list[tuple] = []
             for cell, name, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -421,13 +443,13 @@ def groups_of(
     sets = written(sets_to_join(shared, percent), "sets-to-join")
     postings = written(posting_lists(sets), "postings")
     stars = written(star_pairs(postings, percent), "star-pairs")
-    links = written(linked(stars, sets, percent), "links")
+    links = written(linked(stars, sets, percent, fragments), "links")
     first = components(links)
     rest = written(cross_pairs(postings, first, percent).join(stars, ["a", "b"], "left_anti"), "cross-pairs")
     if rest.isEmpty():
         groups = first
     else:
-        groups = components(written(links.unionByName(linked(rest, sets, percent)), "links"))
+        groups = components(written(links.unionByName(linked(rest, sets, percent, fragments)), "links"))
     labelled = rows.join(groups.withColumnRenamed("node", "class").hint("merge"), "class", "left").withColumn(
         "_group", F.coalesce("component", "class")
     )
