@@ -95,6 +95,30 @@ def test_copies_of_one_text_are_reduced_before_the_shuffle(spark):
         assert got == sorted(brute(rows, 24))
 
 
+@pytest.mark.parametrize("windows", [200, 1 << 20])
+def test_suffixes_of_a_common_passage_do_not_meet_in_one_merge(spark, monkeypatch, windows):
+    rng = random.Random(6)
+    word = lambda n: "".join(rng.choices("abcdefgh", k=n))
+    short, long, after = word(18), word(33), [word(9) for _ in range(6)]
+    rows = [(i, word(40) + (short if i % 2 else long) + (rng.choice(after) if i % 3 else "") + word(40)) for i in range(240)]
+    rows += [(300 + i, (long + word(3)) * 4) for i in range(8)] + [(400, rows[0][1]), (401, rows[1][1]), (402, long), (403, short)]
+    seen = []
+    real = suffixes.merge_and_judge
+
+    def watched(runs, *args):
+        per_bucket = runs.selectExpr("bucket", "windows IS NOT NULL AS hot", "length(ordinals) / 4 AS n")
+        seen.extend(per_bucket.groupBy("bucket", "hot").agg({"n": "sum"}).collect())
+        return real(runs, *args)
+
+    monkeypatch.setattr(suffixes, "RUN_SUFFIXES", 20)
+    monkeypatch.setattr(suffixes, "HOT_WINDOWS", windows)
+    monkeypatch.setattr(suffixes, "merge_and_judge", watched)
+    assert result(spark, rows, 24) == brute(rows, 24)
+    assert max((r["sum(n)"] for r in seen if not r.hot), default=0) < 100
+    hot = [r["sum(n)"] for r in seen if r.hot]
+    assert sum(hot) > 1000 and (windows > 200 or max(hot) < sum(hot) / 4)
+
+
 def test_empty_table(spark):
     assert suffixes.remove_repeats(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 

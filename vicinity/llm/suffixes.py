@@ -15,6 +15,10 @@ cross texts.
 3. Windows. From common prefixes of the suffixes, and of the bytes to their left read
    backwards, the repeated windows of each anchor follow.
 
+A gram with more suffixes than one merge should take sends no suffixes. Each of its
+anchors sends the 64-bit hashes of the windows around it, dealt by their values, and
+those that occur twice are repeated.
+
 Null and empty texts and those shorter than ``length`` lose nothing; equal long texts
 lose all. Rows with equal or null ids are texts of their own. An empty table gives no
 rows. Texts are known by a 64-bit hash, grams by 48 to 64 bits and surroundings by 64
@@ -39,7 +43,9 @@ from vicinity.llm.jaccard import joined, pack, unpack
 BUCKET_BYTES = 32 << 20  # text behind the anchors of a bucket
 PIECE_BYTES = 1 << 19  # text that a task hashes at once
 RUN_SUFFIXES = 1 << 16  # suffixes that are merged together, about
+HOT_WINDOWS = 1 << 20  # windows that are counted together, about
 ONCE, SURE, OPEN, SAMPLE = range(4)  # what is known of an anchor
+HOT = 4  # added to OPEN and SAMPLE of a gram with more suffixes than one merge takes
 
 
 class Anchors:
@@ -163,8 +169,9 @@ def send_anchors(texts: DataFrame, length: int, buckets: int) -> DataFrame:
     return texts.mapInArrow(run, SENT)
 
 
-def judge_anchors(sent: DataFrame, text_buckets: int) -> DataFrame:
-    """What equal grams and equal surroundings say of each anchor."""
+def judge_anchors(sent: DataFrame, text_buckets: int, most: int = RUN_SUFFIXES) -> DataFrame:
+    """What equal grams and equal surroundings say of each anchor; a gram that more than
+    ``most`` anchors ask about is hot."""
 
     def run(table: pa.Table) -> pa.Table:
         keys, at = [], 0
@@ -189,6 +196,8 @@ def judge_anchors(sent: DataFrame, text_buckets: int) -> DataFrame:
         some_alone = np.bincount(group, alone) > 0
         state = np.where(alone, OPEN, np.where(new_kind & some_alone[group], SAMPLE, SURE))
         state[size[group] == 1] = ONCE
+        asking = state >= OPEN
+        state[asking & (np.bincount(group, asking) > most)[group]] += HOT
         keep = np.flatnonzero(state)
         key, ordinal, state = key[order[keep]], ordinal[order[keep]], state[keep].astype(np.uint8)
         bucket = (key.view(np.uint64) % np.uint64(text_buckets)).astype(np.int32)
@@ -198,11 +207,12 @@ def judge_anchors(sent: DataFrame, text_buckets: int) -> DataFrame:
     return sent.groupBy("bucket").applyInArrow(run, KNOWN)
 
 
-TEXTS = StructType([StructField("key", LongType()), *binary("ordinals", "states"), StructField("asks", LongType())])
+TEXTS = StructType([StructField("key", LongType()), *binary("ordinals", "states"), StructField("asks", LongType()), StructField("hot", LongType())])
 
 
 def per_text(known: DataFrame) -> DataFrame:
-    """A row per text: its anchors that aren't unique, and how many send a suffix."""
+    """A row per text: its anchors that aren't unique, and how many send a suffix
+    or, of hot grams, windows."""
 
     def run(table: pa.Table) -> pa.Table:
         key, ordinal, state = joined(table, "texts", "<i8"), joined(table, "ordinals", "<u4"), joined(table, "states", "u1")
@@ -213,13 +223,15 @@ def per_text(known: DataFrame) -> DataFrame:
         key, ordinal, state = key[new], ordinal[new], state[new]
         starts = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
         ends = np.append(starts[1:], len(key)) if len(starts) else starts
-        asks = np.concatenate([[0], np.cumsum(state >= OPEN)])
+        asks = np.concatenate([[0], np.cumsum((state >= OPEN) & (state < HOT))])
+        hot = np.concatenate([[0], np.cumsum(state >= HOT)])
         return pa.table(
             [
                 pa.array(key[starts]),
                 pa.array([ordinal[a:b].tobytes() for a, b in zip(starts, ends, strict=True)], pa.binary()),
                 pa.array([state[a:b].tobytes() for a, b in zip(starts, ends, strict=True)], pa.binary()),
                 pa.array(asks[ends] - asks[starts], pa.int64()),
+                pa.array(hot[ends] - hot[starts], pa.int64()),
             ],
             names=TEXTS.names,
         )
@@ -301,12 +313,38 @@ RUNS = StructType(
     [
         StructField("bucket", IntegerType()),
         *binary("texts", "ordinals", "shared", "sizes", "tails", "left_sizes", "lefts"),
+        *binary("backs", "windows"),
     ]
 )
 
 
-def send_runs(asking: DataFrame, length: int, buckets: int) -> DataFrame:
-    """(key, text, ordinals, states) to sorted front-coded runs, one per bucket."""
+def windows_around(found: Anchors, some: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Anchor, bytes before it, and hash of each window around some anchors. The bytes
+    before are hashed too: a window is compared by the same of its anchors everywhere."""
+    left, at, right = found.surroundings(some)
+    back = np.arange(found.reach + 1)
+    begin = at[:, None] - back
+    row, before = np.nonzero((begin >= left[:, None]) & (begin + found.length <= right[:, None]))
+    begin = begin[row, before]
+    raw = found.hashes.raw(begin, begin + found.length)
+    return some[row], before, mix(raw + np.uint64(0x9E3779B97F4A7C15) * before.astype(np.uint64))
+
+
+def send_runs(asking: DataFrame, length: int, buckets: int, hot_buckets: int = 0) -> DataFrame:
+    """(key, text, ordinals, states) to sorted front-coded runs, one per bucket, and to
+    the windows of hot grams in the ``hot_buckets`` that follow."""
+
+    def hot_rows(found: Anchors, names: np.ndarray, hot: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for low in range(0, len(hot), 4096):
+            anchor, before, window = windows_around(found, hot[low : low + 4096])
+            bucket = ((window >> np.uint64(32)) * np.uint64(hot_buckets) >> np.uint64(32)).astype(np.int32) + buckets
+            order = np.argsort(bucket, kind="stable")
+            anchor, before, window, bucket = anchor[order], before[order], window[order], bucket[order]
+            values = (names[found.text[anchor]], found.ordinal[anchor].astype("<u4"), before.astype("<u4"), window)
+            held = packed_rows(bucket, list(values), ["bucket", "texts", "ordinals", "backs", "windows"])
+            nothing = pa.nulls(held.num_rows, pa.binary())
+            columns = [held.column(n) if n in held.column_names else nothing for n in RUNS.names]
+            yield from pa.table(columns, names=RUNS.names).combine_chunks().to_batches()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = None
@@ -322,7 +360,9 @@ def send_runs(asking: DataFrame, length: int, buckets: int) -> DataFrame:
             found = Anchors(data, offsets, length)
             ordinals = [np.frombuffer(o, "<u4") for o in batch.column(2).to_pylist()]
             states = [np.frombuffer(s, "u1") for s in batch.column(3).to_pylist()]
-            chosen = np.concatenate([found.first[i] + o[s >= OPEN] for i, (o, s) in enumerate(zip(ordinals, states, strict=True))])
+            chosen = np.concatenate([found.first[i] + o[(s >= OPEN) & (s < HOT)] for i, (o, s) in enumerate(zip(ordinals, states, strict=True))])
+            hot = np.concatenate([found.first[i] + o[s >= HOT] for i, (o, s) in enumerate(zip(ordinals, states, strict=True))])
+            yield from hot_rows(found, np.array(batch.column(0).to_pylist(), "<i8"), hot)
             left, at, right = found.surroundings(chosen)
             body = data.tobytes()
             suffixes = [body[a:b] for a, b in zip(at.tolist(), right.tolist(), strict=True)]
@@ -344,10 +384,12 @@ def send_runs(asking: DataFrame, length: int, buckets: int) -> DataFrame:
                     b"".join(tails),
                     np.array([len(lefts[i]) for i in mine], "<u4").tobytes(),
                     b"".join(lefts[i] for i in mine),
+                    None,
+                    None,
                 )
                 for column, value in zip(rows, values, strict=True):
                     column.append(value)
-            kinds = (pa.int32(), *[pa.binary()] * 7)
+            kinds = (pa.int32(), *[pa.binary()] * 9)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(rows, kinds, strict=True)], names=RUNS.names)
 
     return asking.mapInArrow(run, RUNS)
@@ -396,10 +438,38 @@ def repeated_windows(
 MARKS = StructType([StructField("bucket", IntegerType()), *binary("texts", "ordinals", "masks")])
 
 
-def merge_and_judge(runs: DataFrame, length: int, text_buckets: int) -> DataFrame:
+def or_masks(key: np.ndarray, ordinal: np.ndarray, masks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """One mask per anchor, sorted by text and anchor."""
+    if not len(key):
+        return key, ordinal, masks
+    order = np.lexsort((ordinal, key))
+    key, ordinal, masks = key[order], ordinal[order], masks[order]
+    new = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (ordinal[1:] != ordinal[:-1])))
+    return key[new], ordinal[new], np.bitwise_or.reduceat(masks, new, axis=0)
+
+
+def merge_and_judge(runs: DataFrame, length: int, text_buckets: int, run_buckets: int) -> DataFrame:
+    """Repeated windows per anchor, of runs and, in the buckets after them, of hot grams."""
     reach = length - length // 2
+    wide = (reach + 1 + 7) // 8
+
+    def count(table: pa.Table) -> pa.Table:
+        window = joined(table, "windows", "<u8")
+        order = np.argsort(window)
+        same = window[order][1:] == window[order][:-1]
+        some = order[np.append(same, False) | np.append(False, same)]
+        key, ordinal = joined(table, "texts", "<i8")[some], joined(table, "ordinals", "<u4")[some]
+        back = joined(table, "backs", "<u4")[some]
+        masks = np.zeros((len(some), wide), np.uint8)
+        masks[np.arange(len(some)), back >> 3] = 1 << (back & 7)
+        key, ordinal, masks = or_masks(key, ordinal, masks)
+        bucket = (key.view(np.uint64) % np.uint64(text_buckets)).astype(np.int32)
+        order = np.argsort(bucket, kind="stable")
+        return packed_rows(bucket[order], [key[order], ordinal[order], masks[order]], MARKS.names)
 
     def run(table: pa.Table) -> pa.Table:
+        if table.column("bucket")[0].as_py() >= run_buckets:
+            return count(table)
         rows = table.to_pylist()
         coded = [(np.frombuffer(r["shared"], "<u4").tolist(), strings(r["sizes"], r["tails"])) for r in rows]
         merged = np.array(list(merge_runs(coded)), np.int64).reshape(-1, 3)
@@ -430,8 +500,8 @@ def marks_of(texts: DataFrame, marks: DataFrame, length: int, text_buckets: int)
     def sure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows: list[list] = [[] for _ in MARKS.names]
-            for key, ordinals, states, _ in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                state = np.frombuffer(states, "u1")
+            for key, ordinals, states in zip(*(c.to_pylist() for c in batch.columns[:3]), strict=True):
+                state = np.frombuffer(states, "u1") % HOT
                 chosen = np.frombuffer(ordinals, "<u4")[(state == SURE) | (state == SAMPLE)]
                 if len(chosen):
                     for column, value in zip(
@@ -450,9 +520,7 @@ def marks_of(texts: DataFrame, marks: DataFrame, length: int, text_buckets: int)
 
     def run(table: pa.Table) -> pa.Table:
         key, ordinal = joined(table, "texts", "<i8"), joined(table, "ordinals", "<u4")
-        masks = joined(table, "masks", "u1").reshape(-1, wide)
-        order = np.lexsort((ordinal, key))
-        key, ordinal, masks = key[order], ordinal[order], masks[order]
+        key, ordinal, masks = or_masks(key, ordinal, joined(table, "masks", "u1").reshape(-1, wide))
         starts = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
         ends = np.append(starts[1:], len(key)) if len(starts) else starts
         return pa.table(
@@ -505,13 +573,15 @@ def remove_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", t
     total = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     buckets = max(1, -(-total // BUCKET_BYTES))
     keyed = rows.select("key", "text")
-    texts = written(per_text(judge_anchors(send_anchors(keyed, length, buckets), buckets)), "anchored-texts")
-    asking = texts.filter("asks > 0")
-    asked = asking.agg(F.sum("asks")).first()[0] or 0
+    texts = written(per_text(judge_anchors(send_anchors(keyed, length, buckets), buckets, RUN_SUFFIXES)), "anchored-texts")
+    asking = texts.filter("asks + hot > 0")
+    asked, hot = (n or 0 for n in asking.agg(F.sum("asks"), F.sum("hot")).first())
+    run_buckets = max(1, -(-asked // RUN_SUFFIXES))
+    hot_buckets = -(-hot * (length - length // 2 + 1) // HOT_WINDOWS)
     runs = send_runs(
-        keyed.join(asking.hint("merge"), "key").select("key", "text", "ordinals", "states"), length, max(1, -(-asked // RUN_SUFFIXES))
+        keyed.join(asking.hint("merge"), "key").select("key", "text", "ordinals", "states"), length, run_buckets, hot_buckets
     )
-    marks = written(merge_and_judge(runs, length, buckets), "window-marks")
+    marks = written(merge_and_judge(runs, length, buckets, run_buckets), "window-marks")
     marked = written(marks_of(texts, marks, length, buckets), "marked-texts")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
