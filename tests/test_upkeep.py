@@ -219,6 +219,32 @@ def test_a_new_checkpoint_a_late_change_and_the_latest_one(spark, tmp_path):
     assert {r.id: r.text_hash for r in current_vectors(spark, log).collect()} == now
 
 
+def test_a_late_change_after_an_unchanged_and_a_blank_one(spark, tmp_path):
+    source, log, progress = str(tmp_path / "in"), scratch(spark, "log"), scratch(spark, "progress")
+    model = Counting(tmp_path / "calls")
+    open_log(spark, log)
+    epochs = [
+        [(1, "same", 5), (2, "gone", 5), (3, "back", 5), (4, "", 9), (5, None, 9)],
+        [(1, "same", 9), (2, "", 9), (3, None, 9)],
+        [(1, "late", 7), (2, "late", 7), (3, "back", 11), (4, "late", 7), (5, "late", 7)],
+    ]
+    for n, rows in enumerate(epochs):
+        feed(spark, source, str(n), rows)
+        run(spark, source, log, progress, model)
+    now = {r.id: (r.text_hash, r.embedding, r.embedded_at.second) for r in current_vectors(spark, log).collect()}
+    assert now == {1: (sha("same"), [4.0, 1.0], 9), 3: (sha("back"), [4.0, 1.0], 11)}
+    calls = sorted((tmp_path / "calls").read_text().splitlines())
+    assert calls == ["back", "back", "gone", "same"]  # the same text isn't encoded again
+
+    smaller = scratch(spark, "log")
+    compact_log(spark, log, smaller)
+    feed(spark, source, "3", [(2, "later still", 8), (4, "new", 10)])
+    run(spark, source, smaller, progress, model)
+    assert {r.id: r.text_hash for r in current_vectors(spark, smaller).collect()} == {
+        1: sha("same"), 3: sha("back"), 4: sha("new"),
+    }
+
+
 def test_an_epoch_reads_touched_divisions_only(spark, tmp_path):
     from vicinity.streaming.refresh import append_epoch, read_log
 

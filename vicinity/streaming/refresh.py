@@ -3,7 +3,8 @@
 The sink is a vector log: every micro-batch writes its rows to a folder of its own
 run (a checkpoint) and epoch, so a replayed batch replaces itself and nothing else.
 The current vector of a row is that of its latest change, in the order of changes,
-not of writing.
+not of writing. A change that leaves the text as it was, or blanks it, is logged too, so
+that an older one that comes late doesn't count.
 """
 
 from __future__ import annotations
@@ -48,15 +49,17 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
 
 
 def current_vectors(spark: SparkSession, path: str) -> DataFrame:
-    """The entry of the latest change of each id, whenever it was written."""
+    """The entry of the latest change of each id, whenever it was written; none for an id
+    whose latest text is blank."""
     log = read_log(spark, path)
     if "position" in log.columns:
         log = first_wins(log, ["id"], "position", last=True).drop("position")
-    return log.drop("run", "epoch", "bucket")
+    return log.filter("text_hash IS NOT NULL").drop("run", "epoch", "bucket")
 
 
 def compact_log(spark: SparkSession, path: str, new_path: str) -> None:
-    """Copy the current entries to a new log, for a stopped stream to go on with."""
+    """Copy the latest entries, those of blank texts too, to a new log, for a stopped
+    stream to go on with."""
     log = read_log(spark, path)
     if "position" in log.columns:
         log = first_wins(log, ["id"], "position", last=True)
@@ -77,28 +80,34 @@ def append_epoch(
 ) -> None:
     """Embed what is new in a micro-batch and write it as this epoch of a run.
 
-    A row is new if its change comes after the one in the log and its text has another
-    hash. Epochs of this run from this one on are ignored, so a replay sees what the
-    first try saw; other runs' folders are only read. The log is divided by a hash of
-    the id, and only the divisions that the batch touches are read.
+    A row is written if its change comes after the one in the log. It is embedded if its
+    text has another hash; the same text takes the logged vector along, and a blank one
+    is written without hash and vector. Epochs of this run from this one on are ignored,
+    so a replay sees what the first try saw; other runs' folders are only read. The log
+    is divided by a hash of the id, and only the divisions that the batch touches are read.
     """
     spark = changes.sparkSession
     last = last_write(changes, order, id_col, text_col, time_col)
-    last = last.filter(F.col(text_col) != "").withColumn("text_hash", text_hash(F.col(text_col)))
+    last = last.withColumn("text_hash", F.when(F.col(text_col) != "", text_hash(F.col(text_col))))
     last = last.withColumn("bucket", F.pmod(F.xxhash64("id"), F.lit(buckets)).cast("int"))
     log = read_log(spark, path)
+    needs, logged = F.col("text_hash").isNotNull(), F.lit(None).cast("array<float>")
     if "position" in log.columns:
         touched = [r["bucket"] for r in last.select("bucket").distinct().collect()]  # at most ``buckets``
         replayed = (F.col("run") == run) & (F.col("epoch") >= epoch)
-        earlier = log.filter(F.col("bucket").isin(touched) & ~replayed)
-        known = earlier.groupBy("id").agg(F.max_by(F.struct("position", "text_hash"), "position").alias("_known"))
+        earlier = log.filter(F.col("bucket").isin(touched) & ~replayed).join(last.select("id"), "id", "left_semi")
+        entry = F.struct("position", "text_hash", "embedding")
+        known = earlier.groupBy("id").agg(F.max_by(entry, "position").alias("_known"))
         joined = last.join(known, "id", "left")
-        newer = (F.col("position") > F.col("_known.position")) & (F.col("text_hash") != F.col("_known.text_hash"))
-        last = joined.filter(F.col("_known").isNull() | newer)
+        last = joined.filter(F.col("_known").isNull() | (F.col("position") > F.col("_known.position")))
+        same = F.coalesce(F.col("text_hash") == F.col("_known.text_hash"), F.lit(False))
+        needs, logged = needs & ~same, F.when(same, F.col("_known.embedding"))
+    # texts that need no vector are NULL to the encoder, which skips them
+    vector = encode(F.when(needs, F.col(text_col)), encoder, prefix)
     last.select(
         "id",
         "text_hash",
-        encode(F.col(text_col), encoder, prefix).alias("embedding"),
+        F.coalesce(vector, logged).alias("embedding"),
         F.col(time_col).cast("timestamp").alias("embedded_at"),
         "position",
         "bucket",
