@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 from functools import wraps
 
@@ -9,7 +10,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vicinity.llm import archives, balltree, bpe, codes, jaccard, packing, pages, quality, shards, suffixes
+from vicinity.llm import (
+    archives,
+    balltree,
+    bpe,
+    codes,
+    exact,
+    jaccard,
+    packing,
+    pages,
+    quality,
+    repetitions,
+    shards,
+    spellings,
+    suffixes,
+)
 from vicinity.llm.common import read, shared_folder, written
 from vicinity.session import ship
 
@@ -168,3 +183,52 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.groups_of(read(spark, sf_dir, "documents"))
+
+
+@query(
+    r"""
+    WITH d AS (
+        SELECT doc_id, length(coalesce(text, '')) AS chars,
+               sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g')) AS text_sha256
+        FROM documents
+    ),
+    g AS (
+        SELECT *, count(*) OVER (PARTITION BY text_sha256) AS group_size,
+               row_number() OVER (PARTITION BY text_sha256 ORDER BY chars DESC, doc_id) AS place,
+               first_value(doc_id) OVER (PARTITION BY text_sha256 ORDER BY chars DESC, doc_id) AS keep_id
+        FROM d
+    )
+    SELECT doc_id, keep_id, group_size, place = 1 AS kept, text_sha256 FROM g
+    """
+)
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = exact.group_copies(read(spark, sf_dir, "documents"), every_digest=True)
+    return groups.withColumnRenamed("digest", "text_sha256")
+
+
+@query()
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    edit = spellings.drop_by_checksum(31)
+    words = spellings.count_words(read(spark, sf_dir, "documents"), "doc_id", "text", least_chars=7, least_times=2, edit=edit)
+    return spellings.variants(words, factor=10)
+
+
+@query()
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repetitions.find_runs(
+        read(spark, sf_dir, "documents"), edit=repetitions.repeat_by_checksum, finish=lambda b: hashlib.sha256(b).digest()
+    )
+    order = F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"]))
+    best = found.withColumn("_best", F.array_max(order.cast("array<struct<length: long, start: long, period: long>>")))
+    line = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    listed = F.array_join(F.transform(line, lambda x: F.concat(x, F.lit("\n"))), "")
+    return best.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("_best.start")).alias("start"),
+        F.col("_best.length").alias("length"),
+        (-F.col("_best.period")).alias("period"),
+        F.expr("1000 * _best.length div -_best.period").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"),
+        F.lower(F.hex("collapsed")).alias("collapsed_sha256"),
+    )
