@@ -39,13 +39,13 @@ def check(rows, docs, capacity):
 
 @pytest.mark.parametrize("capacity", [1, 7, 64])
 def test_odd_rows(odd_docs, capacity):
-    pieces = written(packing.cut_pieces(odd_docs, PATH, capacity, 0), "pieces")
+    pieces = packing.cut_pieces(odd_docs, PATH, capacity, 0)
     got, least = check(packing.pack(pieces, capacity).collect(), odd_docs.collect(), capacity)
     assert got <= least + 1
 
 
 def test_empty_table(odd_docs):
-    pieces = written(packing.cut_pieces(odd_docs.limit(0), PATH, 8, 0), "pieces")
+    pieces = packing.cut_pieces(odd_docs.limit(0), PATH, 8, 0)
     assert packing.pack(pieces, 8).collect() == []
 
 

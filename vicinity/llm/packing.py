@@ -137,12 +137,13 @@ class Island:
         return self.best_fit(order, child, new_loads)[0]
 
     def evolve(self, arrived: list[np.ndarray]) -> list[np.ndarray]:
-        population = [*arrived]
-        spread = 0.0
-        while len(population) < POPULATION:
-            population.append(self.fresh(spread))
-            spread += 0.15
-        ranked = sorted(((self.cost(p), k, p) for k, p in enumerate(population)), key=lambda x: x[:2])
+        """The best packings found; the search ends where one can't be better."""
+        ranked: list[tuple] = []
+        for k in range(max(POPULATION, len(arrived))):
+            new = arrived[k] if k < len(arrived) else self.fresh(0.15 * (k - len(arrived)))
+            insort(ranked, (self.cost(new), k, new), key=lambda x: x[:2])
+            if ranked[0][0][0] <= self.least:
+                break
         for k in range(GENERATIONS):
             if ranked[0][0][0] <= self.least:
                 break
@@ -264,14 +265,16 @@ def gather(pieces: DataFrame) -> DataFrame:
 
 
 def pack(pieces: DataFrame, capacity: int) -> DataFrame:
-    """``pieces`` (a written table as from ``cut_pieces``) with sequence_id and offset."""
+    """``pieces`` (as from ``cut_pieces``) with sequence_id and offset."""
+    # numbered once, when they are written
+    pieces = written(pieces.withColumn("row", F.monotonically_increasing_id()), "pieces")
     own = pieces.filter(F.col("length") == capacity).select(
-        *PIECE.names, (-F.monotonically_increasing_id() - 1).alias("sequence_id"), F.lit(0).cast("long").alias("offset")
+        *PIECE.names, (-F.col("row") - 1).alias("sequence_id"), F.lit(0).cast("long").alias("offset")
     )
     part = pieces.filter(F.col("length") < capacity)
     regions = max(1, -(-part.count() // REGION))
     # rows dealt in turn, so that no key or length gathers in a region
-    row = F.monotonically_increasing_id()
+    row = F.col("row")
     dealt = part.withColumn("region", F.pmod(F.shiftright(row, 33) * 7919 + row, F.lit(regions)))
     done, first = [own], 0
     while True:

@@ -115,7 +115,7 @@ def op5_warc_packages(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op6_genetic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, path = read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")
-    return packing.pack(written(packing.cut_pieces(docs, path, 2048, end_id=0), "pieces"), 2048)
+    return packing.pack(packing.cut_pieces(docs, path, 2048, end_id=0), 2048)
 
 
 @query()
