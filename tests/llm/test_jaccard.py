@@ -105,10 +105,36 @@ def test_partners_of_a_class_are_spread_whichever_side_it_is_on(spark, monkeypat
         assert set(held) <= set(range(cells)) and max(held.values()) <= len(rows) // 4 and len(held) > cells // 2
 
 
-@pytest.mark.parametrize("fragments", [1, 3, 100, jaccard.MOST_FRAGMENTS])
+@pytest.mark.parametrize("fragments", [1, 4, 128, 1 << 16, 1 << 20])
 def test_overlap_is_counted_in_several_parts(fragments):
     rng = np.random.default_rng(1)
-    low = rng.integers(0, 1 << 48, 4000, np.uint64)
-    tokens = np.sort(rng.integers(0, fragments, 4000).astype(np.uint64) << np.uint64(48) | low)
+    whole = rng.integers(0, 1 << 64, 4000, np.uint64)
+    number = (whole >> np.uint64(32)) * np.uint64(fragments) >> np.uint64(32)
+    tokens = np.array([jaccard.with_fragment(t & jaccard.LOW, int(f), fragments) for t, f in zip(whole, number)])
+    if fragments >= 1 << 16:
+        assert (tokens == whole).all()
+    tokens = np.sort(tokens)
     held = np.diff([0, *np.searchsorted(tokens, jaccard.borders_of(fragments)).tolist(), len(tokens)])
     assert len(held) == jaccard.PARTS and held.min() > 500
+
+
+def thue_morse(n):
+    return "".join("ab"[bin(i).count("1") % 2] for i in range(n))
+
+
+def test_words_made_to_agree_in_sums_stay_apart(spark):
+    """Sums of byte values times powers of a number agree for these pairs."""
+    swap = str.maketrans("ab", "ba")
+    pairs = [(thue_morse(n), thue_morse(n).translate(swap)) for n in (1024, 2048)]
+    # bytes whose numbers differ by a multiple of a high power of two
+    from vicinity.llm.hashing import BYTE_VALUES
+
+    letters = "abcdefghijklmnopqrstuvwxyz0123456789"
+    x, y = max(
+        ((a, b) for a in letters for b in letters if a < b),
+        key=lambda p: (int(BYTE_VALUES[ord(p[0])]) ^ int(BYTE_VALUES[ord(p[1])])) & -(int(BYTE_VALUES[ord(p[0])]) ^ int(BYTE_VALUES[ord(p[1])])),
+    )
+    one = thue_morse(512).translate(str.maketrans("ab", x + y))
+    pairs.append((one, one.translate(str.maketrans(x + y, y + x))))
+    rows = [(i, t) for i, t in enumerate(t for pair in pairs for t in pair)] + [(9, "a third text")]
+    assert result(spark, rows) == [(i, 1, i) for i, _ in rows]

@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from vicinity.session import scratch
 
@@ -31,6 +32,27 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+HEAVY = 1_000  # keys that hold this part of all rows, or more, are broadcast
+
+
+def with_values(rows: DataFrame, values: DataFrame, key: str) -> DataFrame:
+    """Inner join with a written table of one row per key, whose ``n`` says how many rows
+    have the key. Keys with a thousandth of the rows or more, 1,000 at most, are sent to
+    the rows; with the others sorted, no key fills a task."""
+    total = values.agg(F.sum("n")).first()[0] or 0
+    heavy, light = values.filter(F.col("n") * HEAVY >= total).drop("n"), values.filter(F.col("n") * HEAVY < total).drop("n")
+    rest = rows.join(F.broadcast(heavy.select(key)), key, "left_anti")
+    return rows.join(F.broadcast(heavy), key).unionByName(rest.join(light.hint("merge"), key))
+
+
+def free_name(name: str, taken: list[str]) -> str:
+    """``name``, with as many underscores as it takes to be no column's."""
+    lower = {t.lower() for t in taken}
+    while name.lower() in lower:
+        name += "_"
+    return name
+
+
 def shared_folder(spark: SparkSession, label: str) -> str:
     """URI of a fresh folder for files that executors write themselves."""
     path = scratch(spark, label)

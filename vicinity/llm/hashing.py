@@ -1,8 +1,10 @@
 """64-bit hashes of words, word n-grams and byte strings, many at a time in numpy.
 
-A string's hash is the sum of a random number per byte times a power of an odd
-multiplier, modulo 2**64, so that differences of one running sum give the hash of
-every substring.
+``Substrings``: a string's hash is the sum of a random number per byte times a power of
+an odd multiplier, modulo 2**64, so that differences of one running sum give the hash of
+every substring. Strings can be made whose sums agree in many low bits, so it only
+proposes; what it says is confirmed by other hashes or by bytes. ``words``: each byte with
+its place in the word has a number of its own, and these are summed.
 """
 
 from __future__ import annotations
@@ -59,18 +61,35 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 0x20
 
 
+PLACES = 64  # places in a word with a table of random numbers; mixed ones follow
+PLACED = np.random.Generator(np.random.PCG64(7)).integers(0, 1 << 64, PLACES * 256, np.uint64, endpoint=False)
+
+
+def placed(byte: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """A number for each byte and its place in its word, unlike all others."""
+    out = PLACED[np.minimum(place, PLACES - 1) * 256 + byte]
+    far = np.flatnonzero(place >= PLACES)
+    out[far] = mix(BYTE_VALUES[byte[far]] ^ mix(place[far].astype(np.uint64)))
+    return out
+
+
 def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hash and text number of each word of texts that stand one after another."""
     if not len(data):
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    white = WHITE[data]
+    black = ~WHITE[data]
     opens = np.zeros(len(data) + 1, bool)
     opens[offsets] = True
-    start, end = ~white, ~white
-    start[1:] &= white[:-1] | opens[1:-1]
-    end[:-1] &= white[1:] | opens[1:-1]
-    starts, ends = np.flatnonzero(start), np.flatnonzero(end) + 1
-    return mix(Substrings(data).raw(starts, ends)), np.searchsorted(offsets, starts, "right") - 1
+    start = black.copy()
+    start[1:] &= ~black[:-1] | opens[1:-1]
+    starts = np.flatnonzero(start)
+    if not len(starts):
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    at = np.flatnonzero(black)
+    begins = np.searchsorted(at, starts)
+    sizes = np.diff(begins, append=len(at))
+    sums = np.add.reduceat(placed(data[at], at - np.repeat(starts, sizes)), begins)
+    return mix(sums + sizes.astype(np.uint64)), np.searchsorted(offsets, starts, "right") - 1
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:

@@ -12,8 +12,9 @@ class of each posting list; after the components of these links are known, only
 across components are left to compare, all of them, so a large group of near copies
 never makes all its pairs.
 
-Joins are sorted ones at every size: what is small here is not small elsewhere;
-only the list of classes with very many partners is broadcast, two per cell at most.
+Joins of this module are sorted ones at every size: what is small here is not small
+elsewhere. Broadcast are only the classes with very many partners, if they are at most
+``BROADCAST_ROWS``, and keys that hold a thousandth of the rows or more.
 
 Two texts link when 100 * intersection >= 75 * union (``percent``) of their distinct
 n-grams, words in A-Z lower case. A text of fewer words has one n-gram, its whole
@@ -33,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StructField, StructType
 
-from vicinity.llm.common import pieces, text_bytes, written
+from vicinity.llm.common import pieces, text_bytes, with_values, written
 from vicinity.llm.components import components
 from vicinity.llm.hashing import mix, ragged, segment_sums, shingle_sets
 
@@ -41,6 +42,7 @@ FRAGMENT = 1 << 21  # n-grams of a fragment, about
 PIECE_BYTES = 1 << 20  # text that a task hashes at once
 PARTS = 4  # fragments in which a pair's overlap is counted
 CELL = 4_000  # pairs of a cell, about
+BROADCAST_ROWS = 1 << 19  # of 16 bytes; more are joined by sorting
 
 
 def text_sets(batch: pa.RecordBatch, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -72,7 +74,18 @@ def sets_of(docs: DataFrame, length: int) -> DataFrame:
 
 # n-grams travel without their upper 16 bits, which the fragment's number makes up for
 LOW = np.uint64((1 << 48) - 1)
-MOST_FRAGMENTS = 1 << 16
+
+
+def fragments_for(total: int) -> int:
+    """A power of two, so that a fragment's number is the n-grams' upper bits."""
+    return 1 << max(0, -(-total // FRAGMENT) - 1).bit_length()
+
+
+def with_fragment(low: np.ndarray, fragment: int, fragments: int) -> np.ndarray:
+    """The fragment's number above the lower 48 bits, which it overlaps if there are more
+    than 2**16 fragments."""
+    bits = max(16, fragments.bit_length() - 1)
+    return low & np.uint64((1 << (64 - bits)) - 1) | np.uint64(fragment << (64 - bits))
 
 
 def pack(tokens: np.ndarray) -> bytes:
@@ -167,7 +180,7 @@ def joined(table: pa.Table, column: str, kind: str) -> np.ndarray:
     return np.frombuffer(b"".join(table.column(column).to_pylist()), kind)
 
 
-def shared_tokens(rows: DataFrame, buckets: int) -> DataFrame:
+def shared_tokens(rows: DataFrame, fragments: int) -> DataFrame:
     """Per fragment: the n-grams that two sets or more have, with a code that rises
     with their number, handed on to the sets' buckets."""
 
@@ -188,11 +201,11 @@ def shared_tokens(rows: DataFrame, buckets: int) -> DataFrame:
         times[order] = np.repeat(runs, runs)
         shared = times > 1
         owner = np.repeat(np.arange(len(classes)), counts)[shared]
-        tokens, times = tokens[shared] & LOW | np.uint64(fragment) << np.uint64(48), times[shared]
+        tokens, times = with_fragment(tokens[shared] & LOW, fragment, fragments), times[shared]
         counts = np.bincount(owner, minlength=len(classes))
         code = np.minimum(8 * np.log2(times), 255).astype(np.uint8)
         begins = np.cumsum(counts) - counts
-        bucket = (classes.view(np.uint64) % np.uint64(buckets)).astype(np.int64)
+        bucket = (classes.view(np.uint64) % np.uint64(fragments)).astype(np.int64)
         out: list[tuple] = []
         have = np.flatnonzero((counts > 0) | (sizes > 0))
         have = have[np.argsort(bucket[have], kind="stable")]
@@ -279,8 +292,9 @@ PAIR_PARTS = StructType([StructField("a", LongType()), StructField("b", LongType
 
 
 def borders_of(fragments: int) -> np.ndarray:
-    """Where the tokens of ``shared_tokens`` (fragment, then 48 bits) are cut into parts."""
-    return np.array([(fragments << 48) * k // PARTS for k in range(1, PARTS)], np.uint64)
+    """Where the tokens of ``shared_tokens`` are cut into parts."""
+    top = fragments << (64 - max(16, fragments.bit_length() - 1))
+    return np.array([top * k // PARTS for k in range(1, PARTS)], np.uint64)
 
 
 def in_cells(pairs: DataFrame, cells: int) -> DataFrame:
@@ -288,12 +302,13 @@ def in_cells(pairs: DataFrame, cells: int) -> DataFrame:
     many is copied to cells at most and its partners are spread over them. Where both have
     many, the partners of the lesser one are dealt over as many cells as they fill."""
     both = pairs.select(F.explode(F.array("a", "b")).alias("class"))
-    # at most two classes per cell on average, so the table is small beside the pairs
-    heavy = both.groupBy("class").agg(F.count("*").alias("n")).filter(F.col("n") > CELL)
+    # at most two classes per cell on average
+    heavy = written(both.groupBy("class").agg(F.count("*").alias("n")).filter(F.col("n") > CELL), "heavy-classes")
+    way = "broadcast" if heavy.count() <= BROADCAST_ROWS else "merge"
     placed = pairs
     for side in ("a", "b"):
         partners = heavy.select(F.col("class").alias(side), F.col("n").alias(f"n_{side}"))
-        placed = placed.join(F.broadcast(partners), side, "left")
+        placed = placed.join(partners.hint(way), side, "left")
     n_a, n_b = (F.coalesce(f"n_{side}", F.lit(0)) for side in ("a", "b"))
     light, other = (F.when(n_b > n_a, F.col(x)).otherwise(F.col(y)) for x, y in (("a", "b"), ("b", "a")))
     share = F.pmod(F.xxhash64(other), F.greatest(F.lit(1), F.ceil(F.least(n_a, n_b) / F.lit(CELL))))
@@ -438,7 +453,7 @@ def groups_of(
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     rows = written(sets_of(texts, length), "sets")
     total = rows.agg(F.sum("n_shingles")).first()[0] or 0
-    fragments = min(MOST_FRAGMENTS, max(1, -(-total // FRAGMENT)))
+    fragments = fragments_for(total)
     shared = shared_tokens(to_fragments(texts, length, fragments), fragments)
     sets = written(sets_to_join(shared, percent), "sets-to-join")
     postings = written(posting_lists(sets), "postings")
@@ -450,12 +465,14 @@ def groups_of(
         groups = first
     else:
         groups = components(written(links.unionByName(linked(rest, sets, percent, fragments)), "links"))
-    labelled = rows.join(groups.withColumnRenamed("node", "class").hint("merge"), "class", "left").withColumn(
-        "_group", F.coalesce("component", "class")
-    )
-    labelled = written(labelled.select("doc_id", "n_shingles", "_group"), "groups")
-    least = labelled.groupBy("_group").agg(F.min("doc_id").alias("component_id"))
-    together = labelled.filter("_group is not null").join(least.filter("_group is not null").hint("merge"), "_group")
-    alone = labelled.filter("_group is null").withColumn("component_id", F.col("doc_id"))
+    # the smallest id of each class, and of each component
+    own = written(rows.filter("class is not null").groupBy("class").agg(F.min("doc_id").alias("own"), F.count("*").alias("n")), "classes")
+    in_group = groups.withColumnRenamed("node", "class").join(own.hint("merge"), "class")
+    least = written(in_group.groupBy("component").agg(F.min("own").alias("least"), F.count("*").alias("n")), "components")
+    named = with_values(in_group.select("class", "component"), least, "component").select("class", F.col("least").alias("component_id"))
+    of_class = own.join(named.hint("merge"), "class", "left").withColumn("component_id", F.coalesce("component_id", "own"))
+    of_class = written(of_class.select("class", "component_id", "n"), "ids-of-classes")
     columns = ("doc_id", "n_shingles", "component_id")
+    together = with_values(rows.filter("class is not null"), of_class, "class")
+    alone = rows.filter("class is null").withColumn("component_id", F.col("doc_id"))
     return together.select(*columns).unionByName(alone.select(*columns))

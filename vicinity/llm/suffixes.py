@@ -21,8 +21,9 @@ those that occur twice are repeated.
 
 Null and empty texts and those shorter than ``length`` lose nothing; equal long texts
 lose all. Rows with equal or null ids are texts of their own. An empty table gives no
-rows. Texts are known by a 64-bit hash, grams by 48 to 64 bits and surroundings by 64
-bits more. Only the two named columns are read.
+rows. Texts are known by a 64-bit hash; grams by 48 to 64 bits, which only say what is to be
+looked at; surroundings and windows of hot grams by 64 bits of a hash of their bytes that
+is unrelated to the grams'. Only the two named columns are read.
 """
 
 from __future__ import annotations
@@ -30,11 +31,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import xxhash
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
 from vicinity.llm.common import pieces, text_bytes, text_sizes, written
 from vicinity.llm.hashing import Substrings, mix, ragged
@@ -79,9 +80,13 @@ class Anchors:
         return left, at, np.minimum(self.offsets[text + 1], at + self.length)
 
     def around(self) -> np.ndarray:
-        """Hash of the surroundings, and of where the gram lies in them."""
+        """Hash of the surroundings, and of where the gram lies in them. It reads the
+        bytes and has nothing in common with the sums that name the gram."""
         left, at, right = self.surroundings()
-        return mix(self.hashes.raw(left, right) + np.uint64(0x9E3779B97F4A7C15) * (at - left).astype(np.uint64) + (right - at).astype(np.uint64))
+        body = memoryview(self.data)
+        read = (xxhash.xxh3_64_intdigest(body[a:b]) for a, b in zip(left.tolist(), right.tolist(), strict=True))
+        found = np.fromiter(read, np.uint64, len(at))
+        return mix(found + np.uint64(0x9E3779B97F4A7C15) * (at - left).astype(np.uint64) + (right - at).astype(np.uint64))
 
 
 def sliding_min(values: np.ndarray, wide: int) -> np.ndarray:
@@ -325,9 +330,9 @@ def windows_around(found: Anchors, some: np.ndarray) -> tuple[np.ndarray, np.nda
     back = np.arange(found.reach + 1)
     begin = at[:, None] - back
     row, before = np.nonzero((begin >= left[:, None]) & (begin + found.length <= right[:, None]))
-    begin = begin[row, before]
-    raw = found.hashes.raw(begin, begin + found.length)
-    return some[row], before, mix(raw + np.uint64(0x9E3779B97F4A7C15) * before.astype(np.uint64))
+    begin, body, n = begin[row, before], memoryview(found.data), found.length
+    read = np.fromiter((xxhash.xxh3_64_intdigest(body[b : b + n]) for b in begin.tolist()), np.uint64, len(begin))
+    return some[row], before, mix(read + np.uint64(0x9E3779B97F4A7C15) * before.astype(np.uint64))
 
 
 def send_runs(asking: DataFrame, length: int, buckets: int, hot_buckets: int = 0) -> DataFrame:
@@ -553,19 +558,12 @@ def removed_bytes(found: Anchors, ordinals: list[bytes | None], masks: list[byte
     return np.cumsum(edges[:-1]) > 0
 
 
-def valid_text(kept: Column) -> Column:
-    """Remaining bytes as text, without the parts of characters that a cut has left."""
-
-    @F.pandas_udf("string")
-    def decoded(data: pd.Series) -> pd.Series:
-        return data.map(lambda b: None if b is None else bytes(b).decode("utf-8", "ignore"))
-
-    return decoded(kept)
-
-
-def remove_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans and ``kept`` (the remaining bytes) of every
-    row; ``id_col`` may also be a struct of columns to carry along."""
+def remove_repeats(
+    docs: DataFrame, length: int = 200, id_col: str = "doc_id", text_col: str = "text", as_text: bool = False
+) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans and ``kept`` (the remaining bytes; ``as_text``:
+    as text, without the parts of characters that a cut has left) of every row; ``id_col``
+    may also be a struct of columns to carry along."""
     if length < 16:
         raise ValueError("strings must have 16 bytes or more")
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -601,13 +599,14 @@ def remove_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", t
             removed = ends[offsets[1:]] - ends[offsets[:-1]]
             left = data[~gone].tobytes()
             stops = (offsets - ends[offsets]).tolist()
+            kept = [left[a:b] for a, b in zip(stops, stops[1:])]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
                     pa.array(np.diff(offsets)),
                     pa.array(removed),
                     pa.array(spans[offsets[1:]] - spans[offsets[:-1]]),
-                    pa.array([left[a:b] for a, b in zip(stops, stops[1:])], pa.binary()),
+                    pa.array([k.decode("utf-8", "ignore") for k in kept]) if as_text else pa.array(kept, pa.binary()),
                 ],
                 names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"],
             )
@@ -618,7 +617,7 @@ def remove_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", t
             StructField("n_bytes", LongType()),
             StructField("n_removed", LongType()),
             StructField("n_spans", LongType()),
-            StructField("kept", BinaryType()),
+            StructField("kept", StringType() if as_text else BinaryType()),
         ]
     )
     return rows.join(marked.hint("merge"), "key", "left").select("doc_id", "text", "ordinals", "masks").mapInArrow(cut, out)
