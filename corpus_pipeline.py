@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vicinity.llm import jaccard, packing, quality, suffixes
-from vicinity.llm.common import read, written
+from vicinity.llm.common import free_name, read, written
 from vicinity.llm.queries import ORACLES, QUERIES, query
 from vicinity.session import ship
 
@@ -29,14 +29,16 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     rows any one. A group all of whose ids are null keeps one row as well."""
     ship(spark)
     columns = docs.columns
-    # a row is known by its place in the written input, since ids may repeat or be null
-    numbered = docs.withColumn("_row", F.monotonically_increasing_id())
-    groups = jaccard.groups_of(numbered, id_col="_row")
+    # ids may repeat or be null: a row is known by a number that is written once
+    row = free_name("_row", columns)
+    numbered = written(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    groups = jaccard.groups_of(numbered, id_col=row)
     # the smallest row number of a group names it; ids decide which row stays
-    member = numbered.select("_row", "doc_id").join(groups.withColumnRenamed("doc_id", "_row").hint("merge"), "_row")
-    rank = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("_row"))
-    first = written(member.groupBy("component_id").agg(F.min(rank)["_row"].alias("_row")).select("_row"), "kept-rows")
-    return numbered.join(first.hint("merge"), "_row", "left_semi").select(*[F.col(f"`{c}`") for c in columns])
+    known = numbered.select(F.col(row).alias("doc_id"), F.col("doc_id").alias("id"))
+    member = known.join(groups.hint("merge"), "doc_id")
+    rank = F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("doc_id"))
+    first = written(member.groupBy("component_id").agg(F.min(rank)["doc_id"].alias(row)).select(row), "kept-rows")
+    return numbered.join(first.hint("merge"), row, "left_semi").select(*[F.col(f"`{c}`") for c in columns])
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,9 +47,9 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     ship(spark)
     columns = docs.columns
     carried = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_row"), F.col("text").alias("_body"))
-    cleaned = suffixes.remove_repeats(carried, id_col="_row", text_col="_body")
+    cleaned = suffixes.remove_repeats(carried, id_col="_row", text_col="_body", as_text=True)
     whole = F.col("n_removed") == 0
-    text = F.when(whole, F.col("doc_id.text")).otherwise(suffixes.valid_text(F.col("kept")))
+    text = F.when(whole, F.col("doc_id.text")).otherwise(F.col("kept"))
     out = cleaned.withColumn("_text", text)
     renewed = {"text": F.col("_text")}
     if "n_chars" in columns:
@@ -61,8 +63,7 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """Every piece of every document, and its place in a sequence."""
     ship(spark)
     path = public_tokenizers.path("word_bpe_49k.json")
-    pieces = written(packing.cut_pieces(docs, path, TOKENS_PER_SEQUENCE, end_id=0), "pieces")
-    return packing.pack(pieces, TOKENS_PER_SEQUENCE)
+    return packing.pack(packing.cut_pieces(docs, path, TOKENS_PER_SEQUENCE, end_id=0), TOKENS_PER_SEQUENCE)
 
 
 STAGES = [
