@@ -5,9 +5,9 @@ A run is a stretch of words with smallest period q, of ``LEAST_WORDS`` words and
 
 1. Tiles. Per octave of periods [s, 2s) a document is cut at every s-th word. Around such
    a border lie 2s words before and 4s words behind it, so tiles overlap, and a run of
-   the octave holds a border whose next s words recur one period on. Tiles in which they
-   recur nowhere are dropped by comparing hashes; the others are solved by
-   themselves. Two Z-functions from the border give, for every period of the octave, how
+   the octave holds two neighbouring borders or more whose next s words recur one period
+   on. All other tiles are dropped by comparing hashes, and so are those that lie in a run
+   already found whose period divides theirs; the rest are solved by themselves. Two Z-functions from the border give, for every period of the octave, how
    far the words around it repeat after one period, forward and back.
 2. Fragments. Each solved tile hands on (document, period, part that repeats). They are
    shuffled by document and period and stitched where they overlap; a stretch with several
@@ -109,10 +109,10 @@ def solve_tile(words: list[int], border: int, scale: int, periods: list[int]) ->
             yield q, border - to_back, border + forth
 
 
-def busy_tiles(ids: np.ndarray, longest: int) -> Iterator[tuple[int, int, np.ndarray]]:
-    """(scale, border, periods) of the tiles whose border's next ``scale`` words recur at
-    a period of the octave. ``ids``: words of documents one after another, a value of its
-    own between them."""
+def busy_tiles(ids: np.ndarray, longest: int) -> Iterator[tuple[int, np.ndarray, list[np.ndarray]]]:
+    """Per octave: its scale, the borders whose next ``scale`` words recur at a period of
+    the octave, beside another such border, and these periods. ``ids``: words of documents
+    one after another, a value of its own between them."""
     scale, blocks = 1, mix(ids.view(np.uint64))
     while LEAST_TURNS * scale <= longest and len(blocks):
         # blocks[i] stands for the ``scale`` words from i on
@@ -121,8 +121,14 @@ def busy_tiles(ids: np.ndarray, longest: int) -> Iterator[tuple[int, int, np.nda
         padded[: len(blocks)] = blocks
         table = padded.reshape(rows, scale)
         same = table[1:] == table[:-1, :1]
-        for row in np.flatnonzero(same.any(axis=1)).tolist():
-            yield scale, row * scale, scale + np.flatnonzero(same[row])
+        # a run repeats at least three periods, so two borders side by side or more
+        beside = np.zeros_like(same)
+        beside[:-1] |= same[1:]
+        beside[1:] |= same[:-1]
+        row, period = np.nonzero(same & beside)
+        if len(row):
+            edges = np.flatnonzero(np.diff(row, prepend=-1))
+            yield scale, row[edges] * scale, np.split(period + scale, edges[1:])
         a, b = blocks[: max(0, len(blocks) - scale)], blocks[scale:]
         blocks = mix(a * np.uint64(0xD6E8FEB86659FD93) + mix(b ^ np.uint64(0x9E3779B97F4A7C15)))
         scale *= 2
@@ -139,17 +145,46 @@ def fragments_of(docs: list[list[bytes]]) -> dict[int, list[tuple[int, int, int]
     ids[ends] = mix(np.arange(len(docs), dtype=np.uint64)).view(np.int64)
     numbered: dict[int, list[int]] = {}
     found: dict[int, list[tuple[int, int, int]]] = {}
-    for scale, border, periods in busy_tiles(ids, int(sizes.max(initial=0))):
-        doc = int(np.searchsorted(starts, border, "right")) - 1
-        at = border - int(starts[doc])
-        periods = periods[periods < sizes[doc] - at].tolist()
-        if not periods or LEAST_TURNS * scale > sizes[doc]:
-            continue
-        if doc not in numbered:
-            known: dict[bytes, int] = {}
-            numbered[doc] = [known.setdefault(w, len(known)) for w in docs[doc]]
-        found.setdefault(doc, []).extend(solve_tile(numbered[doc], at, scale, periods))
-    return {doc: f for doc, f in found.items() if f}
+    spans: dict[int, list[list[int]]] = {}
+    for scale, borders, periods_at in busy_tiles(ids, int(sizes.max(initial=0))):
+        owners = np.searchsorted(starts, borders, "right") - 1
+        places = (borders - starts[owners]).tolist()
+        for doc, at, size, periods in zip(owners.tolist(), places, sizes[owners].tolist(), periods_at, strict=True):
+            if LEAST_TURNS * scale > size:
+                continue
+            low, high = max(0, at - 2 * scale), min(size, at + 4 * scale)
+            inside = [p for p, start, stop in spans.get(doc, ()) if start <= low and high <= stop + p]
+            asked = [q for q in periods.tolist() if q < size - at and not any(q % p == 0 and q > p for p in inside)]
+            if not asked:
+                continue
+            if doc not in numbered:
+                known: dict[bytes, int] = {}
+                numbered[doc] = [known.setdefault(w, len(known)) for w in docs[doc]]
+            for fragment in solve_tile(numbered[doc], at, scale, asked):
+                found.setdefault(doc, []).append(fragment)
+                extend(spans.setdefault(doc, []), *fragment)
+    return {doc: kept for doc, f in found.items() if (kept := likely(f))}
+
+
+def extend(spans: list[list[int]], period: int, start: int, stop: int) -> None:
+    """Join a fragment to the last one of its period, if they overlap."""
+    for span in reversed(spans):
+        if span[0] == period:
+            if start <= span[2]:
+                span[2] = max(span[2], stop)
+                return
+            break
+    spans.append([period, start, stop])
+
+
+def likely(fragments: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """Those whose period has fragments that reach far enough for a run."""
+    low: dict[int, int] = {}
+    high: dict[int, int] = {}
+    for q, start, stop in fragments:
+        low[q], high[q] = min(start, low.get(q, start)), max(stop, high.get(q, stop))
+    far = {q for q in low if high[q] - low[q] >= max(LEAST_WORDS, LEAST_TURNS * q) - q}
+    return [f for f in fragments if f[0] in far]
 
 
 SOLVED = (
