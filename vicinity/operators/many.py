@@ -106,8 +106,10 @@ class _Best:
         )
 
 
-def _merge(partial: DataFrame, n: int) -> DataFrame:
-    """Top ``n`` per query out of the top ``n`` of every task."""
+def _merge(partial: DataFrame, n: int, repeated: bool) -> DataFrame:
+    """Top ``n`` per query out of the top ``n`` of every task, each row once."""
+    if repeated:
+        partial = partial.groupBy("qid", "id").agg(F.min("distance").alias("distance"))
     order = Window.partitionBy("qid").orderBy("distance", "id")
     ranked = partial.withColumn("rank", F.row_number().over(order))
     return ranked.filter(F.col("rank") <= n).select("qid", "id", "distance", "rank")
@@ -127,7 +129,7 @@ def _with_sizes(df: DataFrame, sizes: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def _block_join(
-    queries: DataFrame, corpus: DataFrame, n: int, metric: str, block_rows: int, query_block_rows: int
+    queries: DataFrame, corpus: DataFrame, n: int, metric: str, block_rows: int, query_block_rows: int, repeated: bool
 ) -> DataFrame:
     """Query blocks meet corpus blocks on (cell, block); each pair gives top ``n``.
 
@@ -167,7 +169,7 @@ def _block_join(
                 best.add(stored.field("id").to_numpy()[there], rows)
                 yield best.batch()
 
-    return _merge(pairs.mapInArrow(search, OUT), n)
+    return _merge(pairs.mapInArrow(search, OUT), n, repeated)
 
 
 def nearest_many(
@@ -179,13 +181,15 @@ def nearest_many(
     exclude_self: bool = False,
     block_rows: int = BLOCK_ROWS,
     query_block_rows: int = QUERY_BLOCK_ROWS,
+    repeated: bool = False,
 ) -> DataFrame:
     """The ``n`` nearest corpus rows of every query: qid, id, distance, rank.
 
     ``queries`` has ``qid`` and ``vector``, ``corpus`` has ``id`` and ``vector``.
     A ``skip`` column on the queries names a corpus id to leave out
     (``exclude_self``: the query's own). With a ``cells`` array on the queries
-    and a ``cell`` on the corpus, a query looks only into its cells.
+    and a ``cell`` on the corpus, a query looks only into its cells. ``repeated``: a
+    corpus row may lie in several cells.
     """
     if metric not in METRICS:
         raise ValueError(f"unknown metric {metric!r}, use one of {METRICS}")
@@ -200,4 +204,4 @@ def nearest_many(
     corpus = corpus.select(
         F.col("id").cast("long").alias("id"), "vector", *(["cell"] if celled else [])
     )
-    return _block_join(queries, corpus, n, metric, block_rows, query_block_rows)
+    return _block_join(queries, corpus, n, metric, block_rows, query_block_rows, repeated)

@@ -17,6 +17,8 @@ from vicinity.operators.approx import (
     widening_search,
     write_cells,
 )
+from vicinity.operators.buckets import bucket_search, bucket_search_many, share_read, write_buckets
+from vicinity.operators.cells import CellIndex, descend
 from vicinity.operators.many import nearest_many
 from vicinity.operators.topk import row_vector
 from vicinity.plans.common import cosine
@@ -149,3 +151,160 @@ def nearest_by_hashing(spark, sf_dir):
     rows = _rows(spark, sf_dir)
     hits = hashed_search(rows, row_vector(rows, ROW), 10, columns=["label"])
     return hits.withColumn("distance", rounded(F.col("distance")))
+
+
+# --- an index that follows its data ------------------------------------------------
+
+_TREE = """means AS (
+  SELECT key, list(m ORDER BY pos) AS centroid FROM (
+    SELECT key, pos, avg(x) AS m FROM (
+      SELECT k.key, unnest(embedding::DOUBLE[]) AS x, generate_subscripts(embedding, 1) AS pos
+      FROM embeddings, LATERAL (SELECT unnest([label, 100 + label // 4]) AS key) k)
+    GROUP BY key, pos) GROUP BY key)"""
+
+
+def _placed(source: str, name: str) -> str:
+    """CTEs with the cell of each row of a table: nearest group, then nearest cell in it."""
+    d = cosine("r.embedding", "m.centroid")
+    return f"""{name}_group AS (SELECT id, grp FROM (
+  SELECT r.id, m.key - 100 AS grp, row_number() OVER (PARTITION BY r.id ORDER BY round({d}, 12), m.key) AS near
+  FROM {source} r, means m WHERE m.key >= 100) WHERE near = 1),
+{name} AS (SELECT id, cell, embedding FROM (
+  SELECT r.id, m.key AS cell, r.embedding, row_number() OVER (PARTITION BY r.id ORDER BY round({d}, 12), m.key) AS near
+  FROM {source} r JOIN {name}_group g ON g.id = r.id JOIN means m ON m.key < 100 AND m.key // 4 = g.grp) WHERE near = 1)"""
+
+
+_START = "start AS (SELECT vec_id AS id, embedding, label FROM embeddings)"
+# rows inserted and replaced, then rows deleted
+_AFTER = """after AS (
+  SELECT vec_id + 100000 AS id, embedding FROM embeddings WHERE vec_id % 7 = 0
+  UNION ALL
+  SELECT vec_id, CASE WHEN vec_id % 11 = 0 THEN list_reverse(embedding) ELSE embedding END FROM embeddings WHERE vec_id % 13 <> 0)"""
+# the cells of the two nearest groups, nearest first
+_ORDER = f"""q AS (SELECT embedding AS v FROM embeddings WHERE vec_id = {ROW}),
+near_groups AS (SELECT key - 100 AS grp FROM means, q WHERE key >= 100 ORDER BY round({cosine('centroid', 'v')}, 12), key LIMIT 2),
+cell_order AS (SELECT key AS cell, row_number() OVER (ORDER BY round({cosine('centroid', 'v')}, 12), key) AS near
+  FROM means, q WHERE key < 100 AND key // 4 IN (SELECT grp FROM near_groups))"""
+
+
+def _tree(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Given centroids: a cell per label, a group per four labels."""
+    groups = mean_vectors(rows.withColumn("group", F.expr("label div 4").cast("int")), "group")
+    cells = mean_vectors(rows, "label").select(F.expr("label div 4").cast("int").alias("group"), F.col("label").alias("cell"), "centroid")
+    return materialize(groups, "groups"), materialize(cells, "cells")
+
+
+def _index(spark, rows: DataFrame, **options) -> CellIndex:
+    return CellIndex.build(rows, scratch(spark, "cell-index"), tree=_tree(rows), **options)
+
+
+@query(f"WITH {_TREE}, {_START}, {_placed('start', 'placed')} SELECT id, cell::INT AS cell FROM placed")
+def cell_of_every_row_by_descent(spark, sf_dir):
+    rows = _rows(spark, sf_dir)
+    return descend(rows, *_tree(rows), "embedding").select("id", "cell")
+
+
+@query(f"""WITH {_TREE}, {_AFTER}, {_placed('after', 'placed')}, {_ORDER}
+SELECT a.id, a.cell::INT AS cell, round({_D}, 4) + 0.0 AS distance FROM placed a, q
+WHERE a.cell IN (SELECT cell FROM cell_order WHERE near <= 3) ORDER BY round({_D}, 12), a.id LIMIT 10""")
+def nearest_after_changes(spark, sf_dir):
+    """Rows inserted, moved and deleted after the build are found, or not, where they are."""
+    rows = _rows(spark, sf_dir)
+    index = _index(spark, rows)
+    new = rows.filter("id % 7 = 0").withColumn("id", F.col("id") + 100_000)
+    moved = rows.filter("id % 11 = 0").withColumn("embedding", F.reverse("embedding"))
+    index = index.change(new.unionByName(moved))
+    index = index.change(gone=rows.filter("id % 13 = 0"))
+    hits = index.search(row_vector(rows, ROW), 10, probes=3, wide=2, columns=["cell"])
+    return hits.withColumn("distance", rounded(F.col("distance")))
+
+
+@query(f"""WITH {_TREE}, {_AFTER}, {_placed('after', 'placed')} SELECT id, cell::INT AS cell FROM placed""")
+def rows_after_folding(spark, sf_dir):
+    """Each row once, in its cell, when the changes of an index are folded."""
+    rows = _rows(spark, sf_dir)
+    index = _index(spark, rows)
+    new = rows.filter("id % 7 = 0").withColumn("id", F.col("id") + 100_000)
+    moved = rows.filter("id % 11 = 0").withColumn("embedding", F.reverse("embedding"))
+    index = index.change(new.unionByName(moved), rows.filter("id % 13 = 0 and id % 11 <> 0"))
+    index = index.change(gone=rows.filter("id % 143 = 0")).fold()
+    return index.rows_of(range(10)).select("id", "cell")
+
+
+@query(f"""WITH {_TREE}, {_START}, {_placed('start', 'placed')}, {_ORDER},
+counts AS (SELECT o.cell, o.near, count(s.id) AS passing FROM cell_order o
+  LEFT JOIN placed p ON p.cell = o.cell LEFT JOIN start s ON s.id = p.id AND s.label = 7 GROUP BY ALL),
+running AS (SELECT cell, coalesce(sum(passing) OVER (ORDER BY near ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS passed FROM counts)
+SELECT a.id, round({_D}, 4) + 0.0 AS distance FROM placed a JOIN start s ON s.id = a.id, q
+WHERE s.label = 7 AND a.cell IN (SELECT cell FROM running WHERE passed < 10) ORDER BY round({_D}, 12), a.id LIMIT 10""")
+def nearest_by_cell_statistics(spark, sf_dir):
+    """As many cells as their statistics ask for; no row is looked at to find out."""
+    rows = _rows(spark, sf_dir)
+    index = _index(spark, rows, attributes=["label"])
+    hits = index.search_where(row_vector(rows, ROW), {"label": 7}, 10, wide=2)
+    return hits.withColumn("distance", rounded(F.col("distance")))
+
+
+@query()
+def recall_of_descended_cells(spark, sf_dir):
+    """Recall of a trained tree by cells looked into, before and after changes."""
+    rows = _rows(spark, sf_dir)
+    index = CellIndex.build(rows, scratch(spark, "cell-index"))
+    new = rows.filter("id % 3 = 0").withColumn("id", F.col("id") + 100_000).withColumn("embedding", F.reverse("embedding"))
+    changed = index.change(new)
+    queries = rows.select(F.col("id").alias("qid"), F.col("embedding").alias("vector"))
+    out = None
+    for state, now, table_ in (("built", index, rows), ("changed", changed, rows.unionByName(new))):
+        corpus = table_.select("id", F.col("embedding").alias("vector"))
+        exact = materialize(nearest_many(queries, corpus, 10), "exact")
+        for probes in (1, 8, 18):
+            recall = recall_at_k(now.search_many(queries, 10, probes=probes), exact, 10)
+            mean = recall.agg(F.round(F.avg("recall"), 4).alias("recall"))
+            mean = mean.select(F.lit(state).alias("state"), F.lit(probes).alias("probes"), "recall")
+            out = mean if out is None else out.unionByName(mean)
+    return out
+
+
+_SIGNS = """signs AS (
+  SELECT t, b, i, CASE WHEN ('0x' || substr(md5(t || ':' || b || ':' || i), 1, 8))::BIGINT % 2 = 1 THEN -1.0 ELSE 1.0 END AS s
+  FROM range(8) t(t), range(5) b(b), range(1, 65) i(i)),
+sides AS (
+  SELECT vec_id AS id, t, b, sum(x * s) AS side FROM (
+    SELECT vec_id, unnest(embedding::DOUBLE[]) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings) JOIN signs USING (i)
+  GROUP BY ALL),
+codes AS (SELECT id, t, sum(CASE WHEN side > 0 THEN 1 << b ELSE 0 END)::INT AS code FROM sides GROUP BY ALL),
+turned AS (SELECT id, t, b, row_number() OVER (PARTITION BY id, t ORDER BY abs(side), b) AS near FROM sides),
+asked AS (
+  SELECT id, t, code FROM codes
+  UNION ALL SELECT c.id, c.t, xor(c.code, 1 << b::INT) FROM codes c JOIN turned u ON u.id = c.id AND u.t = c.t AND u.near = 1)"""
+
+
+@query(f"""WITH {_SIGNS}, {_TARGET}
+SELECT a.vec_id AS id, a.label, round({_D}, 4) + 0.0 AS distance FROM embeddings a, q
+WHERE a.vec_id <> {ROW} AND a.vec_id IN (SELECT c.id FROM codes c JOIN asked k ON k.id = {ROW} AND k.t = c.t AND k.code = c.code)
+ORDER BY round({_D}, 12), a.vec_id LIMIT 10""")
+def nearest_in_stored_buckets(spark, sf_dir):
+    rows = _rows(spark, sf_dir)
+    path = scratch(spark, "buckets")
+    write_buckets(rows, path)
+    hits = bucket_search(spark.read.parquet(path), row_vector(rows, ROW), 10, where=F.col("id") != ROW, columns=["label"])
+    return hits.withColumn("distance", rounded(F.col("distance")))
+
+
+@query(f"""WITH {_SIGNS}, pairs AS (SELECT DISTINCT k.id AS qid, c.id FROM asked k JOIN codes c ON c.t = k.t AND c.code = k.code),
+d AS (SELECT p.qid, p.id, {cosine('a.embedding', 'b.embedding')} AS distance FROM pairs p
+  JOIN embeddings a ON a.vec_id = p.id JOIN embeddings b ON b.vec_id = p.qid),
+r AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY round(distance, 12), id) AS rank FROM d)
+SELECT qid, id, round(round(distance, 12), 6) + 0.0 AS distance, rank::INT AS rank FROM r WHERE rank <= 5""")
+def nearest_in_buckets_for_every_row(spark, sf_dir):
+    rows = _rows(spark, sf_dir).select("id", F.col("embedding").alias("vector"))
+    found = bucket_search_many(rows.withColumnRenamed("id", "qid"), rows, 5)
+    return found.withColumn("distance", rounded(F.col("distance"), 6))
+
+
+@query(f"""WITH {_SIGNS}, sizes AS (SELECT t, code, count(*) AS n FROM codes GROUP BY ALL)
+SELECT round(sum(n) / (SELECT count(*) FROM embeddings) / (SELECT count(*) FROM embeddings), 6)::DOUBLE AS share
+FROM asked k JOIN sizes s ON s.t = k.t AND s.code = k.code""")
+def share_of_rows_in_buckets(spark, sf_dir):
+    rows = _rows(spark, sf_dir).select("id", F.col("embedding").alias("vector"))
+    return share_read(rows.withColumnRenamed("id", "qid"), rows).select(F.round("share", 6).alias("share"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -46,14 +47,31 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if small else df
 
 
-_SCHEMAS: dict[tuple[str, str], StructType] = {}
+def _place(spark: SparkSession, path: str) -> tuple:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    system, place = _place(spark, path)
+    return system.exists(place)
+
+
+def state_of(spark: SparkSession, path: str) -> tuple:
+    """Time, bytes and number of files of a table: other ones after it was rewritten."""
+    system, place = _place(spark, path)
+    summary = system.getContentSummary(place)
+    return system.getFileStatus(place).getModificationTime(), summary.getLength(), summary.getFileCount()
+
+
+_SCHEMAS: dict[tuple, StructType] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A test table; its schema is read once per application, as a catalogue would
-    keep it, so that opening it again starts no job."""
+    """A test table; its schema is read once per application and state of its files, as a
+    catalogue would keep it, so that opening it again starts no job."""
     path = f"{sf_dir}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path)
+    key = (spark.sparkContext.applicationId, path, state_of(spark, path))
     if key not in _SCHEMAS:
         _SCHEMAS[key] = spark.read.parquet(path).schema
     return spark.read.schema(_SCHEMAS[key]).parquet(path)
@@ -85,3 +103,20 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = scratch(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+_STORED: dict[tuple, str] = {}
+
+
+def stored_once(spark: SparkSession, name: str, sources: list[str], make: Callable[[], DataFrame]) -> DataFrame:
+    """A table made of others and written once, as vectors of texts are; it is made again
+    when a source has changed."""
+    states = tuple((s, *state_of(spark, s)) for s in sources)
+    key = (spark.sparkContext.applicationId, name, states)
+    if key not in _STORED:
+        path = scratch(spark, name)
+        df = make()
+        df.write.parquet(path)
+        _STORED[key] = path
+        _SCHEMAS[key] = df.schema
+    return spark.read.schema(_SCHEMAS[key]).parquet(_STORED[key])

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Mapping
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,7 +21,9 @@ from vicinity.functions.text import (
     to_whole,
 )
 from vicinity.operators.changes import first_wins, load_report, upsert
-from vicinity.session import materialize
+from vicinity.operators.meta import update_meta
+from vicinity.operators.runs import recorded
+from vicinity.session import exists, materialize
 
 # ---------------------------------------------------------------------------
 # The file format and the table schema.
@@ -203,5 +206,42 @@ def load_catalog(spark: SparkSession, path: str, target: DataFrame, as_of: Colum
     return merged, load_report(rows, is_usable(), merged, "change")
 
 
+def load_and_record(
+    spark: SparkSession, path: str, target: DataFrame, as_of: str, snapshot: str, meta: str, log: str,
+    facts: Mapping[str, str] | None = None, **run,
+) -> dict[str, int]:
+    """Load a file into ``target`` and write the next snapshot; the counts come out of that
+    write, go to the run log, and with ``facts`` into the provenance table at ``meta``."""
+    merged, report = load_catalog(spark, path, target, F.lit(as_of).cast("timestamp"))
+    changes = {c: F.count_if(F.col("change") == c) for c in ("insert", "update", "keep")}
+    counts = {"rows": F.count_if(F.col("change") != "keep"), "total": F.count(F.lit(1)), **changes}
+
+    def write(observed: DataFrame) -> None:
+        observed.drop("change").write.mode("overwrite").parquet(snapshot)
+
+    found = recorded(merged, write, counts, log, **run)
+    entries = [*(facts or {}).items(), ("load_timestamp", as_of), ("row_count", str(found["total"]))]
+    new = spark.createDataFrame([(k, str(v)) for k, v in entries], "key string, value string")
+    update_table(spark, meta, new)
+    found |= report.select("read", "skipped").first().asDict()
+    return found | {"duplicates": found["read"] - found["skipped"] - found["rows"]}
+
+
+def update_table(spark: SparkSession, meta: str, new: DataFrame) -> None:
+    """Merge entries into the provenance table: a new version beside the old ones."""
+    version, old = 1, new.limit(0)
+    if exists(spark, meta):
+        version = spark.read.option("basePath", meta).parquet(meta).agg(F.max("version")).first()[0] + 1
+        old = read_meta(spark, meta)
+    update_meta(old, new).coalesce(1).write.mode("overwrite").parquet(f"{meta}/version={version}")
+
+
+def read_meta(spark: SparkSession, meta: str) -> DataFrame:
+    """The latest version of a provenance table (key, value)."""
+    rows = spark.read.option("basePath", meta).parquet(meta)
+    last = rows.agg(F.max("version")).first()[0]
+    return rows.filter(F.col("version") == last).select("key", "value")
+
+
 def empty_catalog(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], CATALOG_SCHEMA)

@@ -19,6 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 from vicinity.functions.encode import encode
 from vicinity.functions.text import text_hash
 from vicinity.operators.changes import first_wins
+from vicinity.operators.runs import Clock, now, recorded
 
 EVERY_MINUTE = {"processingTime": "1 minute"}
 ONCE = {"availableNow": True}
@@ -77,8 +78,11 @@ def last_write(changes: DataFrame, order: Sequence[str], id_col: str = "id", tex
 def append_epoch(
     changes: DataFrame, epoch: int, path: str, order: Sequence[str], encoder=None, prefix: str = "",
     id_col: str = "id", text_col: str = "info", time_col: str = "changed_at", run: str = "r1", buckets: int = BUCKETS,
-) -> None:
-    """Embed what is new in a micro-batch and write it as this epoch of a run.
+    runs: str | None = None, job_id: int = 1, clock: Clock = now,
+) -> dict[str, int] | None:
+    """Embed what is new in a micro-batch and write it as this epoch of a run. With a run
+    log (``runs``) the epoch is entered there, with the rows written and embedded as the
+    write has counted them, and these are returned.
 
     A row is written if its change comes after the one in the log. It is embedded if its
     text has another hash; the same text takes the logged vector along, and a blank one
@@ -104,25 +108,36 @@ def append_epoch(
         needs, logged = needs & ~same, F.when(same, F.col("_known.embedding"))
     # texts that need no vector are NULL to the encoder, which skips them
     vector = encode(F.when(needs, F.col(text_col)), encoder, prefix)
-    last.select(
+    entries = last.select(
         "id",
         "text_hash",
         F.coalesce(vector, logged).alias("embedding"),
         F.col(time_col).cast("timestamp").alias("embedded_at"),
         "position",
         "bucket",
-    ).write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/run={run}/epoch={epoch}")
+        needs.alias("_embedded"),
+    )
+
+    def write(rows: DataFrame) -> None:
+        rows.drop("_embedded").write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/run={run}/epoch={epoch}")
+
+    if runs is None:
+        return write(entries)
+    counts = {"rows": F.count_if(F.col("_embedded")), "written": F.count(F.lit(1))}
+    return recorded(entries, write, counts, runs, job_id=job_id, run_id=f"{run}-{epoch}", clock=clock)
 
 
 def keep_fresh(
     changes: DataFrame, path: str, checkpoint: str, order: Sequence[str], encoder=None, prefix: str = "",
-    trigger: Mapping[str, object] = EVERY_MINUTE, **columns: str,
+    trigger: Mapping[str, object] = EVERY_MINUTE, **columns,
 ) -> StreamingQuery:
     """Run ``append_epoch`` on a stream; the checkpoint resumes after a stop."""
 
-    run = "r" + hashlib.sha256(checkpoint.encode()).hexdigest()[:12]  # a checkpoint counts its own epochs
-
     def write(batch: DataFrame, epoch: int) -> None:
+        # the stream's id, which its checkpoint keeps, names its epochs; a stream that starts
+        # again with an empty checkpoint has another one
+        stream = batch.sparkSession.read.text(f"{checkpoint}/metadata").first()[0]
+        run = "r" + hashlib.sha256(stream.encode()).hexdigest()[:12]
         append_epoch(batch, epoch, path, order, encoder, prefix, run=run, **columns)
 
     return (
