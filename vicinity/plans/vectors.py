@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from vicinity.functions.vectors import METRICS, dims, distance_to, format_vector, norm, normalize, parse_vector, rounded
 from vicinity.operators.approx import mean_vectors
 from vicinity.operators.many import nearest_many
+from vicinity.operators.pruned import nearest_many_pruned
 from vicinity.operators.topk import (
     candidate_sweep,
     compare_pairs,
@@ -258,6 +259,14 @@ def nearest_for_every_row_by_blocks(spark, sf_dir):
     return _every_row(spark, sf_dir, block_rows=256, query_block_rows=128)
 
 
+@query(_EVERY_ROW)
+def nearest_for_every_row_by_pruned_blocks(spark, sf_dir):
+    """The same rows, without the pairs of blocks that are too far apart."""
+    rows = _vectors(spark, sf_dir).select("id", F.col("embedding").alias("vector"))
+    hits = nearest_many_pruned(rows.withColumnRenamed("id", "qid"), rows, 5, exclude_self=True, block_rows=64)
+    return hits.withColumn("distance", rounded(F.col("distance"), 6))
+
+
 @query(f"""WITH {CATALOG}, asked AS (SELECT p_partkey AS id FROM part)
 SELECT a.id, CASE WHEN c.id IS NULL THEN 'not found' WHEN c.embedding IS NULL THEN 'no embedding' ELSE 'ok' END AS status,
        len(c.embedding)::INT AS dims
