@@ -39,7 +39,7 @@ from vicinity.operators.meta import load_meta, merge_meta, prefixed, resolve_ali
 from vicinity.operators.numbering import number_rows
 from vicinity.plans.common import CATALOG, as_of, catalog
 from vicinity.plans.registry import query
-from vicinity.session import scratch, spread, table
+from vicinity.session import materialize, scratch, spread, table
 from vicinity.sources.catalog import empty_catalog, is_usable, load_catalog, read_catalog, to_catalog
 
 _FEED = """feed AS (
@@ -114,6 +114,18 @@ def scan_catalog_file(spark, sf_dir):
     )
 
 
+@query(f"""WITH {_FEED} SELECT name AS "Name", brand AS "Brand", categories AS "Categories", country AS "Country",
+  abv AS "ABV", ibu::VARCHAR AS "IBU", sha256(description) AS description_hash,
+  row_number() OVER (ORDER BY file_row) AS line FROM feed""")
+def scan_catalog_file_in_ranges(spark, sf_dir):
+    """The same file, its records found by many tasks."""
+    rows = read_catalog(spark, _catalog_file(spark, sf_dir), in_ranges=True)
+    order = number_rows(materialize(rows, "catalog-rows"), "file_row", "line")
+    return order.select(
+        "Name", "Brand", "Categories", "Country", "ABV", "IBU", text_hash(F.col("Description")).alias("description_hash"), "line"
+    )
+
+
 @query(f"""WITH {_FEED} SELECT file_row, name AS "Name", brand AS "Brand", categories AS "Categories", country AS "Country", abv AS "ABV",
   ibu::VARCHAR AS "IBU", sha256(description) AS description_hash FROM feed""")
 def scan_files_by_their_headers(spark, sf_dir):

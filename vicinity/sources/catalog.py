@@ -24,6 +24,7 @@ from vicinity.operators.changes import first_wins, load_report, upsert
 from vicinity.operators.meta import update_meta
 from vicinity.operators.runs import recorded
 from vicinity.session import exists, materialize
+from vicinity.sources.ranges import csv_columns, csv_records
 
 # ---------------------------------------------------------------------------
 # The file format and the table schema.
@@ -78,6 +79,7 @@ CATALOG_SCHEMA = T.StructType(
 # ---------------------------------------------------------------------------
 
 ROWS_PER_FILE = 1 << 33  # monotonically_increasing_id leaves 33 bits per task
+BYTES_PER_FILE = 1 << 43  # of files read in ranges, whose rows are numbered by bytes
 
 
 class CatalogError(ValueError):
@@ -117,13 +119,14 @@ def _plain(uri: str) -> str:
     return re.sub(r"^file:/+", "/", uri)
 
 
-def read_catalog(spark: SparkSession, path: str) -> DataFrame:
+def read_catalog(spark: SparkSession, path: str, in_ranges: bool = False) -> DataFrame:
     """All columns as cleaned text under trimmed headers, plus ``file_row``.
 
     Every file's own header says which column is which; a column that only some files
     have is empty in the others. ``file_row`` grows with the file name and the position
-    in the file. Quoted fields may hold line breaks, so one task reads a whole file:
-    deliver a big catalogue as many files.
+    in the file. Quoted fields may hold line breaks, so one task reads a whole file;
+    ``in_ranges`` has many tasks read it instead, for files that write a quote in a field
+    as two, inside quotes.
     """
     by_head = file_heads(spark, path)
     numbers = {f: i for i, f in enumerate(sorted(f for group in by_head.values() for f in group))}
@@ -136,11 +139,16 @@ def read_catalog(spark: SparkSession, path: str) -> DataFrame:
         missing = sorted(set(REQUIRED_COLUMNS) - set(headers))
         if missing:
             raise CatalogError(f"{files[0]}: missing required columns: {missing}, load aborted")
-        rows = raw.select(
-            *[clean(F.col(f"`{c}`")).alias(h) for c, h in zip(raw.columns, headers)],
-            F.col("_metadata.file_path").alias("_path"),
-            (F.monotonically_increasing_id() % ROWS_PER_FILE).alias("_row"),
-        )
+        if in_ranges:
+            fields = csv_columns(csv_records(spark, [unquote(f) for f in files]), len(headers)).filter("position > 0")
+            cleaned = [clean(F.col(f"c{i}")).alias(h) for i, h in enumerate(headers)]
+            rows = fields.select(*cleaned, "_path", F.col("position").alias("_row"))
+        else:
+            rows = raw.select(
+                *[clean(F.col(f"`{c}`")).alias(h) for c, h in zip(raw.columns, headers)],
+                F.col("_metadata.file_path").alias("_path"),
+                (F.monotonically_increasing_id() % ROWS_PER_FILE).alias("_row"),
+            )
         out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
     columns = [c for c in out.columns if c not in ("_path", "_row")]
     # monotonically_increasing_id counts inside a task, and a task may read several
@@ -148,7 +156,7 @@ def read_catalog(spark: SparkSession, path: str) -> DataFrame:
     placed = out.join(places, "_path")
     return placed.select(
         *[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in columns],
-        (F.col("_file") * ROWS_PER_FILE + F.col("_row")).alias("file_row"),
+        (F.col("_file") * (BYTES_PER_FILE if in_ranges else ROWS_PER_FILE) + F.col("_row")).alias("file_row"),
     )
 
 
