@@ -22,6 +22,7 @@ from vicinity.operators.fresh import (
     throughput,
     unnest_batches,
 )
+from vicinity.operators.snapshots import Snapshots
 from vicinity.operators.topk import nearest, row_vector
 from vicinity.plans.common import AS_OF, CATALOG, EMBEDDED_AT, STALE, as_of, catalog, cosine
 from vicinity.plans.registry import query
@@ -298,3 +299,43 @@ def rows_with_and_without_match(spark, sf_dir):
 def last_embedded_rows(spark, sf_dir):
     rows = catalog(spark, sf_dir).filter(F.col("embedded_at").isNotNull())
     return rows.orderBy(F.desc("embedded_at"), F.desc("id")).limit(5).select("id", "beer_name")
+
+
+def _divided(spark, sf_dir) -> Snapshots:
+    rows = table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("id"), F.col("p_name").alias("info"), F.col("p_size").alias("size"), F.col("p_retailprice").alias("price")
+    )
+    return Snapshots.create(rows, scratch(spark, "divided"), divisions=32)
+
+
+def _three_changes(spark, sf_dir) -> Snapshots:
+    """Rows replaced and inserted, a text appended to, rows deleted."""
+    divided = _divided(spark, sf_dir)
+    rows = divided.read()
+    new = rows.filter("id <= 5").withColumn("price", F.col("price") * 2)
+    more = rows.filter("id <= 3").withColumn("id", F.col("id") + 1_000_000)
+    divided = divided.change(new.unionByName(more))
+    divided = divided.update(F.col("id") == 7, {"info": F.concat("info", F.lit(", aged in oak"))})
+    return divided.delete(F.col("id").between(11, 14))
+
+
+_PARTS_CHANGED = """p AS (SELECT p_partkey AS id, p_name AS info, p_size AS size, p_retailprice AS price FROM part),
+now AS (
+  SELECT id, CASE WHEN id = 7 THEN info || ', aged in oak' ELSE info END AS info, size, CASE WHEN id <= 5 THEN price * 2 ELSE price END AS price
+  FROM p WHERE id NOT BETWEEN 11 AND 14
+  UNION ALL SELECT id + 1000000, info, size, price FROM p WHERE id <= 3)"""
+
+
+@query(f"WITH {_PARTS_CHANGED} SELECT * FROM now")
+def table_after_divided_changes(spark, sf_dir):
+    """Each change rewrites only the divisions it touches."""
+    return _three_changes(spark, sf_dir).read()
+
+
+@query(f"""WITH {_PARTS_CHANGED}
+SELECT CASE WHEN p.id IS NULL THEN 'insert' WHEN n.id IS NULL THEN 'delete' ELSE 'update' END AS change,
+       coalesce(n.id, p.id) AS id, coalesce(n.info, p.info) AS info, coalesce(n.size, p.size) AS size, coalesce(n.price, p.price) AS price
+FROM p FULL JOIN now n ON n.id = p.id WHERE (p.info, p.size, p.price) IS DISTINCT FROM (n.info, n.size, n.price)""")
+def changes_between_versions(spark, sf_dir):
+    """A change feed out of two versions, which skips divisions that are the same."""
+    return _three_changes(spark, sf_dir).changes(since=1)
