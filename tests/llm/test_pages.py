@@ -48,6 +48,31 @@ def test_markup(tree, page, want):
     assert got == want
 
 
+def prose(n, seed=0):
+    return " ".join(f"word{(i * 7 + seed) % 50}" for i in range(n))
+
+
+MISLEADING = [
+    '<div class="content"><div class="legal"><p>{0}</p><p>{1}</p></div></div><div class="footer">imprint and more</div>',
+    '<nav><a href="/">home</a></nav><div class="product-search results"><h1>{0}</h1><p>{1}</p></div><footer>imprint</footer>',
+    '<div class="product-search results"><p>{0}</p><p>{1}</p></div>',
+    '<div id="social-share"><a>x</a></div><div class="header notice"><p>{0}</p><p>{1}</p></div>',
+    '<article class="sponsored ad"><p>{0}</p><p>{1}</p></article><div class="comments"><p>nice text, I say</p></div>',
+]
+
+
+@pytest.mark.parametrize("page", MISLEADING)
+def test_misleading_names_lose_no_article(tree, page):
+    parts = [prose(45), prose(60, 3)]
+    assert pages.main_text(page.format(*parts), tree) == "\n\n".join(parts)
+
+
+def test_parts_beside_an_article_go_by_their_names(tree):
+    for name in ("ad", "cookie notice", "related", "sidebar", "comments"):
+        page = f'<div class="{name}"><p>{prose(35)}</p></div><div id="content"><h1>a title here</h1><p>{prose(50, 1)}</p><p>{prose(60, 2)}</p></div>'
+        assert pages.main_text(page, tree) == f"a title here\n\n{prose(50, 1)}\n\n{prose(60, 2)}"
+
+
 def test_odd_rows(spark, tree):
     rows = [(1, "u", "<article>a</article>", "clash"), (1, "u", "<article>a</article>", "clash"), (None, None, None, None)]
     rows.append((2, "v", "<article>" + "<p>word</p>" * 20_000 + "</article>", ""))

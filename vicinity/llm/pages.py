@@ -1,9 +1,11 @@
 """Main text of web pages: flat text blocks classified by a decision tree.
 
 A page is cut into flat blocks of text at block-level tags. A block is described by
-its words and link density, those of its two neighbours, and the kind of place it
-stands in; a decision tree, trained on the small labelled table of ``skeletons``,
-says which blocks belong to the article.
+its words and link density, those of its two neighbours, the elements it stands in, and
+what the names (class, id, role) around it hint at; a decision tree, trained on the small
+labelled table of ``skeletons``, says which blocks belong to the article. Names are weak:
+beside a hint that a part of the page is no article stands the share of the page's
+unlinked words that this part holds, and some labelled pages have misleading names.
 
 Scripts, styles, comments, head and hidden elements are no text. Character references
 are decoded, white space inside a block becomes one space, blocks are joined by an
@@ -72,13 +74,16 @@ class Block:
     around: bool = False
     within: bool = False
     kind: int = 0
+    part: int = -1  # the outermost element whose names hint at no article
+    hinted: bool = False  # an element's names hint at an article
 
     @property
     def text(self) -> str:
         return " ".join("".join(self.words).split())
 
 
-def place_of(tag: str, attributes: str) -> int:
+def place_of(tag: str, attributes: str) -> tuple[int, int]:
+    """What the element says of its place by its tag, and what its names hint at."""
     names: list[str] = []
     if attributes and ("class" in attributes or "id" in attributes or "hidden" in attributes or "style" in attributes or "role" in attributes):
         for name, a, b, c in ATTRIBUTE.findall(attributes.lower()):
@@ -86,28 +91,27 @@ def place_of(tag: str, attributes: str) -> int:
             if name in ("class", "id", "role"):
                 names += PARTS.findall(html.unescape(value))
             elif name == "hidden" or name == "aria-hidden" and value == "true":
-                return HIDDEN
+                return HIDDEN, NEUTRAL
             elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-                return HIDDEN
+                return HIDDEN, NEUTRAL
+    hint = NEUTRAL
+    if tag != "body":
+        around, content = AROUND_WORDS.intersection(names), CONTENT_WORDS.intersection(names)
+        hint = AROUND if around else HEADER if "header" in names else CONTENT if content else NEUTRAL
     if tag in AROUND_TAGS:
-        return AROUND
+        return AROUND, hint
     if tag in CONTENT_TAGS:
-        return CONTENT
-    if tag == "header":
-        return HEADER
-    if tag != "body" and AROUND_WORDS.intersection(names):
-        return AROUND
-    if tag != "body" and "header" in names:
-        return HEADER
-    return CONTENT if tag != "body" and CONTENT_WORDS.intersection(names) else NEUTRAL
+        return CONTENT, hint
+    return HEADER if tag == "header" else NEUTRAL, hint
 
 
 def blocks_of(page: str) -> list[Block]:
     """The flat text blocks of a page, in order."""
     done: list[Block] = []
-    # open elements: name, place, whether it or one around it is AROUND, is CONTENT
-    stack: list[tuple[str, int, bool, bool]] = [("", NEUTRAL, False, False)]
-    kind, links, silent = 0, 0, 0
+    # open elements: name, place, whether it or one around it is AROUND, is CONTENT, and by
+    # names: the part of the page that is hinted to be no article, whether an article is
+    stack: list[tuple[str, int, bool, bool, int, bool]] = [("", NEUTRAL, False, False, -1, False)]
+    kind, links, silent, parts = 0, 0, 0, 0
     now: Block | None = None
     at = 0
     while at < len(page):
@@ -121,8 +125,8 @@ def blocks_of(page: str) -> list[Block]:
             if now is None:
                 if not part.strip():
                     continue
-                _, place, around, within = stack[-1]
-                now = Block([], 0, place, around, within, kind)
+                _, place, around, within, inside, hinted = stack[-1]
+                now = Block([], 0, place, around, within, kind, inside, hinted)
             now.words.append(part)
             if links:
                 now.linked += len(part.split())
@@ -146,7 +150,7 @@ def blocks_of(page: str) -> list[Block]:
         if ends:
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k][0] == tag:
-                    silent -= sum(t in NO_TEXT or p == HIDDEN for t, p, _, _ in stack[k:])
+                    silent -= sum(e[0] in NO_TEXT or e[1] == HIDDEN for e in stack[k:])
                     del stack[k:]
                     break
             links = 0
@@ -161,31 +165,41 @@ def blocks_of(page: str) -> list[Block]:
         if attributes.endswith("/") and tag not in ("p", "div"):
             continue
         if tag == "body":  # what opened in the head has ended
-            silent -= sum(t in NO_TEXT for t, _, _, _ in stack)
+            silent -= sum(e[0] in NO_TEXT for e in stack)
             del stack[1:]
         if tag in ("p", "li") or tag in HEADINGS:  # these can't stand in a paragraph, nor in one another
             if stack[-1][0] in ("p", tag):
                 silent -= stack[-1][1] == HIDDEN
                 stack.pop()
-        own = place_of(tag, attributes)
-        _, place, around, within = stack[-1]
+        own, hint = place_of(tag, attributes)
+        _, place, around, within, inside, hinted = stack[-1]
         silent += tag in NO_TEXT or own == HIDDEN
         place = NEUTRAL if place == HIDDEN else place
-        stack.append((tag, own or place, around or own == AROUND, within or own == CONTENT))
+        if inside < 0 and hint in (AROUND, HEADER):
+            inside, parts = parts, parts + 1
+        stack.append((tag, own or place, around or own == AROUND, within or own == CONTENT, inside, hinted or hint == CONTENT))
     if now is not None:
         done.append(now)
     return [b for b in done if b.text]
 
 
 def features(blocks: list[Block]) -> np.ndarray:
-    """Words and link density of each block and its neighbours, place, and tag kind."""
+    """Words and link density of each block and its neighbours, the elements it stands in
+    and its tag, the hints of names, the share of the page's unlinked words that its hinted
+    part holds, and whether the page says anywhere else where its article is."""
     words = np.array([0, *(len("".join(b.words).split()) for b in blocks), 0], np.float64)
     linked = np.array([0, *(b.linked for b in blocks), 0], np.float64)
     density = linked / np.maximum(words, 1)
-    own = np.array([(b.place, b.around, b.within, b.kind) for b in blocks], np.float64).reshape(len(blocks), 4)
+    own = np.array([(b.place, b.around, b.within, b.kind, b.hinted) for b in blocks], np.float64).reshape(len(blocks), 5)
+    part = np.array([b.part for b in blocks], np.int64)
+    # words in navigation, footers and the like are no rivals of an article
+    plain = np.where([b.around for b in blocks], 0, (words - np.minimum(linked, words))[1:-1]) if len(blocks) else words[1:-1]
+    held = np.bincount(part + 1, plain) if len(blocks) else np.zeros(1)
+    share = np.where(part >= 0, held[part + 1] / max(1.0, plain.sum()), -1.0) if len(blocks) else words[1:-1]
     said = float(any(b.within and not b.around for b in blocks))
+    hinted = float(any(b.hinted and b.part < 0 and not b.around for b in blocks))
     around = [words[1:-1], density[1:-1], words[:-2], density[:-2], words[2:], density[2:]]
-    return np.column_stack([*around, own, np.full(len(blocks), said)])
+    return np.column_stack([*around, own, share, np.full(len(blocks), said), np.full(len(blocks), hinted)])
 
 
 # --- the labelled table -----------------------------------------------------------
@@ -213,7 +227,21 @@ SKELETONS = (
     "<div>-{4}</div><div>-{6}</div><p>-{2}</p>",
     "<p>+{50}</p><p>+{40}</p>*",
     "<div><p>-{4}</p></div><h2>+{5}</h2><p>+{60}</p>*<p>+{35}</p>",
-    "<form><p>-{30}</p></form><div class=sidebar><p>-{45}</p>*</div><div>-{6}</div>",
+    "<form><p>-{30}</p></form><div class=sidebar><p>-{8}</p>*</div><div>-{6}</div>",
+    "<div class=menu><a>-{1}</a></div><div class=content><div class=legal><h1>+{5}</h1><p>+{50}</p>*<p>+{20}</p></div></div><div class=footer>-{8}</div>",
+    "<div class=content><div class='legal notice'><p>+{70}</p>*</div></div><div class=ad>-{12}</div>",
+    "<div class=menu><a>-{1}</a></div><div class='product-search results'><h1>+{5}</h1><p>+{45}</p>*</div><footer>-{8}</footer>",
+    "<div class='search results'><p>+{60}</p>*<p>+{35}</p></div>",
+    "<nav><a>-{2}</a></nav><div class=header><h1>+{6}</h1><p>+{60}</p>*</div><div class=share><a>-{1}</a>*</div><footer><p>-{20}</p></footer>",
+    "<div class='main social form'><h1>+{6}</h1><p>+{55}</p>*<p>+{8}</p></div><div class=related><a>-{6}</a><p>-{10}</p></div>",
+    "<article class='promo sponsored'><h1>+{6}</h1><p>+{40}</p>*</article><div class=comments><p>-{30}</p>*</div>",
+    "<div class=nav><a>-{2}</a>*</div><div id=content><p>+{60}</p>*</div><div class=comments><p>-{45}</p>*</div>",
+    "<div id=content><h1>+{4}</h1><p>+{30}</p></div><div class='related promo'><p>-{50}</p>*</div>",
+    "<article><h1>+{5}</h1><p>+{12}</p></article><div class='widget legal'><p>-{60}</p>*</div>",
+    "<main><p>+{30}</p>*<div class='notice'><p>-{15}</p></div><p>+{40}</p></main>",
+    "<article><p>+{1}</p></article><div class=comments><p>-{10}</p></div>",
+    "<article><p>+{3}</p>*</article><div class=sidebar><p>-{25}</p>*</div><div id=comments><p>-{12}</p></div>",
+    "<div class=cookie><p>-{30}</p></div><div><h1>+{5}</h1><p>+{60}</p>*</div>",
     "<div class=banner><p>-{9}</p></div><article><div>+{20}</div><div>+{2}</div><h3>+{1}</h3><div>+{60}</div></article><div class='footer'><p>-{22}</p><p>-{3}</p></div>",
 )
 
