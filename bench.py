@@ -20,6 +20,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 from pyspark.sql import SparkSession
 
 from vicinity.operators.approx import assign_cells, cell_search, train_centroids, write_cells
+from vicinity.operators.cells import CellIndex
 from vicinity.operators.topk import nearest
 from vicinity.plans import QUERIES
 from vicinity.plans.common import QUESTION
@@ -35,6 +36,8 @@ HEADLINES = (
     "nearest_iterative",
     "rows_by_candidate_width",
     "nearest_for_every_row",
+    "nearest_for_every_row_by_pruned_blocks",
+    "nearest_in_buckets_for_every_row",
     "nearest_in_probed_cells",
     "nearest_in_cells_for_every_row",
     "compare_row_pairs",
@@ -45,6 +48,8 @@ HEADLINES = (
     "search_for_every_question",
     "stale_rows",
     "refresh_stale_rows",
+    "refresh_runs_report_themselves",
+    "table_after_divided_changes",
     "first_row_per_key",
     "upsert_by_natural_key",
     "load_into_empty_catalog",
@@ -96,7 +101,10 @@ def stored(spark: SparkSession, sf_dir: str) -> dict:
     write_cells(assign_cells(table, centroids), cells)
     in_cells = spark.read.parquet(cells)
     point = [float(x) for x in table.orderBy("id").first()["embedding"]]
+    index = CellIndex.build(table, scratch(spark, "bench-index"), cells=64, attributes=["style"])
     return {
+        "stored_index_top5": lambda *_: index.search(point, 5, probes=4),
+        "stored_index_filtered_top5": lambda *_: index.search_where(point, {"style": "en"}, 5),
         "stored_exact_top5": lambda *_: nearest(table, point, 5),
         "stored_cells_top5": lambda *_: cell_search(in_cells, centroids, point, 5, probes=4),
         "stored_text_search": lambda *_: search(table, QUESTION, 5),

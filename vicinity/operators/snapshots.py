@@ -16,7 +16,7 @@ import json
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
 DIVISIONS = 64
 _MANIFEST = "division int, gen int, id_col string, divisions int, schema string, next_gen int"
@@ -46,7 +46,8 @@ class Snapshots:
         """Write the first version. Ids must be unique and not null."""
         self = cls.__new__(cls)
         self.spark, self.path, self.version = df.sparkSession, path.rstrip("/"), 0
-        self.id_col, self.divisions, self.schema, self.next_gen = id_col, divisions, df.schema, 1
+        self.id_col, self.divisions, self.next_gen = id_col, divisions, 1
+        self.schema = StructType([StructField(f.name, f.dataType) for f in df.schema])  # later rows may hold nulls
         self._write(df.withColumn("division", self._division()), 1)
         self._publish({d: 1 for d in range(divisions)}, 2)
         return cls(self.spark, path)

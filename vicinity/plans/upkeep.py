@@ -27,6 +27,7 @@ from vicinity.operators.topk import nearest, row_vector
 from vicinity.plans.common import AS_OF, CATALOG, EMBEDDED_AT, STALE, as_of, catalog, cosine
 from vicinity.plans.registry import query
 from vicinity.session import scratch, spread, table
+from vicinity.sources import changefeed
 from vicinity.streaming.refresh import ONCE, current_vectors, embed_on_write, keep_fresh, open_log
 
 WIDTH = 64  # the stored vectors' size, so that refreshed ones fit beside them
@@ -332,10 +333,26 @@ def table_after_divided_changes(spark, sf_dir):
     return _three_changes(spark, sf_dir).read()
 
 
-@query(f"""WITH {_PARTS_CHANGED}
+_FEED = f"""WITH {_PARTS_CHANGED}
 SELECT CASE WHEN p.id IS NULL THEN 'insert' WHEN n.id IS NULL THEN 'delete' ELSE 'update' END AS change,
        coalesce(n.id, p.id) AS id, coalesce(n.info, p.info) AS info, coalesce(n.size, p.size) AS size, coalesce(n.price, p.price) AS price
-FROM p FULL JOIN now n ON n.id = p.id WHERE (p.info, p.size, p.price) IS DISTINCT FROM (n.info, n.size, n.price)""")
+FROM p FULL JOIN now n ON n.id = p.id WHERE (p.info, p.size, p.price) IS DISTINCT FROM (n.info, n.size, n.price)"""
+
+
+@query(_FEED)
 def changes_between_versions(spark, sf_dir):
     """A change feed out of two versions, which skips divisions that are the same."""
     return _three_changes(spark, sf_dir).changes(since=1)
+
+
+@query(_FEED)
+def changes_as_a_stream(spark, sf_dir):
+    """The same changes, followed version by version by a stream."""
+    divided = _three_changes(spark, sf_dir)
+    changefeed.register(spark)
+    stream = spark.readStream.format("snapshot_changes").option("path", divided.path).option("since", 1).load()
+    out = scratch(spark, "changes")
+    job = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", scratch(spark, "progress")).start()
+    job.processAllAvailable()
+    job.stop()
+    return spark.read.schema(stream.schema).parquet(out)
