@@ -36,7 +36,6 @@ HEADLINES = (
     "nearest_iterative",
     "rows_by_candidate_width",
     "nearest_for_every_row",
-    "nearest_for_every_row_by_pruned_blocks",
     "nearest_in_buckets_for_every_row",
     "nearest_in_probed_cells",
     "nearest_in_cells_for_every_row",
@@ -48,8 +47,6 @@ HEADLINES = (
     "search_for_every_question",
     "stale_rows",
     "refresh_stale_rows",
-    "refresh_runs_report_themselves",
-    "table_after_divided_changes",
     "first_row_per_key",
     "upsert_by_natural_key",
     "load_into_empty_catalog",
