@@ -93,6 +93,16 @@ def test_empty_table(spark, docs):
     assert corpus_pipeline.STAGES[-1][1](spark, docs.limit(0), "").collect() == []
 
 
+def test_columns_named_like_those_of_the_stages(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, text, "own1", 7), (1, text, "own1", 7), (2, text + " more", "own2", 8), (3, "another text of its own, of eleven words or a few", "own3", 9)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, _row string, kept int")
+    single = corpus_pipeline.near_duplicates(spark, table, "")
+    assert single.columns == table.columns and rows_of(single) == [rows[0], rows[3]]
+    cleaned = corpus_pipeline.repeated_passages(spark, table.filter("doc_id > 1"), "")
+    assert {(r[0], r[2], r[3]) for r in rows_of(cleaned)} == {(2, "own2", 8), (3, "own3", 9)}
+
+
 def test_run_on_the_test_table(spark, sf):
     out = corpus_pipeline.run(spark, sf).collect()
     assert out and all(0 < r.length <= 2048 for r in out)
@@ -103,6 +113,6 @@ def test_entry_registers_all(spark):
     import __spark_entry__ as entry
 
     names = set(entry.queries())
-    assert {f"op{n}_" for n in range(1, 11)} <= {re.match(r"op\d+_", n)[0] for n in names if re.match(r"op\d+_", n)}
+    assert {f"op{n}_" for n in range(1, 14)} <= {re.match(r"op\d+_", n)[0] for n in names if re.match(r"op\d+_", n)}
     assert "pipeline" in names and set(entry.oracle_sql()) <= names
     assert quality.PROSE.rules and suffixes.ONCE == 0 and public_tokenizers.path("word_bpe_49k.json")
