@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SMALL_SIDE_ROWS = 100_000  # alias rows that may be sent to every task
+SMALL_SIDE_BYTES = 32 << 20  # and their text
 
 
 def merge_meta(entries: DataFrame, order: Sequence[str], key: str = "key", value: str = "value") -> DataFrame:
@@ -47,7 +48,9 @@ def resolve_alias(
     """
     pairs = aliases.select(F.col(alias_col).alias("_alias"), F.col(match_col).alias("_match"))
     pairs = pairs.groupBy("_alias").agg(F.min("_match").alias("_match"))
-    if pairs.limit(small_rows + 1).count() <= small_rows:
+    text = F.octet_length("_alias") + F.coalesce(F.octet_length("_match"), F.lit(0))
+    rows, size = pairs.limit(small_rows + 1).agg(F.count("*"), F.coalesce(F.sum(text), F.lit(0))).first()
+    if rows <= small_rows and size <= SMALL_SIDE_BYTES:
         pairs = F.broadcast(pairs)
     joined = df.join(pairs, name == F.col("_alias"), "left")
     return joined.withColumn(out, F.coalesce("_match", name)).drop("_alias", "_match")
