@@ -64,6 +64,14 @@ def test_odd_rows(spark, odd_docs, most):
     assert rows_of(codes.read_codes(written(manifest, "manifest"))) == brute(odd_docs.collect())
 
 
+def test_rows_of_one_id_fill_several_tasks(spark):
+    rows = [(None, f"text {i}") for i in range(300)] + [(5, f"{i} text") for i in range(300)] + [(i, "x") for i in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    manifest = written(codes.write_codes(docs, PATH, shared_folder(spark, "codes"), 2), "manifest")
+    assert manifest.agg(F.max("documents")).first()[0] < 300
+    assert rows_of(codes.read_codes(manifest)) == brute(docs.collect())
+
+
 def test_empty_table(spark, odd_docs):
     manifest = codes.write_codes(odd_docs.limit(0), PATH, shared_folder(spark, "codes"), 2)
     assert codes.read_codes(written(manifest, "manifest")).count() == 0

@@ -1,5 +1,7 @@
 import zlib
 
+from pyspark.sql import functions as F
+
 from vicinity.llm import shards
 from vicinity.llm.queries import QUERIES
 
@@ -22,6 +24,20 @@ def test_odd_rows(odd_docs):
         assert got == brute(odd_docs.collect(), n)
 
 
+def test_hot_and_null_ids_are_cut_further(spark):
+    ids = [None] * 700 + [5] * 900 + [6] * 3 + list(range(400)) + [(1 << 60) + i % 3 for i in range(300)]
+    docs = spark.createDataFrame([(d, f"text {i % 1900}") for i, d in enumerate(ids)], "doc_id long, text string")
+    got = sorted((tuple(r) for r in shards.shard_by_bytes(docs, 16).collect()), key=str)
+    assert got == brute(docs.collect(), 16)
+    sized = docs.select("doc_id", F.lit(1).alias("size"), F.crc32("text").alias("text_crc32"))
+    ranges = shards.cut_into_ranges(sized, 20).groupBy("_range").count()
+    # neither of the hot ids, nor the null ones, are in one range
+    assert ranges.agg(F.max("count")).first()[0] < 450
+    ordered = shards.cut_into_ranges(sized, 20).orderBy(F.asc_nulls_last("doc_id"), "text_crc32").select("_range")
+    found = [r[0] for r in ordered.collect()]
+    assert found == sorted(found)
+
+
 def test_empty_table(odd_docs):
     assert shards.shard_by_bytes(odd_docs.limit(0), 16).collect() == []
 

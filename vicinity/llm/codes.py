@@ -10,8 +10,8 @@ A file holds the documents of one range in ascending id order: sections of plain
 little-endian arrays, an index of them as JSON, its length and a closing mark.
 
 Null and empty texts are documents of their end id alone. Rows with equal ids all
-stay, ordered by text (null first); a null id sorts first. An empty table gives no
-files and no rows. Only the two named columns are read.
+stay, ordered by text (null first) and dealt over tasks by the first 256 characters; a
+null id sorts first. An empty table gives no files and no rows. Only the two named columns are read.
 """
 
 from __future__ import annotations
@@ -32,6 +32,7 @@ from vicinity.llm.bpe import bpe
 from vicinity.llm.common import file_system, pieces, write_file
 
 MARK = b"DACIDS01"
+HEAD = 256  # characters of a text that deal rows of equal ids
 BLOCK = 512  # bits per entry of a rank directory
 
 
@@ -184,7 +185,9 @@ def write_codes(
 
     ranges = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    placed = rows.repartitionByRange(ranges, "doc_id").sortWithinPartitions("doc_id", "text")
+    # an id that many rows have, or none, is dealt by the heads of its texts: the same order
+    head = F.substring("text", 1, HEAD)
+    placed = rows.repartitionByRange(ranges, F.col("doc_id"), head).sortWithinPartitions("doc_id", "text")
     return placed.mapInArrow(run, MANIFEST)
 
 
