@@ -10,7 +10,7 @@ A file holds the documents of one range in ascending id order: sections of plain
 little-endian arrays, an index of them as JSON, its length and a closing mark.
 
 Null and empty texts are documents of their end id alone. Rows with equal ids all
-stay, ordered by text (null first) and dealt over tasks by the first 256 characters; a
+stay, ordered by text (null first) and dealt over tasks by the first 32 characters; a
 null id sorts first. An empty table gives no files and no rows. Only the two named columns are read.
 """
 
@@ -32,7 +32,7 @@ from vicinity.llm.bpe import bpe
 from vicinity.llm.common import file_system, pieces, write_file
 
 MARK = b"DACIDS01"
-HEAD = 256  # characters of a text that deal rows of equal ids
+HEAD = 32  # characters of a text that deal rows of equal ids
 BLOCK = 512  # bits per entry of a rank directory
 
 
