@@ -2,7 +2,9 @@ from types import SimpleNamespace
 
 import pytest
 
-from vicinity.session import materialize, scratch, spread
+from vicinity.plans import QUERIES
+from vicinity.session import materialize, scratch, spread, table_stream
+from vicinity.streaming.refresh import ONCE
 
 
 def stand_in(master, folder=None):
@@ -42,3 +44,24 @@ def test_only_small_tables_in_few_files_are_dealt_out(spark):
     assert spread(many) is many
     made = spark.range(3)
     assert spread(made) is made
+
+
+def test_a_table_of_one_or_of_many_files_is_streamed_whole(spark, tmp_path):
+    rows = spark.range(20).selectExpr("id AS doc_id", "concat('text ', id) AS text")
+    rows.repartition(3).write.parquet(f"{tmp_path}/many/documents.parquet")
+    rows.coalesce(1).write.parquet(f"{tmp_path}/made")
+    (tmp_path / "one").mkdir()
+    next((tmp_path / "made").glob("*.parquet")).rename(tmp_path / "one" / "documents.parquet")
+    (tmp_path / "one" / "other.parquet").write_text("no table")
+    for folder in ("many", "one"):
+        out = scratch(spark, "streamed")
+        writer = table_stream(spark, f"{tmp_path}/{folder}", "documents").writeStream.format("parquet").option("path", out)
+        writer.option("checkpointLocation", scratch(spark, "progress")).trigger(**ONCE).start().awaitTermination()
+        assert sorted(spark.read.parquet(out).collect()) == sorted(rows.collect())
+
+
+def test_rows_of_a_folder_of_files_are_embedded_on_write(spark, tmp_path):
+    rows = spark.sql("SELECT id AS doc_id, 'some words' AS text FROM range(9)")
+    rows.repartition(2).write.parquet(f"{tmp_path}/documents.parquet")
+    found = QUERIES["embed_rows_on_write"](spark, str(tmp_path)).collect()
+    assert sorted(r.id for r in found) == [*range(9)] and {r.dims for r in found} == {384}

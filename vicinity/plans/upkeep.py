@@ -26,7 +26,7 @@ from vicinity.operators.snapshots import Snapshots
 from vicinity.operators.topk import nearest, row_vector
 from vicinity.plans.common import AS_OF, CATALOG, EMBEDDED_AT, STALE, as_of, catalog, cosine
 from vicinity.plans.registry import query
-from vicinity.session import scratch, spread, table
+from vicinity.session import scratch, spread, table, table_stream
 from vicinity.sources import changefeed
 from vicinity.streaming.refresh import ONCE, current_vectors, embed_on_write, keep_fresh, open_log
 
@@ -112,8 +112,7 @@ def write_back_vectors(spark, sf_dir):
 @query("SELECT doc_id AS id, sha256(text) AS text_hash, 384 AS dims, true AS dated FROM documents")
 def embed_rows_on_write(spark, sf_dir):
     """A stream of inserts, each row written with its vector."""
-    schema = table(spark, sf_dir, "documents").schema
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet").parquet(sf_dir)
+    stream = table_stream(spark, sf_dir, "documents")
     rows = stream.select(F.col("doc_id").alias("id"), F.col("text").alias("info"), as_of().alias("changed_at"))
     path = scratch(spark, "written")
     written = embed_on_write(rows).drop("info", "changed_at").writeStream.format("parquet")
@@ -130,8 +129,7 @@ def embed_rows_on_write(spark, sf_dir):
 SELECT id, sha256(info) AS text_hash, 64 AS dims, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS changed FROM c WHERE rn = 1""")
 def keep_vectors_fresh_from_feed(spark, sf_dir):
     """A change feed, last write per row, swept into the vector log."""
-    schema = table(spark, sf_dir, "events").schema
-    feed = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    feed = table_stream(spark, sf_dir, "events")
     changes = feed.select(
         F.col("user_id").alias("id"), F.concat_ws(" ", "event_type", "props").alias("info"),
         F.col("ts").cast("timestamp").alias("changed_at"), "event_id",
