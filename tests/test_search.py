@@ -1,4 +1,5 @@
 import json
+import re
 
 import numpy as np
 import pytest
@@ -319,3 +320,40 @@ def test_means_are_weighted(spark):
     df = spark.createDataFrame([(1, 1.0, [0.0, 2.0]), (1, 3.0, [4.0, 2.0]), (2, 1.0, None)], "g int, w double, embedding array<float>")
     assert [(r.g, r.centroid) for r in mean_vectors(df, "g", weight="w").collect()] == [(1, [3.0, 2.0])]
     assert mean_vectors(df).first().centroid == [2.0, 2.0]
+
+
+def test_rows_travel_once_per_tile_not_once_per_block(spark):
+    """However small the blocks, a side is copied as often as the other one has tiles."""
+    corpus = spark.range(3000).selectExpr("id", "array(float(id % 7 + 1), float(id % 11), float(id)) AS vector")
+    queries = corpus.withColumnRenamed("id", "qid")
+    found = nearest_many(queries, corpus, 3, exclude_self=True, block_rows=16, query_block_rows=16)
+    plan = found._jdf.queryExecution().executedPlan()
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, nearest_many(queries, corpus, 3, exclude_self=True).collect()))
+    copies = [int(n) for n in re.findall(r"Generate.*?number of output rows: (\d+)", metrics(plan))]
+    assert len(copies) == 2 and max(copies) <= 2 * 3000
+
+
+def metrics(plan):
+    """The rows that each Generate of an executed plan has made, as text."""
+    out, open_ = [], [plan]
+    while open_:
+        node = open_.pop()
+        if node.nodeName() == "Generate":
+            out.append(f"Generate number of output rows: {node.metrics().apply('numOutputRows').value()}")
+        if node.nodeName() == "AdaptiveSparkPlan":
+            open_.append(node.executedPlan())
+        elif "QueryStage" in node.nodeName():
+            open_.append(node.plan())
+        children = node.children()
+        open_ += [children.apply(i) for i in range(children.size())]
+    return "\n".join(out)
+
+
+def test_encoder_keeps_slots_of_a_bounded_number_of_words():
+    model = HashedWords(48)
+    texts = [" ".join(f"w{i}x{j}" for j in range(1000)) for i in range(300)]
+    once = model.encode(texts[:2])
+    for start in range(0, 300, 20):
+        model.encode(texts[start : start + 20])
+    assert len(loaded(("slots", 48), dict)) <= (1 << 17) + 20_001
+    assert (model.encode(texts[:2]) == once).all()

@@ -33,9 +33,9 @@ def _unit(rows: np.ndarray) -> np.ndarray:
 
 
 class _Slots(dict):
-    """Slot of each word seen so far by this worker process."""
+    """Slot of words seen of late by this worker process; not all that the table has."""
 
-    most = 1_000_000
+    most = 1 << 17
 
     def __init__(self, width: int):
         super().__init__({"": -1})
@@ -58,7 +58,7 @@ class HashedWords:
     meaning: texts without a common word are orthogonal (up to slot clashes).
     """
 
-    chunk = 1024
+    chunk = 512
 
     def __init__(self, width: int = DEFAULT_WIDTH):
         self.width = width
@@ -177,13 +177,13 @@ def encode(text: Column, encoder=None, prefix: str = "") -> Column:
     def kernel(batch: pa.Array) -> pa.Array:
         missing = batch.is_null().to_numpy(zero_copy_only=False)
         texts = batch.drop_null()
-        if prefix:
-            texts = pc.binary_join_element_wise(pa.scalar(prefix), texts, "")
-        parts = [
-            np.asarray(model.encode(texts.slice(i, rows_per_call)), dtype="float32")
-            for i in range(0, len(texts), rows_per_call)
-        ]
-        flat = np.concatenate(parts).ravel() if parts else np.empty(0, "float32")
+        rows = np.empty((len(texts), model.width), "float32")
+        for i in range(0, len(texts), rows_per_call):
+            part = texts.slice(i, rows_per_call)
+            if prefix:
+                part = pc.binary_join_element_wise(pa.scalar(prefix), part, "")
+            rows[i : i + rows_per_call] = model.encode(part)
+        flat = rows.ravel()
         ends = np.concatenate([[0], np.cumsum(~missing) * model.width]).astype("int32")
         return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat), mask=pa.array(missing))
 
