@@ -15,12 +15,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vicinity.functions.vectors import to_matrix
 from vicinity.operators.cells import SENT_BYTES, descend, train_tree
-from vicinity.operators.many import NO_SKIP, OUT, _Best, _merge, nearest_many
+from vicinity.operators.many import BLOCK_ROWS as BLOCK_ROWS_AT_ONCE
+from vicinity.operators.many import LEAST_ROWS, NO_SKIP, OUT, TILE_ROWS, TILES, _Best, _merge, nearest_many, units
 from vicinity.session import materialize
 
 BLOCK_ROWS = 2048
@@ -121,24 +122,79 @@ def _group_bounds(stored: DataFrame, groups: DataFrame) -> tuple[np.ndarray, np.
 def nearest_many_pruned(
     queries: DataFrame, corpus: DataFrame, n: int = 5, *, cells: int | None = None, block_rows: int = BLOCK_ROWS, exclude_self: bool = False
 ) -> DataFrame:
-    """The rows of ``nearest_many`` by cosine: qid, id, distance, rank."""
-    own, pairs, blocks = pruned_blocks(queries, corpus, n, cells, block_rows, exclude_self)
-    left = blocks.filter("side = 'query'").select(F.col("cell").alias("query_cell"), F.col("no").alias("query_no"), F.col("rows").alias("asked"))
-    right = blocks.filter("side = 'corpus'").select("cell", "no", F.col("rows").alias("stored"))
-    both = pairs.join(left, ["query_cell", "query_no"]).join(right, ["cell", "no"]).select("asked", "stored")
+    """The rows of ``nearest_many`` by cosine: qid, id, distance, rank.
 
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                asked, stored = batch.column(0)[i].values, batch.column(1)[i].values
-                width = pc.max(pc.list_value_length(asked.field("vector"))).as_py()
-                rows, _ = to_matrix(asked.field("vector"), width)
-                best = _Best(rows, asked.field("id").to_numpy(), asked.field("skip").to_numpy(), n, "cosine")
-                best.limit = asked.field("most").to_numpy()
-                best.add(stored.field("id").to_numpy(), to_matrix(stored.field("vector"), width)[0])
-                yield best.batch()
-
-    return _merge(own.select("qid", "id", "distance").unionByName(both.mapInArrow(search, OUT)), n, False)
+    Blocks travel in tiles of many blocks: a query block goes once to each tile of the corpus
+    that holds a block it has to look at, with the numbers of those, and a corpus block once
+    to each tile of queries that has to look at it.
+    """
+    own, pairs, blocks = pruned_blocks(queries, corpus, n, cells, block_rows, exclude_self)
+    tiles = _tiled(blocks, block_rows)
+    asking = tiles.filter("side = 'query'").select(*[F.col(c).alias(f"query_{c}") for c in ("cell", "no", "tile")])
+    looked = tiles.filter("side = 'corpus'").select("cell", "no", "tile", "place")
+    pairs = pairs.join(asking, ["query_cell", "query_no"]).join(looked, ["cell", "no"])
+    pairs = materialize(pairs, "tile-pairs")
+    left = pairs.groupBy("query_cell", "query_no", "query_tile", "tile").agg(F.collect_list("place").alias("places"))
+    asked = blocks.filter("side = 'query'").select(F.col("cell").alias("query_cell"), F.col("no").alias("query_no"), F.col("rows").alias("asked"))
+    left = left.join(asked, ["query_cell", "query_no"]).select("query_tile", "tile", "places", "asked")
+    right = pairs.select("cell", "no", "query_tile", "tile", "place").distinct()
+    stored = blocks.filter("side = 'corpus'").select("cell", "no", F.col("rows").alias("stored"))
+    right = right.join(stored, ["cell", "no"]).select("query_tile", "tile", "place", "stored")
+    right = right.select(*[F.col(c).alias(c) for c in right.columns])
+
+    def search(asking: pa.Table, held: pa.Table) -> pa.Table:
+        found = [pa.table({"qid": pa.array([], "int64"), "id": pa.array([], "int64"), "distance": pa.array([], "float64")})]
+        if not len(asking) or not len(held):
+            return found[0]
+        held = held.sort_by("place").combine_chunks()
+        lists = held["stored"].chunk(0)
+        flat = lists.flatten()
+        width = pc.max(pc.list_value_length(flat.field("vector"))).as_py()
+        ids, rows = flat.field("id").to_numpy(), to_matrix(flat.field("vector"), width)[0]
+        unit = units(rows)
+        ends = np.cumsum(lists.value_lengths().to_numpy())
+        of_place = {p: i for i, p in enumerate(held["place"].to_pylist())}
+        for batch in asking.to_batches(max_chunksize=1):
+            block = batch.column("asked")[0].values
+            best = _Best(to_matrix(block.field("vector"), width)[0], block.field("id").to_numpy(), block.field("skip").to_numpy(), n, "cosine")
+            best.limit = block.field("most").to_numpy().copy()
+            wanted = sorted(of_place[p] for p in batch.column("places")[0].as_py())
+            for first, last in _runs(wanted, ends):
+                best.add(ids[first:last], rows[first:last], unit[first:last])
+            found.append(pa.Table.from_batches([best.batch()]))
+        return pa.concat_tables(found)
+
+    met = left.groupBy("query_tile", "tile").cogroup(right.groupBy("query_tile", "tile")).applyInArrow(search, OUT)
+    return _merge(own.select("qid", "id", "distance").unionByName(met), n, False)
+
+
+def _tiled(blocks: DataFrame, block_rows: int) -> DataFrame:
+    """Number of the tile of each block, cells of one tile being neighbours in number, and
+    its own place among the blocks of the side (side, cell, no, tile, place)."""
+    cells = blocks.groupBy("side", "cell").agg((F.max("no") + 1).alias("blocks"))  # a row per cell; some numbers may be of no rows
+    order = Window.partitionBy("side").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    before = cells.withColumn("before", F.coalesce(F.sum("blocks").over(order), F.lit(0)))
+    total = cells.groupBy("side").agg(F.sum("blocks").alias("total"))
+    most = max(1, TILE_ROWS // block_rows)
+    side = F.greatest(F.lit(min(most, max(1, LEAST_ROWS // block_rows))), F.least(F.lit(most), F.ceil(F.col("total") / TILES)))
+    numbered = blocks.select("side", "cell", "no").join(before, ["side", "cell"]).join(total, "side")
+    place = F.col("before") + F.col("no")
+    return materialize(numbered.select("side", "cell", "no", F.floor(place / side).alias("tile"), place.alias("place")), "tiles")
+
+
+def _runs(wanted: list[int], ends: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Neighbouring blocks as ranges of rows, of about as many rows as are compared at one time."""
+    first = last = 0
+    for i in wanted:
+        a, b = int(ends[i - 1]) if i else 0, int(ends[i])
+        if last > first and (a != last or b - first > BLOCK_ROWS_AT_ONCE):
+            yield first, last
+            first = a
+        elif last == first:
+            first = a
+        last = b
+    if last > first:
+        yield first, last
 
 
 def pairs_skipped(queries: DataFrame, corpus: DataFrame, n: int = 5, **options) -> DataFrame:
