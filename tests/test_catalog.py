@@ -16,6 +16,7 @@ from vicinity.operators.checks import fingerprint
 from vicinity.operators.fresh import is_stale, refresh
 from vicinity.operators.meta import merge_meta, prefixed, resolve_alias, update_meta
 from vicinity.operators.numbering import number_rows, with_batches
+from vicinity.plans import ingest
 from vicinity.sources.catalog import (
     NATURAL_KEY,
     REQUIRED_COLUMNS,
@@ -271,3 +272,13 @@ def test_aliases(spark, small_rows):
     aliases = spark.createDataFrame([("Žatec Brewery", "Žatec")], "Brewery string, matches string")
     got = resolve_alias(names, F.col("n"), aliases, "Brewery", "matches", "r", small_rows)
     assert {(r.n, r.r) for r in got.collect()} == {("Žatec Brewery", "Žatec"), ("Other", "Other"), (None, None)}
+
+
+def test_files_are_as_many_as_the_input_has_pieces(spark, tmp_path, monkeypatch):
+    rows = spark.range(2000).selectExpr("id AS `No`", "concat('text ', id) AS t")
+    rows.write.parquet(str(tmp_path / "rows"))
+    stored = spark.read.parquet(str(tmp_path / "rows"))
+    monkeypatch.setattr(ingest, "FILE_BYTES", 1000)
+    ingest._write_csv(stored, str(tmp_path / "csv"), "No")
+    assert len(list((tmp_path / "csv").glob("*.csv"))) > 2 * spark.sparkContext.defaultParallelism
+    assert spark.read.option("header", True).csv(str(tmp_path / "csv")).count() == 2000

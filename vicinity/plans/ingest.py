@@ -7,6 +7,8 @@ all) the descriptions. Parts of size 50 stand for other package sizes.
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,7 +41,7 @@ from vicinity.operators.meta import load_meta, merge_meta, prefixed, resolve_ali
 from vicinity.operators.numbering import number_rows
 from vicinity.plans.common import CATALOG, as_of, catalog
 from vicinity.plans.registry import query
-from vicinity.session import materialize, scratch, spread, table
+from vicinity.session import materialize, scratch, spread, state_of, table
 from vicinity.sources.catalog import empty_catalog, is_usable, load_catalog, read_catalog, to_catalog
 
 _FEED = """feed AS (
@@ -87,10 +89,16 @@ def _catalog_feed(spark, sf_dir) -> DataFrame:
     return feed
 
 
+FILE_BYTES = 32 << 20  # of stored input behind one CSV file
+
+
 def _write_csv(feed: DataFrame, path: str, line: str = " ") -> None:
-    # Many files in row order, since one task reads a whole file.
-    cores = feed.sparkSession.sparkContext.defaultParallelism
-    ordered = feed.repartitionByRange(cores, line).sortWithinPartitions(line)
+    # Many files in row order, since one task reads a whole file: as many as the input has
+    # pieces, so that neither they nor the tasks that write them grow with it.
+    spark = feed.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    stored = sum(state_of(spark, unquote(f))[1] for f in feed.inputFiles())
+    ordered = feed.repartitionByRange(max(cores, -(-stored // FILE_BYTES)), line).sortWithinPartitions(line)
     writer = ordered.write.option("maxRecordsPerFile", 100_000).option("header", True).option("escape", '"').option("quoteAll", True)
     writer = writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
     writer.mode("append").csv(path)
