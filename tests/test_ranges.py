@@ -61,3 +61,11 @@ def test_same_catalogue_as_in_one_task(spark, tmp_path, small_ranges):
     assert one == many and len(one) == 80
     numbers = read_catalog(spark, str(tmp_path), in_ranges=True).agg(F.count_distinct("file_row")).first()[0]
     assert numbers == 80
+
+
+def test_lines_are_not_dealt_to_find_where_records_begin(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('n,t\n1,"a\nb"\n2,c\n')
+    found = csv_records(spark, [str(tmp_path / "a.csv")])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and plan.count("Exchange hashpartitioning") <= 1
+    assert sorted(r.record for r in found.collect()) == ['1,"a\nb"', "2,c", "n,t"]
