@@ -189,3 +189,14 @@ def test_bad_arguments(spark, tmp_path, laid_out):
 
 def test_cell_ranges():
     assert cell_ranges([5, 3, 4, 9, 4, 7]) == [(3, 5), (7, 7), (9, 9)] and cell_ranges([]) == []
+
+
+def test_many_files_are_written_from_a_bounded_number_of_ranges(spark, tmp_path):
+    rows = spark.range(3000).selectExpr("id", "id % 50 AS a")
+    laid_out = LaidOut.write(rows, str(tmp_path / "t"), ["id", "a"], rows_per_file=10)
+    files = laid_out.files.collect()
+    parts = {f.file.split("-")[1] for f in files}
+    assert len(parts) <= 200 and len(files) >= 300 and max(f.rows for f in files) <= 10
+    found = laid_out.rows({"id": (100, 299), "a": 7}).collect()
+    assert sorted(r.id for r in found) == [107, 157, 207, 257]
+    assert laid_out.table().count() == 3000

@@ -31,6 +31,7 @@ RANK_BITS = 8  # of a column; 255 borders
 SAMPLE_ROWS = 32_768  # about as many rows are looked at to find the borders
 STRING_HEAD = 64  # characters of a string that borders look at
 ROWS_PER_FILE = 200_000
+RANGES = 200  # of an order: for more, Spark's tasks hold all their rows to sort them before they deal them out
 
 
 # --- the order ---------------------------------------------------------------------
@@ -137,9 +138,11 @@ class LaidOut:
         keyed = keyed.select("row", key, tie, F.spark_partition_id().alias("origin"))
         order = ("key", "tie", "origin")
         files = max(1, -(-total // rows_per_file))
-        ordered = keyed.repartitionByRange(files, *order).sortWithinPartitions(*order).select("row.*")
+        ranges = min(files, RANGES)  # of several files each, where there are more files
+        most = 2 * rows_per_file if ranges == files else rows_per_file
+        ordered = keyed.repartitionByRange(ranges, *order).sortWithinPartitions(*order).select("row.*")
         rows = f"{path}/rows/batch={batch}"
-        ordered.write.mode("overwrite").option("maxRecordsPerFile", 2 * rows_per_file).parquet(rows)
+        ordered.write.mode("overwrite").option("maxRecordsPerFile", most).parquet(rows)
         written = spark.read.schema(df.schema).parquet(rows)
         per_file = written.groupBy(F.col("_metadata.file_name").alias("file")).agg(
             F.count("*").alias("rows"),
