@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vicinity.session import scratch
+from vicinity.sources.files import file_system, shared_folder, write_file  # noqa: F401
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,32 +52,6 @@ def free_name(name: str, taken: list[str]) -> str:
     return name
 
 
-def shared_folder(spark: SparkSession, label: str) -> str:
-    """URI of a fresh folder for files that executors write themselves."""
-    path = scratch(spark, label)
-    return path if "://" in path else path.replace("file:", "", 1) if path.startswith("file:") else path
-
-
-def file_system(uri: str) -> tuple[pafs.FileSystem, str]:
-    if "://" in uri:
-        return pafs.FileSystem.from_uri(uri)
-    return pafs.LocalFileSystem(), uri.replace("file:", "", 1)
-
-
-def write_file(folder: str, ending: str, parts: list[bytes]) -> tuple[str, int]:
-    """Write a file under a name of its own; a repeated task writes another one,
-    and only the name that its successful attempt reports is ever read."""
-    uri = f"{folder}/{uuid.uuid4().hex}{ending}"
-    system, path = file_system(uri)
-    system.create_dir(path.rpartition("/")[0], recursive=True)
-    size = 0
-    with system.open_output_stream(path) as out:
-        for part in parts:
-            out.write(part)
-            size += len(part)
-    return uri, size
-
-
 def pieces(batches: Iterator[pa.RecordBatch], col: str, most_bytes: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Cut batches so that a text column holds about ``most_bytes`` per piece.
 
