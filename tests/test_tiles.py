@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from vicinity.operators import many
 from vicinity.operators.many import nearest_many, pair_distances
 from vicinity.operators.tiles import read_tile, write_tiles
-from vicinity.sources.files import shared_folder
+from vicinity.sources.files import reachable, shared_folder
 
 
 def table(spark, kinds, **columns):
@@ -112,3 +112,21 @@ def test_a_key_of_many_rows_gets_several_tiles(spark):
     read = [read_tile(f) for f in files]
     assert [len(c["id"]) for c, _, _ in read] == [100] * 5
     assert sorted(map(tuple, np.concatenate([r for _, r, _ in read]).tolist())) == sorted(map(tuple, rows.tolist()))
+
+
+def test_a_query_without_a_number_raises(spark, monkeypatch):
+    monkeypatch.setattr(many, "COPIES", -1)
+    kinds = (pa.int64(), pa.list_(pa.float32()))
+    corpus = table(spark, kinds, id=[1], vector=[[1.0, 2.0]])
+    with pytest.raises(Exception, match="a query has no qid"):
+        nearest_many(table(spark, kinds, qid=[1, None], vector=[[1.0, 2.0]] * 2), corpus, 2).collect()
+
+
+def test_a_store_that_only_spark_opens_has_rows_shuffled(spark, monkeypatch):
+    assert not reachable("nosuchstore://place/folder") and reachable("file:///tmp")
+    monkeypatch.setattr(many, "COPIES", -1)
+    monkeypatch.setattr(many, "reachable", lambda folder: False)
+    df = table(spark, (pa.int64(), pa.list_(pa.float32())), id=[1, 2], vector=[[1.0, 2.0], [2.0, 1.0]])
+    hits = nearest_many(df.withColumnRenamed("id", "qid"), df, 1)
+    assert "CoGroup" in hits._jdf.queryExecution().optimizedPlan().toString()
+    assert found(hits) == {1: [(1, 0.0)], 2: [(2, 0.0)]}
